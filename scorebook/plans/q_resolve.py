@@ -1,5 +1,153 @@
-"""Registered queries."""
+"""Joins of the assembly and entity resolution (q14-q16, q22, q23)."""
 
 from __future__ import annotations
 
-from .queries import register  # noqa: F401
+from pyspark.sql import functions as F
+
+from ..functions import text
+from ..operators import resolve
+from .analogue import read
+from .queries import register
+
+
+# ------------------------------------------------------------------ q14
+@register("q14_full_outer_chain", """
+WITH li AS (
+  SELECT l.l_orderkey AS match_id, s.s_name AS player_name, l.*
+  FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey
+), sheet AS (
+  SELECT match_id, player_name, max(CASE WHEN l_linenumber = 1 THEN 'Y' ELSE 'N' END) AS captain_flag
+  FROM li WHERE l_returnflag <> 'R' GROUP BY ALL
+), bowl AS (
+  SELECT match_id, player_name, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS runs_given
+  FROM li WHERE l_linestatus = 'F' GROUP BY ALL
+), bat AS (
+  SELECT match_id, player_name, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS runs_scored
+  FROM li WHERE l_shipdate >= TIMESTAMP '1999-01-01' GROUP BY ALL
+)
+SELECT * FROM sheet FULL OUTER JOIN bowl USING (match_id, player_name)
+                    FULL OUTER JOIN bat USING (match_id, player_name)
+""")
+def q14_full_outer_chain(spark, sf_dir):
+    """Team sheet, bowling and batting of each match joined by full outer
+    joins on (match, player name); a player missing from one side keeps his
+    row with nulls there."""
+    li = (read(spark, sf_dir, "lineitem")
+          .join(read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
+                F.col("l_suppkey") == F.col("s_suppkey"))
+          .withColumnsRenamed({"l_orderkey": "match_id", "s_name": "player_name"}))
+    keys = ["match_id", "player_name"]
+    sheet = (li.filter(F.col("l_returnflag") != "R").groupBy(*keys)
+             .agg(F.max(F.when(F.col("l_linenumber") == 1, "Y").otherwise("N"))
+                  .alias("captain_flag")))
+    bowl = (li.filter(F.col("l_linestatus") == "F").groupBy(*keys)
+            .agg(F.sum(F.col("l_quantity").cast("int")).alias("runs_given")))
+    bat = (li.filter(F.col("l_shipdate") >= F.lit("1999-01-01").cast("timestamp"))
+           .groupBy(*keys).agg(F.sum(F.col("l_quantity").cast("int")).alias("runs_scored")))
+    return sheet.join(bowl, keys, "full").join(bat, keys, "full")
+
+
+# ------------------------------------------------------------------ q15
+@register("q15_left_join_fill_counts", """
+WITH c AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+SELECT cu.c_custkey AS player_id, coalesce(c.n, 0) AS catch_taken
+FROM customer cu LEFT JOIN c ON c.o_custkey = cu.c_custkey
+""")
+def q15_left_join_fill_counts(spark, sf_dir):
+    """Counts per key (catches per fielder) left-joined to all keys, gaps 0."""
+    o = read(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    catches = resolve.catches_per_fielder(o.withColumn("__m", F.lit(0)), "__m", "o_custkey")
+    players = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("player_id"),
+                                                     F.lit(0).alias("__m"))
+    return resolve.add_catches(players, catches, "__m").select("player_id", "catch_taken")
+
+
+# ------------------------------------------------------------------ q16
+@register("q16_master_and_bowler_role_joins", """
+SELECT l.l_orderkey, l.l_linenumber, s.s_suppkey AS player_id, s.s_name AS player_name,
+       CASE WHEN l.l_linestatus = 'F' THEN l.l_partkey END AS dismissal_bowler_id,
+       lower(p.p_type) AS outed_bowler_style
+FROM lineitem l
+JOIN supplier s ON s.s_suppkey = l.l_suppkey AND s.s_acctbal >= 0
+LEFT JOIN part p ON p.p_partkey = CASE WHEN l.l_linestatus = 'F' THEN l.l_partkey END
+""")
+def q16_master_and_bowler_role_joins(spark, sf_dir):
+    """Inner join to the master (rows of players not in it drop out) and one
+    left join to the bowler role over the whole set: rows whose dismissal
+    names no bowler keep a null style (no split and re-union)."""
+    li = read(spark, sf_dir, "lineitem")
+    master = (read(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0)
+              .select(F.col("s_suppkey").alias("player_id"), F.col("s_name").alias("player_name")))
+    bowlers = read(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("dismissal_bowler_id"),
+        F.lower("p_type").alias("outed_bowler_style"))
+    t = li.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("player_id"),
+                  F.when(F.col("l_linestatus") == "F", F.col("l_partkey"))
+                  .alias("dismissal_bowler_id"))
+    t = t.join(master, "player_id")
+    return t.join(bowlers, "dismissal_bowler_id", "left")
+
+
+# ------------------------------------------------------------------ q22
+@register("q22_surname_resolution", r"""
+WITH m AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, regexp_extract(p.p_name, '(\S+)\s*$', 1) AS mention
+  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+), people AS (
+  SELECT DISTINCT l.l_orderkey, p.p_partkey, p.p_name
+  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+), cand AS (
+  SELECT DISTINCT m.l_orderkey, m.mention, pe.p_partkey,
+         CASE WHEN pe.p_name = m.mention THEN 0 WHEN contains(pe.p_name, m.mention) THEN 1 ELSE 2 END AS score
+  FROM (SELECT DISTINCT l_orderkey, mention FROM m) m
+  JOIN people pe ON pe.l_orderkey = m.l_orderkey
+               AND list_contains(string_split(pe.p_name, ' '), lower(m.mention))
+), best AS (
+  SELECT l_orderkey, mention, min(score) AS s FROM cand GROUP BY ALL
+), pick AS (
+  SELECT c.l_orderkey, c.mention, min(c.p_partkey) AS resolved_id, count(*) AS n_candidates
+  FROM cand c JOIN best b ON b.l_orderkey = c.l_orderkey AND b.mention = c.mention AND b.s = c.score
+  GROUP BY ALL
+)
+SELECT m.l_orderkey, m.l_linenumber, m.l_partkey, m.mention, pick.resolved_id, pick.n_candidates
+FROM m LEFT JOIN pick ON pick.l_orderkey = m.l_orderkey AND pick.mention = m.mention
+""")
+def q22_surname_resolution(spark, sf_dir):
+    """Each line names a word of its part; resolve it to a part of the same
+    order whose name holds that word; first hit by lowest key."""
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    lp = li.join(p, li.l_partkey == p.p_partkey)
+    mentions = lp.select("l_orderkey", "l_linenumber", "l_partkey",
+                         F.regexp_extract("p_name", r"(\S+)\s*$", 1).alias("mention"))
+    people = lp.select("l_orderkey", "p_partkey", "p_name").dropDuplicates()
+    return resolve.resolve_mentions(mentions, people, "l_orderkey", "mention", "p_name",
+                                    "p_partkey").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "mention", "resolved_id", "n_candidates")
+
+
+# ------------------------------------------------------------------ q23
+CANON_WORDS = ["red", "red-widget", "widget", "small", "small-gear", "gear", "blue", "old",
+               "cold", "hot-rod", "rod", "large-anvil", "anvil", "new-bolt", "bolt"]
+
+
+def _canon_sql():
+    vals = ", ".join(f"('{w}')" for w in CANON_WORDS)
+    return f"""
+WITH w AS (SELECT * FROM (VALUES {vals}) AS t(word)),
+hits AS (
+  SELECT p.p_partkey, w.word,
+         row_number() OVER (PARTITION BY p.p_partkey ORDER BY length(w.word) DESC, lower(w.word)) AS rn
+  FROM part p JOIN w ON contains(lower(replace(p.p_name, ' ', '-')), lower(w.word))
+)
+SELECT p.p_partkey, replace(p.p_name, ' ', '-') AS slug, replace(h.word, '-', ' ') AS canonical
+FROM part p LEFT JOIN hits h ON h.p_partkey = p.p_partkey AND h.rn = 1
+"""
+
+
+@register("q23_longest_contained_name", _canon_sql())
+def q23_longest_contained_name(spark, sf_dir):
+    """Canonical name = the longest listed name contained in the slug."""
+    p = read(spark, sf_dir, "part").select(
+        "p_partkey", F.regexp_replace("p_name", " ", "-").alias("slug"))
+    return p.withColumn("canonical", text.canonical_team("slug", CANON_WORDS))
