@@ -1,5 +1,105 @@
-"""Registered queries."""
+"""Audit checks over the analogue warehouse (q36-q39)."""
 
 from __future__ import annotations
 
-from .queries import register  # noqa: F401
+from pyspark.sql import functions as F
+
+from ..operators import audit
+from .analogue import with_summary
+from .q_model import DMD, DPL
+from .queries import register
+from .warehouse import Warehouse
+
+
+@register("q36_distinct_match_count_check", with_summary("""
+SELECT 'silver_match_type_pairs' AS check_name, count(*) AS row_count
+FROM (SELECT DISTINCT match_id, match_type FROM summary)
+UNION ALL
+SELECT 'silver_match_keys', count(*)
+FROM (SELECT DISTINCT match_type, series_name, season, match_id FROM summary)
+UNION ALL
+SELECT 'dim_match_details', count(*)
+FROM (SELECT DISTINCT match_type, series_name, season, match_id FROM summary)
+"""))
+def q36_distinct_match_count_check(spark, sf_dir):
+    """Distinct (match, type) pairs and distinct 4-column match keys in the
+    silver table against the rows of the match dimension."""
+    w = Warehouse(spark, sf_dir)
+    return (audit.distinct_count(w.ms, ["match_id", "match_type"], "silver_match_type_pairs")
+            .unionByName(audit.distinct_count(
+                w.ms, ["match_type", "series_name", "season", "match_id"], "silver_match_keys"))
+            .unionByName(w.dmd.agg(F.count(F.lit(1)).alias("row_count"))
+                         .select(F.lit("dim_match_details").alias("check_name"), "row_count")))
+
+
+@register("q37_record_mapping_counts", with_summary("""
+SELECT 'silver_match_summary' AS table_name, count(*) AS row_count FROM summary
+UNION ALL SELECT 'fact_batting_scorecard', count(*) FROM summary
+UNION ALL SELECT 'fact_bowling_scorecard', count(*) FROM summary
+"""))
+def q37_record_mapping_counts(spark, sf_dir):
+    """Facts and silver must hold the same number of rows."""
+    w = Warehouse(spark, sf_dir)
+    return audit.row_counts({"silver_match_summary": w.ms, "fact_batting_scorecard": w.fbat,
+                             "fact_bowling_scorecard": w.fbowl})
+
+
+@register("q38_null_audit", with_summary("""
+SELECT 'dim_match_type' AS table_name, CAST(0 AS BIGINT) AS null_rows, count(*) AS total_rows
+FROM (SELECT DISTINCT match_type FROM summary)
+UNION ALL SELECT 'dim_series_names_info', 0, count(*) FROM (SELECT DISTINCT series_name FROM summary)
+UNION ALL SELECT 'dim_seasons_info', 0, count(*) FROM (SELECT DISTINCT season FROM summary)
+UNION ALL SELECT 'dim_match_details', 0, count(*)
+  FROM (SELECT DISTINCT match_type, series_name, season, match_id FROM summary)
+UNION ALL SELECT 'dim_team_info', 0, count(*) FROM nation
+UNION ALL SELECT 'dim_player_details', 0, count(*) FROM supplier
+UNION ALL SELECT 'dim_date', 0, count(*)
+  FROM (SELECT DISTINCT match_day, match_month, match_year FROM summary)
+UNION ALL SELECT 'dim_toss_choice', 0, count(*) FROM (SELECT DISTINCT toss_choice FROM summary)
+UNION ALL SELECT 'dim_venue_location', 0, count(*) FROM (SELECT DISTINCT venue_location FROM summary)
+UNION ALL SELECT 'dim_stadium', 0, count(*)
+  FROM (SELECT DISTINCT venue_id, stadium, venue_location FROM summary)
+"""))
+def q38_null_audit(spark, sf_dir):
+    """Rows with a null in any column, for all ten dimensions."""
+    w = Warehouse(spark, sf_dir)
+    return audit.null_audit({
+        "dim_match_type": w.dmt, "dim_series_names_info": w.dsn, "dim_seasons_info": w.dss,
+        "dim_match_details": w.dmd, "dim_team_info": w.dteam, "dim_player_details": w.dpl,
+        "dim_date": w.ddate, "dim_toss_choice": w.dtoss, "dim_venue_location": w.dvl,
+        "dim_stadium": w.dstadium})
+
+
+DRILL_COLS = ["match_id", "player_id", "match_type", "series_name", "season", "runs_scored",
+              "balls_faced", "fours_count", "six_count", "catch_taken"]
+
+
+@register("q39_drill_through", with_summary(f"""
+SELECT {", ".join("s." + c for c in DRILL_COLS)}
+FROM summary s
+WHERE s.match_id IN (
+    SELECT dmd.match_number FROM dmd
+    WHERE dmd.match_surrogate_key = (SELECT match_ref_key FROM top1))
+  AND s.player_id = (SELECT dpl.player_id FROM dpl
+                     WHERE dpl.player_surrogate_key = (SELECT player_ref_key FROM top1))
+""", DMD, DPL, f"""top1 AS (
+  SELECT dmd.match_surrogate_key AS match_ref_key, dpl.player_surrogate_key AS player_ref_key
+  FROM summary s
+  JOIN dmd ON dmd.match_type = s.match_type AND dmd.series_name = s.series_name
+          AND dmd.season = s.season AND dmd.match_number = s.match_id
+  JOIN dpl ON dpl.player_id = s.player_id
+  ORDER BY s.runs_scored DESC, match_ref_key, player_ref_key
+  LIMIT 1)"""))
+def q39_drill_through(spark, sf_dir):
+    """Top batting fact row (most runs; lowest keys on ties) -> its player
+    and match dimension rows -> the silver rows behind it, by semi joins."""
+    w = Warehouse(spark, sf_dir)
+    top = (w.fbat.orderBy(F.desc("runs_scored"), "match_ref_key", "player_ref_key")
+           .limit(1).select("match_ref_key", "player_ref_key"))
+    match_no = (w.dmd.join(top, w.dmd.match_surrogate_key == top.match_ref_key, "left_semi")
+                .select(F.col("match_number").alias("match_id")))
+    player = (w.dpl.join(top, w.dpl.player_surrogate_key == top.player_ref_key, "left_semi")
+              .select("player_id"))
+    s = w.ms.select(*DRILL_COLS)
+    return (s.join(match_no, "match_id", "left_semi")
+            .join(player, s.player_id == player.player_id, "left_semi"))
