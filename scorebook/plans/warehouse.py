@@ -47,13 +47,31 @@ def bowler_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Warehouse:
-    """Lazily built tables of one run; each is built once and reused."""
+    """Lazily built tables of one run; each is built once and reused.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+    Built over the driver tables by default; pass ``silver``, ``master``,
+    ``codes`` and ``styles`` to build it over a loaded scorecard silver table
+    (see ``from_silver``)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None,
+                 materialize: bool = True, silver: DataFrame | None = None,
+                 master: DataFrame | None = None, codes: DataFrame | None = None,
+                 styles: DataFrame | None = None):
         self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+        self._silver, self._master, self._codes, self._styles = silver, master, codes, styles
+
+    @classmethod
+    def from_silver(cls, silver: DataFrame, master: DataFrame, codes: DataFrame) -> "Warehouse":
+        """Star schema and marts over a scorecard silver table; the dismissing
+        bowler's style comes from the player master."""
+        styles = master.select("player_id", "bowling_style")
+        return cls(silver.sparkSession, silver=silver, master=master, codes=codes,
+                   styles=styles)
 
     @cached_property
     def ms(self) -> DataFrame:
+        if self._silver is not None:
+            return self._silver
         df = summary(self.spark, self.sf_dir)
         if not self.materialize:
             return df
@@ -79,11 +97,14 @@ class Warehouse:
 
     @cached_property
     def dteam(self):
-        return star.dim_team_info(team_codes(self.spark, self.sf_dir))
+        codes = self._codes if self._codes is not None else team_codes(self.spark, self.sf_dir)
+        return star.dim_team_info(codes)
 
     @cached_property
     def dpl(self):
-        return star.dim_player(player_master(self.spark, self.sf_dir))
+        master = (self._master if self._master is not None
+                  else player_master(self.spark, self.sf_dir))
+        return star.dim_player(master)
 
     @cached_property
     def ddate(self):
@@ -120,8 +141,10 @@ class Warehouse:
                                     self.dteam, team_ref, count_name)
 
     def dismissal_pivot(self):
+        styles = (self._styles if self._styles is not None
+                  else bowler_styles(self.spark, self.sf_dir))
         return marts.dismissal_style_pivot(self.fbat, self.dpl, self.dmt, self.dmd, self.dss,
-                                           bowler_styles(self.spark, self.sf_dir))
+                                           styles)
 
     def batting(self):
         return marts.batting_mart(self.fbat, self.dpl, self.dmt, self.dmd, self.dss)
