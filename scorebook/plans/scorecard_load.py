@@ -22,7 +22,7 @@ def paths(warehouse: str) -> dict[str, str]:
     w = warehouse.rstrip("/")
     return {"master": f"{w}/silver/player_master", "silver": f"{w}/silver/match_summary",
             "ledger": f"{w}/silver/processed_matches", "quarantine": f"{w}/silver/quarantine",
-            "gold": f"{w}/gold"}
+            "gold": f"{w}/gold", "stage": f"{w}/staging/match_summary"}
 
 
 def run_load(spark: SparkSession, root: str, warehouse: str, load_id: str | None = None,
@@ -45,7 +45,7 @@ def run_load(spark: SparkSession, root: str, warehouse: str, load_id: str | None
     asm = assemble(only_new(files.sheet).drop("file"), only_new(files.batting).drop("file"),
                    only_new(files.bowling).drop("file"), only_new(files.venue).drop("file"),
                    master, team_code_table(spark), load_id, expected_rows=expected_rows,
-                   file_gates=gates)
+                   file_gates=gates, stage_path=f"{p['stage']}/{load_id}")
     return write_load(asm, p["silver"], p["ledger"], p["quarantine"], load_id)
 
 

@@ -23,8 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # Runtime (AQE) broadcast only below this size: the size check behind
     # every join to a dimension whose row count is not fixed in advance.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
