@@ -50,9 +50,18 @@ def run_load(spark: SparkSession, root: str, warehouse: str, load_id: str | None
 
 
 def read_silver(spark: SparkSession, warehouse: str) -> DataFrame:
-    """The silver match summary; the partition column season stays text."""
-    return (spark.read.parquet(paths(warehouse)["silver"])
-            .withColumn("season", F.col("season").cast("string")))
+    """The committed silver match summary; the partition column season stays text.
+
+    The ledger is the commit record: only rows of a (match, load) that the
+    ledger lists as loaded are read, so rows of a load that failed before its
+    ledger write (and was then repeated under a new load id) stay invisible."""
+    p = paths(warehouse)
+    done = (load.read_ledger(spark, p["ledger"]).filter(F.col("status") == "loaded")
+            .select(F.col("processed_match_details").alias("match_slug"),
+                    "record_created_timestamp"))
+    return (spark.read.parquet(p["silver"])
+            .withColumn("season", F.col("season").cast("string"))
+            .join(done, ["match_slug", "record_created_timestamp"], "left_semi"))
 
 
 def build_gold(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:

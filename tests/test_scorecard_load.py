@@ -87,3 +87,18 @@ def test_load_gates_resolution_and_rerun(spark, workdir):
     bowl = gold["bowling_analysis"]
     assert bowl.filter(F.col("Player_name") == "Rohit-Sharma").count() == 0   # did not bowl
     assert os.path.isdir(os.path.join(p["gold"], "batting_analysis"))
+
+
+def test_uncommitted_load_is_invisible(spark, workdir):
+    """Rows written by a load whose ledger write never happened are not read."""
+    root = os.path.join(workdir, "bronze")
+    wh = os.path.join(workdir, "warehouse")
+    build_tree(root)
+    scorecard_load.run_load(spark, root, wh, load_id="20240101000000")
+    p = scorecard_load.paths(wh)
+    silver = scorecard_load.read_silver(spark, wh)
+    n = silver.count()
+    # a failed run left rows under another load id but no ledger rows
+    orphan = silver.withColumn("record_created_timestamp", F.lit("20240105000000"))
+    orphan.write.mode("append").partitionBy("season", "match_type").parquet(p["silver"])
+    assert scorecard_load.read_silver(spark, wh).count() == n
