@@ -46,3 +46,20 @@ def test_insert_only_upsert_keeps_keys(spark):
     assert got == {"a": 1, "b": 2, "c": 3, "aa": 4, "d": 5}
     t3 = model.upsert_insert_only(t2.checkpoint(), src, ["name"], "sk", "hk")
     assert t3.count() == 5
+
+
+def test_catalog_database_tables(spark, workdir):
+    from scorebook.sources import catalog
+    n = spark.read.parquet(f"{SF}/nation.parquet")
+    p1, p2 = f"{workdir}/nation", f"{workdir}/region"
+    n.write.partitionBy("n_regionkey").parquet(p1)
+    spark.read.parquet(f"{SF}/region.parquet").write.parquet(p2)
+    names = catalog.register_all(spark, "scorebook_test", {"dim_nation": p1, "dim_region": p2})
+    assert names == ["dim_nation", "dim_region"]
+    assert spark.table("scorebook_test.dim_nation").count() == 25
+    catalog.cache_small(spark, "scorebook_test", ["dim_region"])
+    assert spark.catalog.isCached("scorebook_test.dim_region")
+    catalog.save_as_table(n, "scorebook_test", "nation_copy", f"{workdir}/nation_copy")
+    assert "nation_copy" in catalog.list_tables(spark, "scorebook_test")
+    catalog.create_database(spark, "scorebook_test", replace=True)
+    assert catalog.list_tables(spark, "scorebook_test") == []
