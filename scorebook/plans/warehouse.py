@@ -75,8 +75,10 @@ class Warehouse:
         df = summary(self.spark, self.sf_dir)
         if not self.materialize:
             return df
+        # a scratch copy read by column-pruned scans; the loaded silver table
+        # of the scorecard load is the one partitioned by season and format
         path = scratch_path(self.spark, "silver_match_summary")
-        write_table(df, path, partition_by=["season", "match_type"])
+        write_table(df, path)
         return self.spark.read.parquet(path)
 
     @cached_property
