@@ -11,7 +11,7 @@ join side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import DEFAULT_BATTING_STYLE, DEFAULT_BOWLING_STYLE, DEFAULT_DOB
@@ -91,7 +91,7 @@ def dim_team_info(codes: DataFrame, code_col: str = "Team_ID", name_col: str = "
 
 def dim_player(master: DataFrame, checkpoint: bool = True) -> DataFrame:
     """Player dimension with defaults; exactly one row per player id (the
-    first by name and birth date when the master holds several)."""
+    smallest by name, birth date and styles when the master holds several)."""
     m = master.select(
         F.col("player_id").try_cast("int").alias("player_id"),
         "player_first_name", "player_last_name",
@@ -99,10 +99,12 @@ def dim_player(master: DataFrame, checkpoint: bool = True) -> DataFrame:
         F.coalesce(F.col("batting_style"), F.lit(DEFAULT_BATTING_STYLE)).alias("batting_style"),
         F.coalesce(F.col("bowling_style"), F.lit(DEFAULT_BOWLING_STYLE)).alias("bowling_style"),
     ).dropna(subset=["player_id"])
-    w = Window.partitionBy("player_id").orderBy(
-        F.col("player_first_name").asc_nulls_last(), F.col("player_last_name").asc_nulls_last(),
-        "dob_text", "batting_style", "bowling_style")
-    one = m.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    # one row per id by a grouped min (partial aggregation before the
+    # shuffle), not a window: an id repeated in a third of the rows stays cheap
+    one = (m.groupBy("player_id")
+           .agg(F.min(F.struct("player_first_name", "player_last_name", "dob_text",
+                               "batting_style", "bowling_style")).alias("__r"))
+           .select("player_id", "__r.*"))
     one = one.select(
         hash_key("player_id").alias("player_hash_value"), "player_id",
         "player_first_name", "player_last_name",
