@@ -21,29 +21,75 @@ from .model import assign_surrogate_keys, build_dim
 
 # ------------------------------------------------------------------ dims
 
-def dim_match_type(ms: DataFrame, checkpoint: bool = True) -> DataFrame:
-    return build_dim(ms, ["match_type"], "match_type_surrogate_key", "match_type_hash_value",
-                     checkpoint=checkpoint)
-
-
-def dim_series(ms: DataFrame, checkpoint: bool = True) -> DataFrame:
-    return build_dim(ms, ["series_name"], "series_surrogate_key", "series_name_hash_value",
-                     checkpoint=checkpoint)
-
-
-def dim_seasons(ms: DataFrame, checkpoint: bool = True) -> DataFrame:
-    src = ms.select(F.col("season").try_cast("int").alias("season"))
+SMALL_DIM_SETS = {
+    "match_type": ["match_type"],
+    "series_name": ["series_name"],
+    "season": ["season"],
+    "toss_choice": ["toss_choice"],
+    "venue_location": ["venue_location"],
+    "date": ["match_day", "match_month", "match_year"],
+    "stadium": ["venue_id", "stadium", "venue_location"],
+}
+
+
+def small_dim_values(ms: DataFrame) -> DataFrame:
+    """Distinct values of all small dimensions in one scan of the silver table.
+
+    One GROUPING SETS aggregate (map-side partial aggregation, so only
+    distinct values per task are shuffled) instead of one scan per
+    dimension; ``dim_set`` names the set a row belongs to.  The result is
+    checkpointed: it is small and read by seven dimensions."""
+    cols = ["match_type", "series_name", "season", "toss_choice", "venue_location",
+            "match_day", "match_month", "match_year", "venue_id", "stadium"]
+    src = ms.select(*[F.col(c).cast("string").alias(c) if c == "season" else F.col(c)
+                      for c in cols])
+    sets = list(SMALL_DIM_SETS.values())
+    g = src.groupingSets([[F.col(c) for c in st] for st in sets], *cols).agg(
+        *[F.grouping(c).alias(f"__g_{c}") for c in cols])
+    which = None
+    for name, st in SMALL_DIM_SETS.items():
+        cond = None
+        for c in cols:
+            bit = (F.col(f"__g_{c}") == (0 if c in st else 1))
+            cond = bit if cond is None else (cond & bit)
+        which = F.when(cond, F.lit(name)) if which is None else which.when(cond, F.lit(name))
+    out = g.withColumn("dim_set", which).drop(*[f"__g_{c}" for c in cols])
+    return out.checkpoint(eager=True)
+
+
+def _from_set(values: DataFrame | None, ms: DataFrame, name: str) -> DataFrame:
+    return values.filter(F.col("dim_set") == name) if values is not None else ms
+
+def dim_match_type(ms: DataFrame, checkpoint: bool = True,
+                   values: DataFrame | None = None) -> DataFrame:
+    return build_dim(_from_set(values, ms, "match_type"), ["match_type"],
+                     "match_type_surrogate_key", "match_type_hash_value", checkpoint=checkpoint)
+
+
+def dim_series(ms: DataFrame, checkpoint: bool = True,
+               values: DataFrame | None = None) -> DataFrame:
+    return build_dim(_from_set(values, ms, "series_name"), ["series_name"],
+                     "series_surrogate_key", "series_name_hash_value", checkpoint=checkpoint)
+
+
+def dim_seasons(ms: DataFrame, checkpoint: bool = True,
+                values: DataFrame | None = None) -> DataFrame:
+    src = _from_set(values, ms, "season").select(
+        F.col("season").try_cast("int").alias("season"))
     return build_dim(src, ["season"], "season_surrogate_key", "season_hash_value",
                      checkpoint=checkpoint)
 
 
-def dim_toss_choice(ms: DataFrame, checkpoint: bool = True) -> DataFrame:
-    return build_dim(ms, ["toss_choice"], "toss_surrogate_key", "toss_hash_value",
-                     checkpoint=checkpoint)
+def dim_toss_choice(ms: DataFrame, checkpoint: bool = True,
+                    values: DataFrame | None = None) -> DataFrame:
+    return build_dim(_from_set(values, ms, "toss_choice"), ["toss_choice"],
+                     "toss_surrogate_key", "toss_hash_value", checkpoint=checkpoint)
 
 
-def dim_venue_location(ms: DataFrame, checkpoint: bool = True) -> DataFrame:
-    src = ms.select(F.col("venue_location").alias("venue_name"))
+def dim_venue_location(ms: DataFrame, checkpoint: bool = True,
+                       values: DataFrame | None = None) -> DataFrame:
+    src = _from_set(values, ms, "venue_location").select(
+        F.col("venue_location").alias("venue_name"))
     return build_dim(src, ["venue_name"], "venue_surrogate_key", "venue_hash_value",
                      checkpoint=checkpoint)
 
@@ -117,8 +163,9 @@ def dim_player(master: DataFrame, checkpoint: bool = True) -> DataFrame:
                         "batting_style", "bowling_style")
 
 
-def dim_date(ms: DataFrame, checkpoint: bool = True) -> DataFrame:
-    src = ms.select(F.col("match_day").try_cast("int").alias("match_date"), "match_month",
+def dim_date(ms: DataFrame, checkpoint: bool = True,
+             values: DataFrame | None = None) -> DataFrame:
+    src = _from_set(values, ms, "date").select(F.col("match_day").try_cast("int").alias("match_date"), "match_month",
                     F.col("match_year").try_cast("int").alias("match_year"))
     return build_dim(src, ["match_year", "match_month", "match_date"], "date_surrogate_key",
                      "date_hash_value", hash_cols=["match_date", "match_month", "match_year"],
@@ -126,9 +173,10 @@ def dim_date(ms: DataFrame, checkpoint: bool = True) -> DataFrame:
         "date_surrogate_key", "date_hash_value", "match_date", "match_month", "match_year")
 
 
-def dim_stadium(ms: DataFrame, dvl: DataFrame, checkpoint: bool = True) -> DataFrame:
+def dim_stadium(ms: DataFrame, dvl: DataFrame, checkpoint: bool = True,
+                values: DataFrame | None = None) -> DataFrame:
     """Stadium dimension; refers to its venue location by hash key."""
-    s = (ms.select(F.col("venue_id").try_cast("int").alias("stadium_id"),
+    s = (_from_set(values, ms, "stadium").select(F.col("venue_id").try_cast("int").alias("stadium_id"),
                    F.col("stadium").alias("stadium_name"), "venue_location")
          .dropDuplicates(["stadium_id", "stadium_name", "venue_location"]))
     j = s.join(dvl.select(F.col("venue_name").alias("venue_location"), "venue_hash_value"),

@@ -81,17 +81,22 @@ class Warehouse:
         write_table(df, path)
         return self.spark.read.parquet(path)
 
+    @cached_property
+    def small(self) -> DataFrame:
+        """Distinct values of the seven small dimensions, one silver scan."""
+        return star.small_dim_values(self.ms)
+
     @cached_property
     def dmt(self):
-        return star.dim_match_type(self.ms)
+        return star.dim_match_type(self.ms, values=self.small)
 
     @cached_property
     def dsn(self):
-        return star.dim_series(self.ms)
+        return star.dim_series(self.ms, values=self.small)
 
     @cached_property
     def dss(self):
-        return star.dim_seasons(self.ms)
+        return star.dim_seasons(self.ms, values=self.small)
 
     @cached_property
     def dmd(self):
@@ -110,19 +115,19 @@ class Warehouse:
 
     @cached_property
     def ddate(self):
-        return star.dim_date(self.ms)
+        return star.dim_date(self.ms, values=self.small)
 
     @cached_property
     def dtoss(self):
-        return star.dim_toss_choice(self.ms)
+        return star.dim_toss_choice(self.ms, values=self.small)
 
     @cached_property
     def dvl(self):
-        return star.dim_venue_location(self.ms)
+        return star.dim_venue_location(self.ms, values=self.small)
 
     @cached_property
     def dstadium(self):
-        return star.dim_stadium(self.ms, self.dvl)
+        return star.dim_stadium(self.ms, self.dvl, values=self.small)
 
     @cached_property
     def fmi(self):
