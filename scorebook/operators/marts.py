@@ -1,8 +1,9 @@
 """Gold marts over the star schema.
 
-Each mart is a star join (fact to a handful of dimensions), a grouped
-aggregate with map-side partial aggregation, and - for the batting mart -
-four ranks that share one partition spec, so they cost one exchange.
+Each mart is a star join (fact to a handful of dimensions) and a grouped
+aggregate with map-side partial aggregation; the batting mart's four ranks
+are computed over the distinct values of each (season, format) group, so no
+group is ranked row by row inside one task.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.keys import overs_to_balls
+
 MAX_PIVOT_VALUES = 1000
 
 
@@ -91,13 +94,30 @@ def batting_mart(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame
         F.sum("sixes_scored").alias("total_sixes"),
         F.sum("catch_taken").alias("total_catch_taken"),
         F.avg("strike_rate").alias("avg_strike_rate"))
-    w = Window.partitionBy("season_key", "flag")
-    return agg.select(
-        "*",
-        F.rank().over(w.orderBy(F.desc("total_runs"))).alias("runs_rank"),
-        F.rank().over(w.orderBy(F.desc("avg_strike_rate"))).alias("strike_rate_rank"),
-        F.rank().over(w.orderBy(F.desc("total_fours"))).alias("fours_rank"),
-        F.rank().over(w.orderBy(F.desc("total_sixes"))).alias("sixes_rank"))
+    out = agg
+    for value, name in [("total_runs", "runs_rank"), ("avg_strike_rate", "strike_rate_rank"),
+                        ("total_fours", "fours_rank"), ("total_sixes", "sixes_rank")]:
+        out = rank_desc(out, ["season_key", "flag"], value, name)
+    return out
+
+
+def rank_desc(df: DataFrame, group_cols: list[str], value: str, out: str) -> DataFrame:
+    """RANK() OVER (PARTITION BY group ORDER BY value DESC), computed over the
+    distinct values of each group instead of all its rows.
+
+    rank(v) = 1 + rows of the group with a greater value.  The rows are first
+    counted per (group, value) - a grouped aggregate with map-side partial
+    counts - and the running total runs over distinct values only, so a group
+    holding most of the rows does not land whole in one task.  Nulls rank
+    last, as with ``DESC``."""
+    counts = df.groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("__n"))
+    w = (Window.partitionBy(*group_cols).orderBy(F.col(value).desc_nulls_last())
+         .rowsBetween(Window.unboundedPreceding, -1))
+    ranks = counts.select(*group_cols, F.col(value).alias("__v"),
+                          (F.lit(1) + F.coalesce(F.sum("__n").over(w), F.lit(0)))
+                          .cast("int").alias(out))
+    cond = [df[c] == ranks[c] for c in group_cols] + [df[value].eqNullSafe(ranks["__v"])]
+    return df.join(ranks, cond, "left").select(df["*"], ranks[out])
 
 
 def batting_mart_with_styles(bat: DataFrame, piv: DataFrame) -> DataFrame:
@@ -137,7 +157,8 @@ def bowling_mart(fbowl: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFram
                              F.col("season").alias("season_key")), "season_ref_key"))
     agg = base.groupBy("Player_name", "flag", "season_key").agg(
         *[F.sum(src).alias(out) for src, out in BOWLING_SUMS],
-        F.sum("wickets_taken").alias("total_wickets"))
+        F.sum("wickets_taken").alias("total_wickets"),
+        F.sum(overs_to_balls("over_bowled")).alias("total_balls_bowled"))
     keep = None
     for _, out in BOWLING_SUMS:
         cond = F.col(out) != 0

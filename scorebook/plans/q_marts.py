@@ -103,7 +103,9 @@ SELECT pl.player_name AS Player_name, s.match_type AS flag, s.season AS season_k
        CAST(sum(s.wide_ball) AS BIGINT) AS total_wide_balls_bowled,
        CAST(sum(s.no_balls) AS BIGINT) AS total_no_balls_bowled,
        CAST(sum(s.runs_given) AS BIGINT) AS total_runs_given,
-       CAST(sum(s.wickets_taken) AS BIGINT) AS total_wickets
+       CAST(sum(s.wickets_taken) AS BIGINT) AS total_wickets,
+       CAST(sum(CAST(floor(s.overs_bowled) * 6 + round((s.overs_bowled - floor(s.overs_bowled)) * 10) AS INTEGER)) AS BIGINT)
+         AS total_balls_bowled
 FROM summary s JOIN pl ON pl.player_id = s.player_id
 GROUP BY ALL
 HAVING sum(s.overs_bowled) <> 0 OR sum(s.maiden_over) <> 0 OR sum(s.economy) <> 0
