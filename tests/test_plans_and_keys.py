@@ -63,3 +63,20 @@ def test_catalog_database_tables(spark, workdir):
     assert "nation_copy" in catalog.list_tables(spark, "scorebook_test")
     catalog.create_database(spark, "scorebook_test", replace=True)
     assert catalog.list_tables(spark, "scorebook_test") == []
+
+
+def test_dimension_joins_broadcast_at_run_time(spark):
+    """Fact-to-dimension joins become broadcast joins from runtime sizes."""
+    df = queries()["q17_win_count_mart"](spark, SF)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_ranks_start_at_one_per_group(spark):
+    df = queries()["q20_batting_mart_ranks"](spark, SF)
+    mins = df.groupBy("season_key", "flag").agg(
+        *[F.min(c).alias(c) for c in ["runs_rank", "strike_rate_rank", "fours_rank", "sixes_rank"]])
+    for r in mins.collect():
+        assert (r.runs_rank, r.strike_rate_rank, r.fours_rank, r.sixes_rank) == (1, 1, 1, 1)
