@@ -26,12 +26,18 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_col: str
     """Add ``key_col`` = start + rank of the row in ``order_cols`` order.
 
     Rows equal in all ``order_cols`` get consecutive keys in any order among
-    themselves.  ``checkpoint=False`` is only for inputs whose recomputation
-    is known to give the same partitions in the same order."""
+    themselves.  ``checkpoint=False`` is only for inputs that are a plain
+    scan of written data (a table or checkpoint, then filters and
+    projections): the range bounds are then sampled from the same rows in
+    the same order by both passes, and the partition count is fixed (no
+    adaptive coalescing), so both passes see the same partitions."""
     order_cols = list(order_cols)
-    ranged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
     if checkpoint:
-        ranged = ranged.checkpoint(eager=True)
+        ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+                  .checkpoint(eager=True))
+    else:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     tagged = (ranged.withColumn("__mid", F.monotonically_increasing_id())
               .withColumns({
                   "__pid": F.shiftrightunsigned("__mid", _POS_BITS).cast("int"),
@@ -51,16 +57,21 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_col: str
 
 def build_dim(df: DataFrame, natural_cols: Sequence[str], key_col: str, hash_col: str,
               hash_cols: Sequence | None = None, extra: dict | None = None,
-              checkpoint: bool = True) -> DataFrame:
+              checkpoint: bool = True, distinct_input: bool = False) -> DataFrame:
     """Distinct natural keys -> (surrogate key, hash key, natural columns).
 
     Rows with a null natural key are left out (the key columns are NOT NULL);
-    the null audit reports the source rows instead."""
+    the null audit reports the source rows instead.  ``distinct_input`` marks
+    an input that is already one row per natural key and a plain scan of
+    written data (see ``assign_surrogate_keys``): no aggregate, no checkpoint."""
     natural_cols = list(natural_cols)
     d = df.select(*natural_cols, *((extra or {}).keys()))
-    d = d.dropna(subset=natural_cols).dropDuplicates(natural_cols)
+    d = d.dropna(subset=natural_cols)
+    if not distinct_input:
+        d = d.dropDuplicates(natural_cols)
     d = d.withColumn(hash_col, hash_key(*(hash_cols or natural_cols)))
-    d = assign_surrogate_keys(d, natural_cols, key_col, checkpoint=checkpoint)
+    d = assign_surrogate_keys(d, natural_cols, key_col,
+                              checkpoint=checkpoint and not distinct_input)
     return d.select(key_col, hash_col, *natural_cols, *((extra or {}).keys()))
 
 

@@ -63,13 +63,15 @@ def _from_set(values: DataFrame | None, ms: DataFrame, name: str) -> DataFrame:
 def dim_match_type(ms: DataFrame, checkpoint: bool = True,
                    values: DataFrame | None = None) -> DataFrame:
     return build_dim(_from_set(values, ms, "match_type"), ["match_type"],
-                     "match_type_surrogate_key", "match_type_hash_value", checkpoint=checkpoint)
+                     "match_type_surrogate_key", "match_type_hash_value", checkpoint=checkpoint,
+                     distinct_input=values is not None)
 
 
 def dim_series(ms: DataFrame, checkpoint: bool = True,
                values: DataFrame | None = None) -> DataFrame:
     return build_dim(_from_set(values, ms, "series_name"), ["series_name"],
-                     "series_surrogate_key", "series_name_hash_value", checkpoint=checkpoint)
+                     "series_surrogate_key", "series_name_hash_value", checkpoint=checkpoint,
+                     distinct_input=values is not None)
 
 
 def dim_seasons(ms: DataFrame, checkpoint: bool = True,
@@ -83,7 +85,8 @@ def dim_seasons(ms: DataFrame, checkpoint: bool = True,
 def dim_toss_choice(ms: DataFrame, checkpoint: bool = True,
                     values: DataFrame | None = None) -> DataFrame:
     return build_dim(_from_set(values, ms, "toss_choice"), ["toss_choice"],
-                     "toss_surrogate_key", "toss_hash_value", checkpoint=checkpoint)
+                     "toss_surrogate_key", "toss_hash_value", checkpoint=checkpoint,
+                     distinct_input=values is not None)
 
 
 def dim_venue_location(ms: DataFrame, checkpoint: bool = True,
@@ -91,7 +94,7 @@ def dim_venue_location(ms: DataFrame, checkpoint: bool = True,
     src = _from_set(values, ms, "venue_location").select(
         F.col("venue_location").alias("venue_name"))
     return build_dim(src, ["venue_name"], "venue_surrogate_key", "venue_hash_value",
-                     checkpoint=checkpoint)
+                     checkpoint=checkpoint, distinct_input=values is not None)
 
 
 def match_hash(ms_alias: str = "") -> F.Column:
