@@ -55,6 +55,19 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_col: str
             .drop("__pid", "__pos", "__off"))
 
 
+def assign_keys_via_table(df: DataFrame, order_cols: Sequence[str], key_col: str,
+                          path: str | None, start: int = 1) -> DataFrame:
+    """Surrogate keys for a large table: write it once as parquet to ``path``
+    (a folder of the shared storage), then number a plain scan of it - no
+    row-serialized checkpoint of the whole table.  Without a path, falls back
+    to the checkpoint."""
+    if not path:
+        return assign_surrogate_keys(df, order_cols, key_col, start=start)
+    df.write.mode("overwrite").parquet(path)
+    return assign_surrogate_keys(df.sparkSession.read.parquet(path), order_cols, key_col,
+                                 start=start, checkpoint=False)
+
+
 def build_dim(df: DataFrame, natural_cols: Sequence[str], key_col: str, hash_col: str,
               hash_cols: Sequence | None = None, extra: dict | None = None,
               checkpoint: bool = True, distinct_input: bool = False) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import DEFAULT_BATTING_STYLE, DEFAULT_BOWLING_STYLE, DEFAULT_DOB
 from ..functions.keys import hash_key
-from .model import assign_surrogate_keys, build_dim
+from .model import assign_keys_via_table, assign_surrogate_keys, build_dim
 
 
 # ------------------------------------------------------------------ dims
@@ -198,7 +198,7 @@ def dim_stadium(ms: DataFrame, dvl: DataFrame, checkpoint: bool = True,
 
 def fact_match_info(ms: DataFrame, dmd: DataFrame, dpl: DataFrame, dteam: DataFrame,
                     dtoss: DataFrame, ddate: DataFrame, keep_unmatched: bool = False,
-                    checkpoint: bool = True) -> DataFrame:
+                    checkpoint: bool = True, stage_path: str | None = None) -> DataFrame:
     """Factless match fact: one row per distinct combination of the match's
     references; the team dimension plays four roles.
 
@@ -235,7 +235,7 @@ def fact_match_info(ms: DataFrame, dmd: DataFrame, dpl: DataFrame, dteam: DataFr
             "player_of_the_match_ref_key", "team_1_ref_key", "team_2_ref_key",
             "toss_own_team_ref_key", "match_own_team_ref_key"]
     f = j.select(*cols).dropDuplicates()
-    keyed = assign_surrogate_keys(f, cols, "match_surrogate_key", checkpoint=checkpoint)
+    keyed = assign_keys_via_table(f, cols, "match_surrogate_key", stage_path)
     return keyed.select("match_surrogate_key", *cols)
 
 
@@ -252,7 +252,7 @@ def _fact_refs(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) ->
 
 
 def fact_batting(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame,
-                 checkpoint: bool = True) -> DataFrame:
+                 checkpoint: bool = True, stage_path: str | None = None) -> DataFrame:
     j = _fact_refs(ms, dmt, dmd, dpl)
     f = j.select(
         "match_ref_key", "match_type_ref_key", "player_ref_key",
@@ -268,13 +268,12 @@ def fact_batting(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame,
         F.col("dismissal_bowler_id").cast("long").alias("dimissial_player_id"))
     # Keys follow the order of all columns: rows equal in every column may
     # swap keys, which leaves the table's content unchanged.
-    keyed = assign_surrogate_keys(f, f.columns, "batting_scorecard_surrogate_key",
-                                  checkpoint=checkpoint)
+    keyed = assign_keys_via_table(f, f.columns, "batting_scorecard_surrogate_key", stage_path)
     return keyed.select("batting_scorecard_surrogate_key", *f.columns)
 
 
 def fact_bowling(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame,
-                 checkpoint: bool = True) -> DataFrame:
+                 checkpoint: bool = True, stage_path: str | None = None) -> DataFrame:
     j = _fact_refs(ms, dmt, dmd, dpl)
     f = j.select(
         "match_ref_key", "match_type_ref_key", "player_ref_key",
@@ -288,6 +287,5 @@ def fact_bowling(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame,
         F.col("wide_ball").cast("int").alias("wide_ball_count"),
         F.col("no_balls").cast("int").alias("no_ball_count"),
         F.col("runs_given").cast("int").alias("runs_given"))
-    keyed = assign_surrogate_keys(f, f.columns, "bowling_scorecard_surrogate_key",
-                                  checkpoint=checkpoint)
+    keyed = assign_keys_via_table(f, f.columns, "bowling_scorecard_surrogate_key", stage_path)
     return keyed.select("bowling_scorecard_surrogate_key", *f.columns)
