@@ -94,16 +94,19 @@ def batting_mart(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame
         F.sum("sixes_scored").alias("total_sixes"),
         F.sum("catch_taken").alias("total_catch_taken"),
         F.avg("strike_rate").alias("avg_strike_rate"))
+    groups = ["season_key", "flag"]
     out = agg
     for value, name in [("total_runs", "runs_rank"), ("avg_strike_rate", "strike_rate_rank"),
                         ("total_fours", "fours_rank"), ("total_sixes", "sixes_rank")]:
-        out = rank_desc(out, ["season_key", "flag"], value, name)
+        # each rank table is built from ``agg`` itself, so the plan grows
+        # linearly with the number of ranks
+        out = join_rank(out, rank_table(agg, groups, value, name), groups, value, name)
     return out
 
 
-def rank_desc(df: DataFrame, group_cols: list[str], value: str, out: str) -> DataFrame:
-    """RANK() OVER (PARTITION BY group ORDER BY value DESC), computed over the
-    distinct values of each group instead of all its rows.
+def rank_table(df: DataFrame, group_cols: list[str], value: str, out: str) -> DataFrame:
+    """(group, value, rank) for RANK() OVER (PARTITION BY group ORDER BY value
+    DESC), computed over the distinct values of each group, not its rows.
 
     rank(v) = 1 + rows of the group with a greater value.  The rows are first
     counted per (group, value) - a grouped aggregate with map-side partial
@@ -113,11 +116,21 @@ def rank_desc(df: DataFrame, group_cols: list[str], value: str, out: str) -> Dat
     counts = df.groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("__n"))
     w = (Window.partitionBy(*group_cols).orderBy(F.col(value).desc_nulls_last())
          .rowsBetween(Window.unboundedPreceding, -1))
-    ranks = counts.select(*group_cols, F.col(value).alias("__v"),
-                          (F.lit(1) + F.coalesce(F.sum("__n").over(w), F.lit(0)))
-                          .cast("int").alias(out))
-    cond = [df[c] == ranks[c] for c in group_cols] + [df[value].eqNullSafe(ranks["__v"])]
-    return df.join(ranks, cond, "left").select(df["*"], ranks[out])
+    return counts.select(*group_cols, F.col(value).alias("__v"),
+                         (F.lit(1) + F.coalesce(F.sum("__n").over(w), F.lit(0)))
+                         .cast("int").alias(out))
+
+
+def join_rank(df: DataFrame, ranks: DataFrame, group_cols: list[str], value: str,
+              out: str) -> DataFrame:
+    r = ranks.select(*[F.col(c).alias(f"__{c}") for c in group_cols], "__v", out)
+    cond = [df[c] == r[f"__{c}"] for c in group_cols] + [df[value].eqNullSafe(r["__v"])]
+    return df.join(r, cond, "left").select(df["*"], r[out])
+
+
+def rank_desc(df: DataFrame, group_cols: list[str], value: str, out: str) -> DataFrame:
+    """Add ``out`` = RANK() OVER (PARTITION BY group ORDER BY value DESC)."""
+    return join_rank(df, rank_table(df, group_cols, value, out), group_cols, value, out)
 
 
 def batting_mart_with_styles(bat: DataFrame, piv: DataFrame) -> DataFrame:

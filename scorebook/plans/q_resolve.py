@@ -38,8 +38,9 @@ def q14_full_outer_chain(spark, sf_dir):
           .withColumnsRenamed({"l_orderkey": "match_id", "s_name": "player_name"}))
     keys = ["match_id", "player_name"]
     sheet = (li.filter(F.col("l_returnflag") != "R").groupBy(*keys)
-             .agg(F.max(F.when(F.col("l_linenumber") == 1, "Y").otherwise("N"))
-                  .alias("captain_flag")))
+             .agg(F.max((F.col("l_linenumber") == 1).cast("int")).alias("__cap"))
+             .select(*keys, F.when(F.col("__cap") == 1, "Y").otherwise("N")
+                     .alias("captain_flag")))
     bowl = (li.filter(F.col("l_linestatus") == "F").groupBy(*keys)
             .agg(F.sum(F.col("l_quantity").cast("int")).alias("runs_given")))
     bat = (li.filter(F.col("l_shipdate") >= F.lit("1999-01-01").cast("timestamp"))
