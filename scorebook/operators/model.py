@@ -22,22 +22,17 @@ _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row posi
 
 
 def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_col: str,
-                          start: int = 1, checkpoint: bool = True) -> DataFrame:
+                          start: int = 1) -> DataFrame:
     """Add ``key_col`` = start + rank of the row in ``order_cols`` order.
 
     Rows equal in all ``order_cols`` get consecutive keys in any order among
-    themselves.  ``checkpoint=False`` is only for inputs that are a plain
-    scan of written data (a table or checkpoint, then filters and
-    projections): the range bounds are then sampled from the same rows in
-    the same order by both passes, and the partition count is fixed (no
-    adaptive coalescing), so both passes see the same partitions."""
+    themselves.  The range-sorted rows are always checkpointed: the range
+    bounds are sampled with a seed taken from the RDD id, so two passes that
+    each ran their own range exchange could cut the partitions differently;
+    both passes here read the one checkpoint instead."""
     order_cols = list(order_cols)
-    if checkpoint:
-        ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
-                  .checkpoint(eager=True))
-    else:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+              .checkpoint(eager=True))
     tagged = (ranged.withColumn("__mid", F.monotonically_increasing_id())
               .withColumns({
                   "__pid": F.shiftrightunsigned("__mid", _POS_BITS).cast("int"),
@@ -55,36 +50,17 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_col: str
             .drop("__pid", "__pos", "__off"))
 
 
-def assign_keys_via_table(df: DataFrame, order_cols: Sequence[str], key_col: str,
-                          path: str | None, start: int = 1) -> DataFrame:
-    """Surrogate keys for a large table: write it once as parquet to ``path``
-    (a folder of the shared storage), then number a plain scan of it - no
-    row-serialized checkpoint of the whole table.  Without a path, falls back
-    to the checkpoint."""
-    if not path:
-        return assign_surrogate_keys(df, order_cols, key_col, start=start)
-    df.write.mode("overwrite").parquet(path)
-    return assign_surrogate_keys(df.sparkSession.read.parquet(path), order_cols, key_col,
-                                 start=start, checkpoint=False)
-
-
 def build_dim(df: DataFrame, natural_cols: Sequence[str], key_col: str, hash_col: str,
-              hash_cols: Sequence | None = None, extra: dict | None = None,
-              checkpoint: bool = True, distinct_input: bool = False) -> DataFrame:
+              hash_cols: Sequence | None = None, extra: dict | None = None) -> DataFrame:
     """Distinct natural keys -> (surrogate key, hash key, natural columns).
 
     Rows with a null natural key are left out (the key columns are NOT NULL);
-    the null audit reports the source rows instead.  ``distinct_input`` marks
-    an input that is already one row per natural key and a plain scan of
-    written data (see ``assign_surrogate_keys``): no aggregate, no checkpoint."""
+    the null audit reports the source rows instead."""
     natural_cols = list(natural_cols)
     d = df.select(*natural_cols, *((extra or {}).keys()))
-    d = d.dropna(subset=natural_cols)
-    if not distinct_input:
-        d = d.dropDuplicates(natural_cols)
+    d = d.dropna(subset=natural_cols).dropDuplicates(natural_cols)
     d = d.withColumn(hash_col, hash_key(*(hash_cols or natural_cols)))
-    d = assign_surrogate_keys(d, natural_cols, key_col,
-                              checkpoint=checkpoint and not distinct_input)
+    d = assign_surrogate_keys(d, natural_cols, key_col)
     return d.select(key_col, hash_col, *natural_cols, *((extra or {}).keys()))
 
 
@@ -96,8 +72,7 @@ def max_key(df: DataFrame, key_col: str) -> int:
 
 def upsert_insert_only(target: DataFrame, source: DataFrame, natural_cols: Sequence[str],
                        key_col: str, hash_col: str | None = None,
-                       hash_cols: Sequence | None = None,
-                       checkpoint: bool = True) -> DataFrame:
+                       hash_cols: Sequence | None = None) -> DataFrame:
     """MERGE .. WHEN NOT MATCHED THEN INSERT, as a set operation.
 
     New natural keys (anti join against the target) get keys after the
@@ -109,6 +84,5 @@ def upsert_insert_only(target: DataFrame, source: DataFrame, natural_cols: Seque
     if hash_col:
         new = new.withColumn(hash_col, hash_key(*(hash_cols or natural_cols)))
     base = max_key(target, key_col)
-    new = assign_surrogate_keys(new, natural_cols, key_col, start=base + 1,
-                                checkpoint=checkpoint)
+    new = assign_surrogate_keys(new, natural_cols, key_col, start=base + 1)
     return target.unionByName(new.select(*target.columns))

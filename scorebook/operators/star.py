@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import DEFAULT_BATTING_STYLE, DEFAULT_BOWLING_STYLE, DEFAULT_DOB
 from ..functions.keys import hash_key
-from .model import assign_keys_via_table, assign_surrogate_keys, build_dim
+from .model import assign_surrogate_keys, build_dim
 
 
 # ------------------------------------------------------------------ dims
@@ -60,41 +60,36 @@ def small_dim_values(ms: DataFrame) -> DataFrame:
 def _from_set(values: DataFrame | None, ms: DataFrame, name: str) -> DataFrame:
     return values.filter(F.col("dim_set") == name) if values is not None else ms
 
-def dim_match_type(ms: DataFrame, checkpoint: bool = True,
-                   values: DataFrame | None = None) -> DataFrame:
+def dim_match_type(ms: DataFrame,
+                values: DataFrame | None = None) -> DataFrame:
     return build_dim(_from_set(values, ms, "match_type"), ["match_type"],
-                     "match_type_surrogate_key", "match_type_hash_value", checkpoint=checkpoint,
-                     distinct_input=values is not None)
+                     "match_type_surrogate_key", "match_type_hash_value")
 
 
-def dim_series(ms: DataFrame, checkpoint: bool = True,
-               values: DataFrame | None = None) -> DataFrame:
+def dim_series(ms: DataFrame,
+                values: DataFrame | None = None) -> DataFrame:
     return build_dim(_from_set(values, ms, "series_name"), ["series_name"],
-                     "series_surrogate_key", "series_name_hash_value", checkpoint=checkpoint,
-                     distinct_input=values is not None)
+                     "series_surrogate_key", "series_name_hash_value")
 
 
-def dim_seasons(ms: DataFrame, checkpoint: bool = True,
+def dim_seasons(ms: DataFrame,
                 values: DataFrame | None = None) -> DataFrame:
     src = _from_set(values, ms, "season").select(
         F.col("season").try_cast("int").alias("season"))
-    return build_dim(src, ["season"], "season_surrogate_key", "season_hash_value",
-                     checkpoint=checkpoint)
+    return build_dim(src, ["season"], "season_surrogate_key", "season_hash_value")
 
 
-def dim_toss_choice(ms: DataFrame, checkpoint: bool = True,
-                    values: DataFrame | None = None) -> DataFrame:
+def dim_toss_choice(ms: DataFrame,
+                values: DataFrame | None = None) -> DataFrame:
     return build_dim(_from_set(values, ms, "toss_choice"), ["toss_choice"],
-                     "toss_surrogate_key", "toss_hash_value", checkpoint=checkpoint,
-                     distinct_input=values is not None)
+                     "toss_surrogate_key", "toss_hash_value")
 
 
-def dim_venue_location(ms: DataFrame, checkpoint: bool = True,
-                       values: DataFrame | None = None) -> DataFrame:
+def dim_venue_location(ms: DataFrame,
+                values: DataFrame | None = None) -> DataFrame:
     src = _from_set(values, ms, "venue_location").select(
         F.col("venue_location").alias("venue_name"))
-    return build_dim(src, ["venue_name"], "venue_surrogate_key", "venue_hash_value",
-                     checkpoint=checkpoint, distinct_input=values is not None)
+    return build_dim(src, ["venue_name"], "venue_surrogate_key", "venue_hash_value")
 
 
 def match_hash(ms_alias: str = "") -> F.Column:
@@ -102,8 +97,7 @@ def match_hash(ms_alias: str = "") -> F.Column:
     return hash_key(f"{p}match_type", f"{p}series_name", f"{p}season", f"{p}match_id")
 
 
-def dim_match_details(ms: DataFrame, dmt: DataFrame, dsn: DataFrame, dss: DataFrame,
-                      checkpoint: bool = True) -> DataFrame:
+def dim_match_details(ms: DataFrame, dmt: DataFrame, dsn: DataFrame, dss: DataFrame) -> DataFrame:
     """One row per (type, series, season, match number), referring to the
     three dimensions by their hash keys."""
     m = (ms.select("match_type", "series_name", F.col("season").try_cast("int").alias("season"),
@@ -120,25 +114,23 @@ def dim_match_details(ms: DataFrame, dmt: DataFrame, dsn: DataFrame, dss: DataFr
         F.col("series_name_hash_value").alias("series_name_ref_key"),
         F.col("season_hash_value").alias("season_ref_key"))
     keyed = assign_surrogate_keys(j, ["match_type", "series_name", "season", "match_number"],
-                                  "match_surrogate_key", checkpoint=checkpoint)
+                                  "match_surrogate_key")
     return keyed.select("match_surrogate_key", "match_details_hash_value", "match_number",
                         "match_type_ref_key", "series_name_ref_key", "season_ref_key")
 
 
-def dim_team_info(codes: DataFrame, code_col: str = "Team_ID", name_col: str = "Team_Name",
-                  checkpoint: bool = True) -> DataFrame:
+def dim_team_info(codes: DataFrame, code_col: str = "Team_ID", name_col: str = "Team_Name") -> DataFrame:
     """Team dimension from the code table; the hash is of code and the raw
     name, the stored name is upper case with '-' as space."""
     src = codes.select(
         hash_key(code_col, name_col).alias("team_hash_value"),
         F.upper(F.regexp_replace(F.col(name_col), "-", " ")).alias("team_name"),
         F.col(code_col).cast("int").alias("team_code")).dropDuplicates(["team_code", "team_name"])
-    keyed = assign_surrogate_keys(src, ["team_code", "team_name"], "team_surrogate_key",
-                                  checkpoint=checkpoint)
+    keyed = assign_surrogate_keys(src, ["team_code", "team_name"], "team_surrogate_key")
     return keyed.select("team_surrogate_key", "team_hash_value", "team_name", "team_code")
 
 
-def dim_player(master: DataFrame, checkpoint: bool = True) -> DataFrame:
+def dim_player(master: DataFrame) -> DataFrame:
     """Player dimension with defaults; exactly one row per player id (the
     smallest by name, birth date and styles when the master holds several)."""
     m = master.select(
@@ -159,24 +151,22 @@ def dim_player(master: DataFrame, checkpoint: bool = True) -> DataFrame:
         "player_first_name", "player_last_name",
         F.coalesce(F.try_to_date("dob_text"), F.to_date(F.lit(DEFAULT_DOB))).alias("date_of_birth"),
         "batting_style", "bowling_style")
-    keyed = assign_surrogate_keys(one, ["player_id"], "player_surrogate_key",
-                                  checkpoint=checkpoint)
+    keyed = assign_surrogate_keys(one, ["player_id"], "player_surrogate_key")
     return keyed.select("player_surrogate_key", "player_hash_value", "player_id",
                         "player_first_name", "player_last_name", "date_of_birth",
                         "batting_style", "bowling_style")
 
 
-def dim_date(ms: DataFrame, checkpoint: bool = True,
-             values: DataFrame | None = None) -> DataFrame:
+def dim_date(ms: DataFrame,
+                values: DataFrame | None = None) -> DataFrame:
     src = _from_set(values, ms, "date").select(F.col("match_day").try_cast("int").alias("match_date"), "match_month",
                     F.col("match_year").try_cast("int").alias("match_year"))
     return build_dim(src, ["match_year", "match_month", "match_date"], "date_surrogate_key",
-                     "date_hash_value", hash_cols=["match_date", "match_month", "match_year"],
-                     checkpoint=checkpoint).select(
+                     "date_hash_value", hash_cols=["match_date", "match_month", "match_year"]).select(
         "date_surrogate_key", "date_hash_value", "match_date", "match_month", "match_year")
 
 
-def dim_stadium(ms: DataFrame, dvl: DataFrame, checkpoint: bool = True,
+def dim_stadium(ms: DataFrame, dvl: DataFrame,
                 values: DataFrame | None = None) -> DataFrame:
     """Stadium dimension; refers to its venue location by hash key."""
     s = (_from_set(values, ms, "stadium").select(F.col("venue_id").try_cast("int").alias("stadium_id"),
@@ -189,7 +179,7 @@ def dim_stadium(ms: DataFrame, dvl: DataFrame, checkpoint: bool = True,
                  "stadium_id", "stadium_name", F.col("venue_hash_value").alias("venue_ref_key"))
     j = j.dropna(subset=["stadium_id", "stadium_name"])
     keyed = assign_surrogate_keys(j, ["stadium_id", "stadium_name", "venue_ref_key"],
-                                  "stadium_surrogate_key", checkpoint=checkpoint)
+                                  "stadium_surrogate_key")
     return keyed.select("stadium_surrogate_key", "stadium_hash_value", "stadium_id",
                         "stadium_name", "venue_ref_key")
 
@@ -197,8 +187,7 @@ def dim_stadium(ms: DataFrame, dvl: DataFrame, checkpoint: bool = True,
 # ----------------------------------------------------------------- facts
 
 def fact_match_info(ms: DataFrame, dmd: DataFrame, dpl: DataFrame, dteam: DataFrame,
-                    dtoss: DataFrame, ddate: DataFrame, keep_unmatched: bool = False,
-                    checkpoint: bool = True, stage_path: str | None = None) -> DataFrame:
+                    dtoss: DataFrame, ddate: DataFrame, keep_unmatched: bool = False) -> DataFrame:
     """Factless match fact: one row per distinct combination of the match's
     references; the team dimension plays four roles.
 
@@ -235,7 +224,7 @@ def fact_match_info(ms: DataFrame, dmd: DataFrame, dpl: DataFrame, dteam: DataFr
             "player_of_the_match_ref_key", "team_1_ref_key", "team_2_ref_key",
             "toss_own_team_ref_key", "match_own_team_ref_key"]
     f = j.select(*cols).dropDuplicates()
-    keyed = assign_keys_via_table(f, cols, "match_surrogate_key", stage_path)
+    keyed = assign_surrogate_keys(f, cols, "match_surrogate_key")
     return keyed.select("match_surrogate_key", *cols)
 
 
@@ -251,8 +240,7 @@ def _fact_refs(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) ->
     return j
 
 
-def fact_batting(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame,
-                 checkpoint: bool = True, stage_path: str | None = None) -> DataFrame:
+def fact_batting(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) -> DataFrame:
     j = _fact_refs(ms, dmt, dmd, dpl)
     f = j.select(
         "match_ref_key", "match_type_ref_key", "player_ref_key",
@@ -268,12 +256,11 @@ def fact_batting(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame,
         F.col("dismissal_bowler_id").cast("long").alias("dimissial_player_id"))
     # Keys follow the order of all columns: rows equal in every column may
     # swap keys, which leaves the table's content unchanged.
-    keyed = assign_keys_via_table(f, f.columns, "batting_scorecard_surrogate_key", stage_path)
+    keyed = assign_surrogate_keys(f, f.columns, "batting_scorecard_surrogate_key")
     return keyed.select("batting_scorecard_surrogate_key", *f.columns)
 
 
-def fact_bowling(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame,
-                 checkpoint: bool = True, stage_path: str | None = None) -> DataFrame:
+def fact_bowling(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) -> DataFrame:
     j = _fact_refs(ms, dmt, dmd, dpl)
     f = j.select(
         "match_ref_key", "match_type_ref_key", "player_ref_key",
@@ -287,5 +274,5 @@ def fact_bowling(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame,
         F.col("wide_ball").cast("int").alias("wide_ball_count"),
         F.col("no_balls").cast("int").alias("no_ball_count"),
         F.col("runs_given").cast("int").alias("runs_given"))
-    keyed = assign_keys_via_table(f, f.columns, "bowling_scorecard_surrogate_key", stage_path)
+    keyed = assign_surrogate_keys(f, f.columns, "bowling_scorecard_surrogate_key")
     return keyed.select("bowling_scorecard_surrogate_key", *f.columns)

@@ -68,9 +68,6 @@ class Warehouse:
         return cls(silver.sparkSession, silver=silver, master=master, codes=codes,
                    styles=styles)
 
-    def _stage(self, name: str) -> str:
-        return scratch_path(self.spark, name)
-
     @cached_property
     def ms(self) -> DataFrame:
         if self._silver is not None:
@@ -135,17 +132,15 @@ class Warehouse:
     @cached_property
     def fmi(self):
         return star.fact_match_info(self.ms, self.dmd, self.dpl, self.dteam, self.dtoss,
-                                    self.ddate, stage_path=self._stage("fact_match_info"))
+                                    self.ddate)
 
     @cached_property
     def fbat(self):
-        return star.fact_batting(self.ms, self.dmt, self.dmd, self.dpl,
-                                 stage_path=self._stage("fact_batting"))
+        return star.fact_batting(self.ms, self.dmt, self.dmd, self.dpl)
 
     @cached_property
     def fbowl(self):
-        return star.fact_bowling(self.ms, self.dmt, self.dmd, self.dpl,
-                                 stage_path=self._stage("fact_bowling"))
+        return star.fact_bowling(self.ms, self.dmt, self.dmd, self.dpl)
 
     # ------------------------------------------------------------ marts
     def win_count(self, team_ref="toss_own_team_ref_key", count_name="match_win_count"):

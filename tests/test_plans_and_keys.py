@@ -80,3 +80,15 @@ def test_ranks_start_at_one_per_group(spark):
         *[F.min(c).alias(c) for c in ["runs_rank", "strike_rate_rank", "fours_rank", "sixes_rank"]])
     for r in mins.collect():
         assert (r.runs_rank, r.strike_rate_rank, r.fours_rank, r.sixes_rank) == (1, 1, 1, 1)
+
+
+def test_surrogate_keys_dense_when_payload_is_pruned(spark):
+    """Regression: keys must stay dense when the counting pass reads fewer
+    columns than the numbering pass (range bounds are sampled per exchange)."""
+    li = (spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+          .select("l_orderkey", "l_returnflag", "l_linestatus").dropDuplicates()
+          .withColumn("payload", F.md5(F.col("l_orderkey").cast("string"))))
+    k = model.assign_surrogate_keys(li, ["l_returnflag", "l_linestatus", "l_orderkey"], "sk")
+    rows = k.select("sk", "payload", "l_returnflag", "l_linestatus", "l_orderkey").collect()
+    rows.sort(key=lambda r: (r.l_returnflag, r.l_linestatus, r.l_orderkey))
+    assert [r.sk for r in rows] == list(range(1, len(rows) + 1))
