@@ -58,6 +58,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+def shared(spark: SparkSession, model) -> Callable:
+    """Broadcast a dataclass of plain data (bounded by its maker) and give a function
+    that returns it in a task.  Its fields are sent, not its class, so executors need
+    no copy of the package."""
+    held, kind, made = spark.sparkContext.broadcast(dict(vars(model))), type(model), []
+
+    def get():
+        if not made:
+            made.append(kind(**held.value))
+        return made[0]
+
+    return get
+
+
 def utf8_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column (null: empty) and its row offsets, without
     making a Python string per row."""

@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, near_dedup, packing
+from . import decontam, line_dedup, near_dedup, packing, quality
 from .common import read_table
 
 
+def op2_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document that holds a benchmark item, with the item."""
+    return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op6_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.grades(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -23,7 +32,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_near_duplicates, op9_packed_sequences, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_benchmark_matches, op4_near_duplicates, op6_quality_grades, op9_packed_sequences, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -14,14 +14,17 @@ BINS = 128
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Everything but ASCII letters, digits and bytes of longer characters.
+NOT_WORD = np.ones(256, bool)
+NOT_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _ODD = mix64(np.arange(64, dtype=np.uint64), 99) | np.uint64(1)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words (runs without white space) of all rows in
-    ``data``, and how many words end before each row offset."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs without ``space`` bytes) of all rows in
+    ``data``, and how many words start before each row offset."""
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~space[data]
     starts = np.flatnonzero(inside[1:-1] & ~inside[:-2])
     ends = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
     if len(starts):
