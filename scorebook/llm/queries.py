@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, line_dedup, near_dedup, packing, quality
+from . import decontam, lang_id, line_dedup, near_dedup, packing, quality
 from .common import read_table
 
 
@@ -19,6 +19,10 @@ def op6_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grades(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -32,7 +36,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_benchmark_matches, op4_near_duplicates, op6_quality_grades, op9_packed_sequences, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_benchmark_matches, op3_language_codes, op4_near_duplicates, op6_quality_grades, op9_packed_sequences, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
