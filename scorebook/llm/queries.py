@@ -6,15 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, lang_id, line_dedup, near_dedup, packing, quality
+from . import decontam, html_text, lang_id, line_dedup, near_dedup, packing, pii, quality, secrets
 from .common import read_table
 
 
+def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms_of(read_table(spark, sf_dir, "documents"))
+
+
 def op2_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document that holds a benchmark item, with the item."""
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op5_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grades(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -27,6 +35,10 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op9_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), packing.default_tokenizer())
 
@@ -36,7 +48,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_benchmark_matches, op3_language_codes, op4_near_duplicates, op6_quality_grades, op9_packed_sequences, op10_line_dedup)}
+    own = (op1_pseudonyms, op2_benchmark_matches, op3_language_codes, op4_near_duplicates, op5_secret_spans,
+           op6_quality_grades, op8_page_text, op9_packed_sequences, op10_line_dedup)
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
