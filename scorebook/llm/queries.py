@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html_text, lang_id, line_dedup, near_dedup, packing, pii, quality, secrets
+from . import decontam, html_text, lang_id, line_dedup, near_dedup, packing, pii, quality, secrets, vp_search
 from .common import read_table
 
 
@@ -35,6 +35,10 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_vantage_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_search.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
@@ -49,9 +53,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_pseudonyms, op2_benchmark_matches, op3_language_codes, op4_near_duplicates, op5_secret_spans,
-           op6_quality_grades, op8_page_text, op9_packed_sequences, op10_line_dedup)
+           op6_quality_grades, op7_vantage_neighbours, op8_page_text, op9_packed_sequences, op10_line_dedup)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_duplicates": near_dedup.ORACLE_SQL, "op10_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op4_near_duplicates": near_dedup.ORACLE_SQL, "op7_vantage_neighbours": vp_search.ORACLE_SQL,
+            "op10_line_dedup": line_dedup.ORACLE_SQL}
