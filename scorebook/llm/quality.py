@@ -40,8 +40,8 @@ SAMPLE = 6000
 SLOTS = 1 << 17
 #: A word slot gets a weight if it occurs in so many documents of the sample.
 LEAST_DOCS = 8
-#: Weight of the penalty, in rated documents.
-L1 = 4.0
+#: Weight of the penalty, times the root of the sample's size: what chance alone makes of a slot's slope.
+L1 = 0.05
 GRADES = 3
 TAIL = 2
 KEEP_AT = 0.5
@@ -153,7 +153,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, slot
         v = 0.99 * v + 0.01 * grad ** 2
         pace = rate * (0.5 + 0.5 * np.cos(np.pi * t / steps)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
         params -= pace * (m / (1 - 0.9 ** t))
-        params[:d] = np.sign(params[:d]) * np.maximum(np.abs(params[:d]) - pace[:d] * l1, 0)
+        params[:d] = np.sign(params[:d]) * np.maximum(np.abs(params[:d]) - pace[:d] * l1 * np.sqrt(n), 0)
     weights = np.zeros(slots, np.float32)
     weights[used] = params[:d]
     theta = params[d] + np.concatenate([[0], np.cumsum(np.exp(params[d + 1:]))])
