@@ -89,3 +89,12 @@ def split_style(df: DataFrame, src: str, first: str, second: str, drop: bool = T
     parts = F.split(F.col(src), ",")
     out = df.withColumns({first: F.get(parts, 0), second: F.get(parts, 1)})
     return out.drop(src) if drop else out
+
+
+def one_row_per(df: DataFrame, key: str) -> DataFrame:
+    """One row per value of ``key``: the smallest by the other columns in order.
+    A grouped minimum (combined before the shuffle), so it is the same in every
+    run, and a key repeated in many rows stays cheap.  Null keys are left out."""
+    rest = [c for c in df.columns if c != key]
+    return (df.where(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.min(F.struct(*rest)).alias("__r")).select(key, "__r.*").select(*df.columns))

@@ -1,9 +1,9 @@
 """Gold marts over the star schema.
 
 Each mart is a star join (fact to a handful of dimensions) and a grouped
-aggregate with map-side partial aggregation; the batting mart's four ranks
-are computed over the distinct values of each (season, format) group, so no
-group is ranked row by row inside one task.
+aggregate with map-side partial aggregation.  The batting mart's aggregate is
+written once; its four ranks are computed together from it, over distinct
+values cut into ranges, so no group is ranked in one task.
 """
 
 from __future__ import annotations
@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import overs_to_balls
-
-MAX_PIVOT_VALUES = 1000
+from ..session import materialise
 
 
 def win_count_mart(fmi: DataFrame, dmd: DataFrame, dmt: DataFrame, dss: DataFrame,
@@ -56,13 +55,22 @@ def _batting_base(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFram
                              F.col("season").alias("season_key")), "season_ref_key"))
 
 
-def pivot_values(df: DataFrame, col: str, limit: int = MAX_PIVOT_VALUES) -> list:
-    """Distinct values of a low-cardinality column, checked against a bound."""
-    vals = [r[0] for r in df.select(col).distinct().limit(limit + 1).collect()
-            if r[0] is not None]
-    if len(vals) > limit:
-        raise ValueError(f"{col} has more than {limit} distinct values; not a pivot column")
-    return sorted(vals)
+def style_list(bowler_styles: DataFrame) -> list[str]:
+    """The styles of the bowler table in order: the columns of the pivot."""
+    found = bowler_styles.select(F.lower("bowling_style").alias("s")).distinct()
+    return sorted(r["s"] for r in found.where(F.col("s").isNotNull()).collect())
+
+
+def dismissal_style_counts(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame,
+                           dss: DataFrame, bowler_styles: DataFrame) -> DataFrame:
+    """Long form of the pivot, for any number of styles: dismissals per player,
+    format, season and style of the dismissing bowler."""
+    base = _batting_base(fbat.filter(F.col("dimissial_player_id") != 0), dpl, dmt, dmd, dss)
+    lk = bowler_styles.select(F.col("player_id").alias("dimissial_player_id"),
+                              F.lower("bowling_style").alias("bowling_style"))
+    return (base.join(lk, "dimissial_player_id")
+            .groupBy("season_key", "player_name", "player_ref_key", "flag", "bowling_style")
+            .agg(F.count("player_name").alias("dismissals")))
 
 
 def dismissal_style_pivot(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame,
@@ -70,18 +78,19 @@ def dismissal_style_pivot(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd:
                           styles: Sequence[str] | None = None) -> DataFrame:
     """Count of a batter's dismissals by the dismissing bowler's style.
 
-    ``bowler_styles`` maps a bowler id (``player_id``) to ``bowling_style``.
-    Rows with bowler id 0 (not dismissed by a bowler) are left out."""
-    base = _batting_base(fbat.filter(F.col("dimissial_player_id") != 0), dpl, dmt, dmd, dss)
-    lk = bowler_styles.select(F.col("player_id").alias("dimissial_player_id"),
-                              F.lower("bowling_style").alias("bowling_style"))
-    outed = base.join(lk, "dimissial_player_id").select(
-        "player_name", "player_ref_key", "flag", "season_key", "bowling_style")
-    if styles is None:
-        styles = pivot_values(outed, "bowling_style")
-    p = (outed.groupBy("season_key", "player_name", "player_ref_key", "flag")
-         .pivot("bowling_style", list(styles)).agg(F.count("player_name")))
-    return p.fillna(0, subset=list(styles))
+    ``bowler_styles`` maps a bowler id (``player_id``) to ``bowling_style``; it must
+    hold an id once.  Rows with bowler id 0 (not dismissed by a bowler) are left
+    out.  ``styles`` are the columns; without them they are taken from the bowler
+    table, so the facts are not run for their names."""
+    styles = list(styles) if styles is not None else style_list(bowler_styles)
+    counts = dismissal_style_counts(fbat, dpl, dmt, dmd, dss, bowler_styles)
+    p = (counts.groupBy("season_key", "player_name", "player_ref_key", "flag")
+         .pivot("bowling_style", styles).agg(F.sum("dismissals")))
+    return p.fillna(0, subset=styles)
+
+
+RANKS = [("total_runs", "runs_rank"), ("avg_strike_rate", "strike_rate_rank"),
+         ("total_fours", "fours_rank"), ("total_sixes", "sixes_rank")]
 
 
 def batting_mart(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame,
@@ -93,44 +102,51 @@ def batting_mart(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame
         F.sum("fours_scored").alias("total_fours"),
         F.sum("sixes_scored").alias("total_sixes"),
         F.sum("catch_taken").alias("total_catch_taken"),
-        F.avg("strike_rate").alias("avg_strike_rate"))
-    groups = ["season_key", "flag"]
-    out = agg
-    for value, name in [("total_runs", "runs_rank"), ("avg_strike_rate", "strike_rate_rank"),
-                        ("total_fours", "fours_rank"), ("total_sixes", "sixes_rank")]:
-        # each rank table is built from ``agg`` itself, so the plan grows
-        # linearly with the number of ranks
-        out = join_rank(out, rank_table(agg, groups, value, name), groups, value, name)
-    return out
-
-
-def rank_table(df: DataFrame, group_cols: list[str], value: str, out: str) -> DataFrame:
-    """(group, value, rank) for RANK() OVER (PARTITION BY group ORDER BY value
-    DESC), computed over the distinct values of each group, not its rows.
-
-    rank(v) = 1 + rows of the group with a greater value.  The rows are first
-    counted per (group, value) - a grouped aggregate with map-side partial
-    counts - and the running total runs over distinct values only, so a group
-    holding most of the rows does not land whole in one task.  Nulls rank
-    last, as with ``DESC``."""
-    counts = df.groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("__n"))
-    w = (Window.partitionBy(*group_cols).orderBy(F.col(value).desc_nulls_last())
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return counts.select(*group_cols, F.col(value).alias("__v"),
-                         (F.lit(1) + F.coalesce(F.sum("__n").over(w), F.lit(0)))
-                         .cast("int").alias(out))
-
-
-def join_rank(df: DataFrame, ranks: DataFrame, group_cols: list[str], value: str,
-              out: str) -> DataFrame:
-    r = ranks.select(*[F.col(c).alias(f"__{c}") for c in group_cols], "__v", out)
-    cond = [df[c] == r[f"__{c}"] for c in group_cols] + [df[value].eqNullSafe(r["__v"])]
-    return df.join(r, cond, "left").select(df["*"], r[out])
-
-
-def rank_desc(df: DataFrame, group_cols: list[str], value: str, out: str) -> DataFrame:
-    """Add ``out`` = RANK() OVER (PARTITION BY group ORDER BY value DESC)."""
-    return join_rank(df, rank_table(df, group_cols, value, out), group_cols, value, out)
+        F.avg("strike_rate").alias("avg_strike_rate"),
+        # over batters who faced a ball; null for those who never did
+        F.avg(F.when(F.col("ball_faced") > 0, F.col("strike_rate"))).alias("avg_strike_rate_faced"))
+    return add_ranks(materialise(agg, "batting_totals"), ["season_key", "flag"],
+                     ["player_name", "player_ref_key"], RANKS)
+
+
+def add_ranks(df: DataFrame, groups: list[str], rest: list[str],
+              ranks: Sequence[tuple[str, str]]) -> DataFrame:
+    """Add, for each (value, out) of ``ranks``, out = RANK() OVER (PARTITION BY groups
+    ORDER BY value DESC), nulls last.  ``df`` must be a written table whose rows are
+    known by ``groups`` + ``rest``.
+
+    rank(v) = 1 + rows of the group with a greater value.  Rows are counted per
+    (measure, group, value); these counts are cut into ranges of the whole order and
+    written with their range; a running total within a range and the totals of the ranges
+    before it give the rank.  So neither a large group nor a value that many rows share
+    meets in one task.  The ranks go back to the very values they were counted from."""
+    def longs(df):
+        return df.select(*groups, *rest, F.explode(F.array(*[
+            F.struct(F.lit(out).alias("measure"), F.col(value).cast("double").alias("value"))
+            for value, out in ranks])).alias("m")).select(*groups, *rest, "m.*")
+
+    keys = ["measure", *groups]
+    counts = longs(df).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    order = [*[F.col(k) for k in keys], F.col("value").desc_nulls_last()]
+    cut = materialise(counts.repartitionByRange(*order).withColumn("range", F.spark_partition_id()),
+                      "rank_counts")
+    # One row for each range and group in it.
+    totals = cut.groupBy(*keys, "range").agg(F.sum("n").alias("t"))
+    before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "range", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("off"))
+    within = (Window.partitionBy("range", *keys).orderBy(F.col("value").desc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "range"]]
+    table = (cut.withColumn("up", F.coalesce(F.sum("n").over(within), F.lit(0))).alias("a")
+             .join(offsets.alias("b"), same)
+             .select(*[F.col(f"a.{k}").alias(f"__{k}") for k in keys], F.col("a.value").alias("__value"),
+                     (F.lit(1) + F.col("up") + F.col("off")).cast("int").alias("rank")))
+    met = longs(df).join(table, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in [*keys, "value"]])
+    back = met.groupBy(*groups, *rest).agg(*[
+        F.max(F.when(F.col("measure") == out, F.col("rank"))).alias(out) for _, out in ranks])
+    back = back.select(*[F.col(c).alias(f"__{c}") for c in [*groups, *rest]], *[out for _, out in ranks])
+    return (df.join(back, [df[c].eqNullSafe(back[f"__{c}"]) for c in [*groups, *rest]])
+            .drop(*[f"__{c}" for c in [*groups, *rest]]))
 
 
 def batting_mart_with_styles(bat: DataFrame, piv: DataFrame) -> DataFrame:
@@ -176,4 +192,6 @@ def bowling_mart(fbowl: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFram
     for _, out in BOWLING_SUMS:
         cond = F.col(out) != 0
         keep = cond if keep is None else (keep | cond)
-    return agg.filter(keep)
+    return agg.filter(keep).withColumn(
+        "runs_per_over", F.when(F.col("total_balls_bowled") > 0,
+                                F.col("total_runs_given") * F.lit(6.0) / F.col("total_balls_bowled")))

@@ -1,12 +1,11 @@
 """Dimensional-model operators: surrogate keys, dimensions, insert-only upsert.
 
-Surrogate keys are dense (1, 2, ...) and follow the natural-key order, so a
-rebuild from the same data gives the same keys.  They are assigned without a
-single-partition window: rows are range-partitioned and sorted on the natural
-key and checkpointed to the shared checkpoint folder; each partition numbers
-its rows, and the partition offsets come from a table with one row per
-partition (bounded by the partition count).  Both passes read the same
-checkpoint, so they agree, also when a lost executor's work is redone.
+Surrogate keys are dense (start, start + 1, ...).  They are assigned without a
+single-partition window: the rows are written once with their place (task and
+row number in the task), and the place is turned into a number by adding up the
+rows of the tasks before.  Dimensions are range-partitioned and sorted on the
+natural key first, so their keys follow it and a rebuild gives the same keys;
+facts are numbered as they were written, without a sort.
 """
 
 from __future__ import annotations
@@ -17,37 +16,49 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key
+from ..session import materialise
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
 
 
+def _number(placed: DataFrame, key_col: str, start: int, groups: Sequence[str] = ()) -> DataFrame:
+    """``placed`` (a written table with ``__mid``) with dense numbers for its places,
+    anew in each of ``groups``, whose rows lie together in a task."""
+    groups = list(groups)
+    placed = placed.withColumn("__pid", F.shiftrightunsigned("__mid", _POS_BITS).cast("int"))
+    counts = placed.groupBy(*groups, "__pid").agg(F.count(F.lit(1)).alias("__n"),
+                                                  F.min("__mid").alias("__first"))
+    # One row per task (and group): the running total is bounded by their number.
+    before = Window.orderBy("__pid") if not groups else Window.partitionBy(*groups).orderBy("__pid")
+    offsets = counts.select(
+        *groups, "__pid", "__first",
+        F.coalesce(F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("__off"))
+    keyed = placed.join(F.broadcast(offsets), [*groups, "__pid"])
+    number = F.lit(start) + F.col("__off") + F.col("__mid") - F.col("__first")
+    return keyed.withColumn(key_col, number.cast("long")).drop("__mid", "__pid", "__off", "__first")
+
+
 def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_col: str,
-                          start: int = 1) -> DataFrame:
-    """Add ``key_col`` = start + rank of the row in ``order_cols`` order.
+                          start: int = 1, groups: Sequence[str] = ()) -> DataFrame:
+    """Add ``key_col`` = start + rank of the row in ``order_cols`` order (within
+    each of ``groups``, which must be few).
 
     Rows equal in all ``order_cols`` get consecutive keys in any order among
-    themselves.  The range-sorted rows are always checkpointed: the range
-    bounds are sampled with a seed taken from the RDD id, so two passes that
-    each ran their own range exchange could cut the partitions differently;
-    both passes here read the one checkpoint instead."""
-    order_cols = list(order_cols)
-    ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
-              .checkpoint(eager=True))
-    tagged = (ranged.withColumn("__mid", F.monotonically_increasing_id())
-              .withColumns({
-                  "__pid": F.shiftrightunsigned("__mid", _POS_BITS).cast("int"),
-                  "__pos": F.col("__mid").bitwiseAND((1 << _POS_BITS) - 1),
-              }).drop("__mid"))
-    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # One row per partition: the running total is bounded by the partition count.
-    offsets = counts.select(
-        "__pid",
-        F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    keyed = tagged.join(F.broadcast(offsets), "__pid")
-    return (keyed.withColumn(key_col, (F.lit(start) + F.col("__off") + F.col("__pos"))
-                             .cast("long"))
-            .drop("__pid", "__pos", "__off"))
+    themselves.  The sorted rows are written with their places: range bounds are
+    sampled anew by every exchange, so two passes over an unwritten one could cut
+    the tasks differently."""
+    order = [*groups, *order_cols]
+    placed = materialise(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                         .withColumn("__mid", F.monotonically_increasing_id()), "sorted")
+    return materialise(_number(placed, key_col, start, groups), "keyed")
+
+
+def assign_fact_keys(df: DataFrame, key_col: str, start: int = 1) -> DataFrame:
+    """Add a dense, unique ``key_col`` to a large table without sorting or
+    shuffling it: its rows are written once and numbered where they lie."""
+    placed = materialise(df.withColumn("__mid", F.monotonically_increasing_id()), "placed")
+    return _number(placed, key_col, start)
 
 
 def build_dim(df: DataFrame, natural_cols: Sequence[str], key_col: str, hash_col: str,

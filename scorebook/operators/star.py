@@ -1,11 +1,10 @@
 """Star schema from the silver match summary: 10 dimensions, 3 facts.
 
 Dimensions are small (their rows are distinct values of low-cardinality
-columns); facts are as large as the summary.  Fact-to-dimension joins are
-plain equi joins: Spark's adaptive planner turns them into broadcast joins
-when the runtime size of the dimension is under the broadcast threshold and
-keeps shuffle joins otherwise, so no dimension is broadcast unchecked.
-Hash keys are computed once as columns and joined on, never recomputed per
+columns) and written as tables, so the planner knows their size: a join to
+one under the broadcast threshold leaves the fact where it is, and any other
+is a shuffle join; no dimension is broadcast unchecked.  Facts are as large as
+the summary; the marts read their rows without the facts' own keys.  Hash keys are computed once as columns and joined on, never recomputed per
 join side.
 """
 
@@ -16,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import DEFAULT_BATTING_STYLE, DEFAULT_BOWLING_STYLE, DEFAULT_DOB
 from ..functions.keys import hash_key
-from .model import assign_surrogate_keys, build_dim
+from .clean import one_row_per
+from .model import assign_fact_keys, assign_surrogate_keys
 
 
 # ------------------------------------------------------------------ dims
@@ -32,19 +32,17 @@ SMALL_DIM_SETS = {
 }
 
 
-def small_dim_values(ms: DataFrame) -> DataFrame:
-    """Distinct values of all small dimensions in one scan of the silver table.
+def small_dims(ms: DataFrame) -> dict[str, DataFrame]:
+    """The seven dimensions of distinct silver values, from one scan.
 
     One GROUPING SETS aggregate (map-side partial aggregation, so only
-    distinct values per task are shuffled) instead of one scan per
-    dimension; ``dim_set`` names the set a row belongs to.  The result is
-    checkpointed: it is small and read by seven dimensions."""
+    distinct values per task are shuffled) gives all value sets, and one pass
+    numbers them, each set for itself in the order of its natural key.  Rows
+    with a null natural key are left out (``audit.lost_rows`` reports them)."""
     cols = ["match_type", "series_name", "season", "toss_choice", "venue_location",
             "match_day", "match_month", "match_year", "venue_id", "stadium"]
-    src = ms.select(*[F.col(c).cast("string").alias(c) if c == "season" else F.col(c)
-                      for c in cols])
     sets = list(SMALL_DIM_SETS.values())
-    g = src.groupingSets([[F.col(c) for c in st] for st in sets], *cols).agg(
+    g = ms.select(*cols).groupingSets([[F.col(c) for c in st] for st in sets], *cols).agg(
         *[F.grouping(c).alias(f"__g_{c}") for c in cols])
     which = None
     for name, st in SMALL_DIM_SETS.items():
@@ -53,43 +51,57 @@ def small_dim_values(ms: DataFrame) -> DataFrame:
             bit = (F.col(f"__g_{c}") == (0 if c in st else 1))
             cond = bit if cond is None else (cond & bit)
         which = F.when(cond, F.lit(name)) if which is None else which.when(cond, F.lit(name))
-    out = g.withColumn("dim_set", which).drop(*[f"__g_{c}" for c in cols])
-    return out.checkpoint(eager=True)
 
-
-def _from_set(values: DataFrame | None, ms: DataFrame, name: str) -> DataFrame:
-    return values.filter(F.col("dim_set") == name) if values is not None else ms
-
-def dim_match_type(ms: DataFrame,
-                values: DataFrame | None = None) -> DataFrame:
-    return build_dim(_from_set(values, ms, "match_type"), ["match_type"],
-                     "match_type_surrogate_key", "match_type_hash_value")
-
-
-def dim_series(ms: DataFrame,
-                values: DataFrame | None = None) -> DataFrame:
-    return build_dim(_from_set(values, ms, "series_name"), ["series_name"],
-                     "series_surrogate_key", "series_name_hash_value")
-
-
-def dim_seasons(ms: DataFrame,
-                values: DataFrame | None = None) -> DataFrame:
-    src = _from_set(values, ms, "season").select(
-        F.col("season").try_cast("int").alias("season"))
-    return build_dim(src, ["season"], "season_surrogate_key", "season_hash_value")
-
-
-def dim_toss_choice(ms: DataFrame,
-                values: DataFrame | None = None) -> DataFrame:
-    return build_dim(_from_set(values, ms, "toss_choice"), ["toss_choice"],
-                     "toss_surrogate_key", "toss_hash_value")
-
-
-def dim_venue_location(ms: DataFrame,
-                values: DataFrame | None = None) -> DataFrame:
-    src = _from_set(values, ms, "venue_location").select(
-        F.col("venue_location").alias("venue_name"))
-    return build_dim(src, ["venue_name"], "venue_surrogate_key", "venue_hash_value")
+    def of(per_set: dict[str, F.Column], kind: str) -> F.Column:
+        out = F.lit(None).cast(kind)
+        for name, value in per_set.items():
+            out = F.when(F.col("dim_set") == name, value.cast(kind)).otherwise(out)
+        return out
+
+    number = lambda c: F.col(c).cast("string").try_cast("int")
+    # A natural key as (number, text, number, text), in the order keys follow.
+    keys = g.withColumn("dim_set", which).select(
+        "dim_set",
+        of({"season": number("season"), "date": number("match_year"),
+            "stadium": number("venue_id")}, "int").alias("n1"),
+        of({"match_type": F.col("match_type"), "series_name": F.col("series_name"),
+            "toss_choice": F.col("toss_choice"), "venue_location": F.col("venue_location"),
+            "date": F.col("match_month"), "stadium": F.col("stadium")}, "string").alias("t1"),
+        of({"date": number("match_day")}, "int").alias("n2"),
+        of({"stadium": F.when(F.col("venue_location").isNotNull(), hash_key("venue_location"))},
+           "string").alias("t2")).distinct()
+    whole = (F.when(F.col("dim_set") == "season", F.col("n1").isNotNull())
+             .when(F.col("dim_set") == "date", F.col("n1").isNotNull() & F.col("t1").isNotNull()
+                   & F.col("n2").isNotNull())
+             .when(F.col("dim_set") == "stadium", F.col("n1").isNotNull() & F.col("t1").isNotNull()
+                   & F.col("t2").isNotNull())
+             .otherwise(F.col("t1").isNotNull()))
+    keyed = assign_surrogate_keys(keys.where(whole), ["n1", "t1", "n2", "t2"], "key",
+                                  groups=["dim_set"])
+
+    def dim(name: str, key: str, hash_col: str, natural: list, hashed: list) -> DataFrame:
+        return keyed.where(F.col("dim_set") == name).select(
+            F.col("key").alias(key), hash_key(*hashed).alias(hash_col),
+            *[F.col(c).alias(out) for c, out in natural])
+
+    return {
+        "match_type": dim("match_type", "match_type_surrogate_key", "match_type_hash_value",
+                          [("t1", "match_type")], ["t1"]),
+        "series_name": dim("series_name", "series_surrogate_key", "series_name_hash_value",
+                           [("t1", "series_name")], ["t1"]),
+        "season": dim("season", "season_surrogate_key", "season_hash_value",
+                      [("n1", "season")], ["n1"]),
+        "toss_choice": dim("toss_choice", "toss_surrogate_key", "toss_hash_value",
+                           [("t1", "toss_choice")], ["t1"]),
+        "venue_location": dim("venue_location", "venue_surrogate_key", "venue_hash_value",
+                              [("t1", "venue_name")], ["t1"]),
+        "date": dim("date", "date_surrogate_key", "date_hash_value",
+                    [("n2", "match_date"), ("t1", "match_month"), ("n1", "match_year")],
+                    ["n2", "t1", "n1"]),
+        "stadium": dim("stadium", "stadium_surrogate_key", "stadium_hash_value",
+                       [("n1", "stadium_id"), ("t1", "stadium_name"), ("t2", "venue_ref_key")],
+                       ["n1", "t1", "t2"]),
+    }
 
 
 def match_hash(ms_alias: str = "") -> F.Column:
@@ -139,14 +151,8 @@ def dim_player(master: DataFrame) -> DataFrame:
         F.coalesce(F.col("player_DOB"), F.lit(DEFAULT_DOB)).alias("dob_text"),
         F.coalesce(F.col("batting_style"), F.lit(DEFAULT_BATTING_STYLE)).alias("batting_style"),
         F.coalesce(F.col("bowling_style"), F.lit(DEFAULT_BOWLING_STYLE)).alias("bowling_style"),
-    ).dropna(subset=["player_id"])
-    # one row per id by a grouped min (partial aggregation before the
-    # shuffle), not a window: an id repeated in a third of the rows stays cheap
-    one = (m.groupBy("player_id")
-           .agg(F.min(F.struct("player_first_name", "player_last_name", "dob_text",
-                               "batting_style", "bowling_style")).alias("__r"))
-           .select("player_id", "__r.*"))
-    one = one.select(
+    )
+    one = one_row_per(m, "player_id").select(
         hash_key("player_id").alias("player_hash_value"), "player_id",
         "player_first_name", "player_last_name",
         F.coalesce(F.try_to_date("dob_text"), F.to_date(F.lit(DEFAULT_DOB))).alias("date_of_birth"),
@@ -157,39 +163,17 @@ def dim_player(master: DataFrame) -> DataFrame:
                         "batting_style", "bowling_style")
 
 
-def dim_date(ms: DataFrame,
-                values: DataFrame | None = None) -> DataFrame:
-    src = _from_set(values, ms, "date").select(F.col("match_day").try_cast("int").alias("match_date"), "match_month",
-                    F.col("match_year").try_cast("int").alias("match_year"))
-    return build_dim(src, ["match_year", "match_month", "match_date"], "date_surrogate_key",
-                     "date_hash_value", hash_cols=["match_date", "match_month", "match_year"]).select(
-        "date_surrogate_key", "date_hash_value", "match_date", "match_month", "match_year")
-
-
-def dim_stadium(ms: DataFrame, dvl: DataFrame,
-                values: DataFrame | None = None) -> DataFrame:
-    """Stadium dimension; refers to its venue location by hash key."""
-    s = (_from_set(values, ms, "stadium").select(F.col("venue_id").try_cast("int").alias("stadium_id"),
-                   F.col("stadium").alias("stadium_name"), "venue_location")
-         .dropDuplicates(["stadium_id", "stadium_name", "venue_location"]))
-    j = s.join(dvl.select(F.col("venue_name").alias("venue_location"), "venue_hash_value"),
-               "venue_location")
-    j = j.select(hash_key("stadium_id", "stadium_name", "venue_hash_value")
-                 .alias("stadium_hash_value"),
-                 "stadium_id", "stadium_name", F.col("venue_hash_value").alias("venue_ref_key"))
-    j = j.dropna(subset=["stadium_id", "stadium_name"])
-    keyed = assign_surrogate_keys(j, ["stadium_id", "stadium_name", "venue_ref_key"],
-                                  "stadium_surrogate_key")
-    return keyed.select("stadium_surrogate_key", "stadium_hash_value", "stadium_id",
-                        "stadium_name", "venue_ref_key")
+# ----------------------------------------------------------------- facts
 
+MATCH_REFS = ["match_ref_key", "toss_choice_ref_key", "match_date_ref_key",
+              "player_of_the_match_ref_key", "team_1_ref_key", "team_2_ref_key",
+              "toss_own_team_ref_key", "match_own_team_ref_key"]
 
-# ----------------------------------------------------------------- facts
 
-def fact_match_info(ms: DataFrame, dmd: DataFrame, dpl: DataFrame, dteam: DataFrame,
+def fact_match_rows(ms: DataFrame, dmd: DataFrame, dpl: DataFrame, dteam: DataFrame,
                     dtoss: DataFrame, ddate: DataFrame, keep_unmatched: bool = False) -> DataFrame:
-    """Factless match fact: one row per distinct combination of the match's
-    references; the team dimension plays four roles.
+    """Factless match fact without its own key: one row per distinct combination of
+    the match's references; the team dimension plays four roles.
 
     ``keep_unmatched=False`` keeps the inner-join meaning (a match whose
     winner or player of the match has no dimension row drops out);
@@ -220,12 +204,7 @@ def fact_match_info(ms: DataFrame, dmd: DataFrame, dpl: DataFrame, dteam: DataFr
                "toss_choice", how)
     j = j.join(ddate.select(F.col("date_hash_value").alias("__dh"),
                             F.col("date_hash_value").alias("match_date_ref_key")), "__dh", how)
-    cols = ["match_ref_key", "toss_choice_ref_key", "match_date_ref_key",
-            "player_of_the_match_ref_key", "team_1_ref_key", "team_2_ref_key",
-            "toss_own_team_ref_key", "match_own_team_ref_key"]
-    f = j.select(*cols).dropDuplicates()
-    keyed = assign_surrogate_keys(f, cols, "match_surrogate_key")
-    return keyed.select("match_surrogate_key", *cols)
+    return j.select(*MATCH_REFS).dropDuplicates()
 
 
 def _fact_refs(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) -> DataFrame:
@@ -240,9 +219,9 @@ def _fact_refs(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) ->
     return j
 
 
-def fact_batting(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) -> DataFrame:
+def fact_batting_rows(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) -> DataFrame:
     j = _fact_refs(ms, dmt, dmd, dpl)
-    f = j.select(
+    return j.select(
         "match_ref_key", "match_type_ref_key", "player_ref_key",
         F.col("runs_scored").cast("int").alias("runs_scored"),
         F.col("balls_faced").cast("int").alias("ball_faced"),
@@ -254,15 +233,11 @@ def fact_batting(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame)
         F.col("dismissal").alias("dimissial_player_name") if "dismissal" in ms.columns
         else F.col("outed_bowler_style").alias("dimissial_player_name"),
         F.col("dismissal_bowler_id").cast("long").alias("dimissial_player_id"))
-    # Keys follow the order of all columns: rows equal in every column may
-    # swap keys, which leaves the table's content unchanged.
-    keyed = assign_surrogate_keys(f, f.columns, "batting_scorecard_surrogate_key")
-    return keyed.select("batting_scorecard_surrogate_key", *f.columns)
 
 
-def fact_bowling(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) -> DataFrame:
+def fact_bowling_rows(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) -> DataFrame:
     j = _fact_refs(ms, dmt, dmd, dpl)
-    f = j.select(
+    return j.select(
         "match_ref_key", "match_type_ref_key", "player_ref_key",
         F.col("overs_bowled").alias("over_bowled"),
         F.col("maiden_over").cast("int").alias("maiden_over"),
@@ -274,5 +249,8 @@ def fact_bowling(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame)
         F.col("wide_ball").cast("int").alias("wide_ball_count"),
         F.col("no_balls").cast("int").alias("no_ball_count"),
         F.col("runs_given").cast("int").alias("runs_given"))
-    keyed = assign_surrogate_keys(f, f.columns, "bowling_scorecard_surrogate_key")
-    return keyed.select("bowling_scorecard_surrogate_key", *f.columns)
+
+
+def keyed_fact(rows: DataFrame, key_col: str) -> DataFrame:
+    """A fact with its surrogate key first: dense and unique, in no order."""
+    return assign_fact_keys(rows, key_col).select(key_col, *rows.columns)

@@ -30,21 +30,9 @@ from pyspark.sql import functions as F
 from ..session import table_path
 
 
-# Tables that grow with the scale factor.
-GROWING = {"lineitem", "orders", "customer", "part", "supplier", "events", "documents"}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a driver table.  A growing table whose files give fewer input
-    splits than the cluster has cores (one large row group, as in the test
-    files) is spread round-robin over the cores; on real data, with many
-    files and splits, the check is false and no shuffle is added."""
-    df = spark.read.parquet(table_path(sf_dir, name))
-    if name in GROWING:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+    """Scan a driver table."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def _round_int(c) -> F.Column:

@@ -39,7 +39,8 @@ bat AS (
          CAST(sum(s.fours_count) AS BIGINT) AS total_fours,
          CAST(sum(s.six_count) AS BIGINT) AS total_sixes,
          CAST(sum(s.catch_taken) AS BIGINT) AS total_catch_taken,
-         avg(s.strike_rate) AS avg_strike_rate
+         avg(s.strike_rate) AS avg_strike_rate,
+         avg(s.strike_rate) FILTER (WHERE s.balls_faced > 0) AS avg_strike_rate_faced
   FROM summary s JOIN pl ON pl.player_id = s.player_id
   GROUP BY ALL
 ),
@@ -68,6 +69,21 @@ def q17_win_count_mart(spark, sf_dir):
     return Warehouse(spark, sf_dir).win_count()
 
 
+@register("q43_win_count_by_winner", with_summary("""
+SELECT f.season, f.series_name, t.n_name AS team_name, f.match_type AS flag,
+       t.n_nationkey AS team_code, count(*) AS match_win_count
+FROM (SELECT DISTINCT match_type, series_name, season, match_id,
+             player_of_the_match_player_id, team_1, team_2, toss_own_by, own_team,
+             toss_choice, match_day, match_month, match_year
+      FROM summary) f
+JOIN nation t ON upper(replace(t.n_name, '-', ' ')) = f.own_team
+GROUP BY ALL
+"""))
+def q43_win_count_by_winner(spark, sf_dir):
+    """The win count keyed on the winning side (q17 keeps the source's toss owner)."""
+    return Warehouse(spark, sf_dir).win_count("match_own_team_ref_key")
+
+
 @register("q18_dismissal_style_pivot", with_summary("""
 SELECT * FROM piv
 """, PLAYER_CTE, PIVOT_CTE))
@@ -105,7 +121,10 @@ SELECT pl.player_name AS Player_name, s.match_type AS flag, s.season AS season_k
        CAST(sum(s.runs_given) AS BIGINT) AS total_runs_given,
        CAST(sum(s.wickets_taken) AS BIGINT) AS total_wickets,
        CAST(sum(CAST(floor(s.overs_bowled) * 6 + round((s.overs_bowled - floor(s.overs_bowled)) * 10) AS INTEGER)) AS BIGINT)
-         AS total_balls_bowled
+         AS total_balls_bowled,
+       CAST(sum(s.runs_given) AS BIGINT) * CAST(6.0 AS DOUBLE)
+         / nullif(CAST(sum(CAST(floor(s.overs_bowled) * 6 + round((s.overs_bowled - floor(s.overs_bowled)) * 10) AS INTEGER)) AS BIGINT), 0)
+         AS runs_per_over
 FROM summary s JOIN pl ON pl.player_id = s.player_id
 GROUP BY ALL
 HAVING sum(s.overs_bowled) <> 0 OR sum(s.maiden_over) <> 0 OR sum(s.economy) <> 0

@@ -98,10 +98,17 @@ def q32_stadium_dimension(spark, sf_dir):
     return Warehouse(spark, sf_dir).dstadium
 
 
+def _without_key(fact, key):
+    """The fact's content, and whether its key is dense and unique: keys of facts
+    follow no order, so their values are not compared."""
+    r = fact.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("d"),
+                 F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    dense = r["n"] == r["d"] and (r["n"] == 0 or (r["lo"], r["hi"]) == (1, r["n"]))
+    return fact.drop(key).withColumn("key_is_dense", F.lit(dense))
+
+
 @register("q33_factless_match_fact", with_summary("""
-SELECT CAST(row_number() OVER (ORDER BY match_ref_key, toss_choice_ref_key, match_date_ref_key,
-         player_of_the_match_ref_key, team_1_ref_key, team_2_ref_key, toss_own_team_ref_key,
-         match_own_team_ref_key) AS BIGINT) AS match_surrogate_key, *
+SELECT *, true AS key_is_dense
 FROM (
   SELECT DISTINCT
     md5(concat_ws('-', s.match_type, s.series_name, CAST(s.season AS VARCHAR), CAST(s.match_id AS VARCHAR))) AS match_ref_key,
@@ -122,20 +129,7 @@ FROM (
 """, DPL, TEAM_REF))
 def q33_factless_match_fact(spark, sf_dir):
     """Factless fact: computed-key (MD5) joins and the team dimension in four roles."""
-    return Warehouse(spark, sf_dir).fmi
-
-
-BAT_COLS = ["match_ref_key", "match_type_ref_key", "player_ref_key", "runs_scored",
-            "ball_faced", "minutes_send", "fours_scored", "sixes_scored", "strike_rate",
-            "catch_taken", "dimissial_player_name", "dimissial_player_id"]
-BOWL_COLS = ["match_ref_key", "match_type_ref_key", "player_ref_key", "over_bowled",
-             "maiden_over", "wickets_taken", "economy", "dots_balls_bowled",
-             "fours_scored_batter", "sixs_scored_batter", "wide_ball_count", "no_ball_count",
-             "runs_given"]
-
-
-def _order(cols):
-    return ", ".join(f"{c} NULLS FIRST" for c in cols)
+    return _without_key(Warehouse(spark, sf_dir).fmi, "match_surrogate_key")
 
 
 FACT_FROM = """
@@ -147,7 +141,7 @@ JOIN dpl ON dpl.player_id = s.player_id"""
 
 
 @register("q34_batting_fact", with_summary(f"""
-SELECT CAST(row_number() OVER (ORDER BY {_order(BAT_COLS)}) AS BIGINT) AS batting_scorecard_surrogate_key, *
+SELECT *, true AS key_is_dense
 FROM (
   SELECT dmd.match_surrogate_key AS match_ref_key, dmt.match_type_surrogate_key AS match_type_ref_key,
          dpl.player_surrogate_key AS player_ref_key,
@@ -159,11 +153,11 @@ FROM (
 """, DMT, DMD, DPL))
 def q34_batting_fact(spark, sf_dir):
     """Batting fact on surrogate keys (3 joins, two on MD5 keys)."""
-    return Warehouse(spark, sf_dir).fbat
+    return _without_key(Warehouse(spark, sf_dir).fbat, "batting_scorecard_surrogate_key")
 
 
 @register("q35_bowling_fact", with_summary(f"""
-SELECT CAST(row_number() OVER (ORDER BY {_order(BOWL_COLS)}) AS BIGINT) AS bowling_scorecard_surrogate_key, *
+SELECT *, true AS key_is_dense
 FROM (
   SELECT dmd.match_surrogate_key AS match_ref_key, dmt.match_type_surrogate_key AS match_type_ref_key,
          dpl.player_surrogate_key AS player_ref_key,
@@ -175,7 +169,7 @@ FROM (
 )
 """, DMT, DMD, DPL))
 def q35_bowling_fact(spark, sf_dir):
-    return Warehouse(spark, sf_dir).fbowl
+    return _without_key(Warehouse(spark, sf_dir).fbowl, "bowling_scorecard_surrogate_key")
 
 
 @register("q40_date_dimension", with_summary("""

@@ -86,7 +86,7 @@ def q16_master_and_bowler_role_joins(spark, sf_dir):
                   F.when(F.col("l_linestatus") == "F", F.col("l_partkey"))
                   .alias("dismissal_bowler_id"))
     t = t.join(master, "player_id")
-    return t.join(bowlers, "dismissal_bowler_id", "left")
+    return resolve.left_join_known(t, bowlers, "dismissal_bowler_id")
 
 
 # ------------------------------------------------------------------ q22

@@ -63,10 +63,11 @@ class Warehouse:
     @classmethod
     def from_silver(cls, silver: DataFrame, master: DataFrame, codes: DataFrame) -> "Warehouse":
         """Star schema and marts over a scorecard silver table; the dismissing
-        bowler's style comes from the player master."""
-        styles = master.select("player_id", "bowling_style")
-        return cls(silver.sparkSession, silver=silver, master=master, codes=codes,
-                   styles=styles)
+        bowler's style comes from the player dimension (one row per id, defaults
+        applied), so every dismissal by a bowler counts once under some style."""
+        w = cls(silver.sparkSession, silver=silver, master=master, codes=codes)
+        w._styles = w.dpl.select("player_id", "bowling_style")
+        return w
 
     @cached_property
     def ms(self) -> DataFrame:
@@ -82,21 +83,37 @@ class Warehouse:
         return self.spark.read.parquet(path)
 
     @cached_property
-    def small(self) -> DataFrame:
-        """Distinct values of the seven small dimensions, one silver scan."""
-        return star.small_dim_values(self.ms)
+    def small(self) -> dict[str, DataFrame]:
+        """The seven small dimensions, from one silver scan."""
+        return star.small_dims(self.ms)
 
-    @cached_property
+    @property
     def dmt(self):
-        return star.dim_match_type(self.ms, values=self.small)
+        return self.small["match_type"]
 
-    @cached_property
+    @property
     def dsn(self):
-        return star.dim_series(self.ms, values=self.small)
+        return self.small["series_name"]
 
-    @cached_property
+    @property
     def dss(self):
-        return star.dim_seasons(self.ms, values=self.small)
+        return self.small["season"]
+
+    @property
+    def ddate(self):
+        return self.small["date"]
+
+    @property
+    def dtoss(self):
+        return self.small["toss_choice"]
+
+    @property
+    def dvl(self):
+        return self.small["venue_location"]
+
+    @property
+    def dstadium(self):
+        return self.small["stadium"]
 
     @cached_property
     def dmd(self):
@@ -114,50 +131,47 @@ class Warehouse:
         return star.dim_player(master)
 
     @cached_property
-    def ddate(self):
-        return star.dim_date(self.ms, values=self.small)
-
-    @cached_property
-    def dtoss(self):
-        return star.dim_toss_choice(self.ms, values=self.small)
+    def match_rows(self):
+        return star.fact_match_rows(self.ms, self.dmd, self.dpl, self.dteam, self.dtoss,
+                                    self.ddate)
 
     @cached_property
-    def dvl(self):
-        return star.dim_venue_location(self.ms, values=self.small)
+    def batting_rows(self):
+        return star.fact_batting_rows(self.ms, self.dmt, self.dmd, self.dpl)
 
     @cached_property
-    def dstadium(self):
-        return star.dim_stadium(self.ms, self.dvl, values=self.small)
+    def bowling_rows(self):
+        return star.fact_bowling_rows(self.ms, self.dmt, self.dmd, self.dpl)
 
+    # The facts as tables, with their own keys; the marts read the rows above.
     @cached_property
     def fmi(self):
-        return star.fact_match_info(self.ms, self.dmd, self.dpl, self.dteam, self.dtoss,
-                                    self.ddate)
+        return star.keyed_fact(self.match_rows, "match_surrogate_key")
 
     @cached_property
     def fbat(self):
-        return star.fact_batting(self.ms, self.dmt, self.dmd, self.dpl)
+        return star.keyed_fact(self.batting_rows, "batting_scorecard_surrogate_key")
 
     @cached_property
     def fbowl(self):
-        return star.fact_bowling(self.ms, self.dmt, self.dmd, self.dpl)
+        return star.keyed_fact(self.bowling_rows, "bowling_scorecard_surrogate_key")
 
     # ------------------------------------------------------------ marts
     def win_count(self, team_ref="toss_own_team_ref_key", count_name="match_win_count"):
-        return marts.win_count_mart(self.fmi, self.dmd, self.dmt, self.dss, self.dsn,
+        return marts.win_count_mart(self.match_rows, self.dmd, self.dmt, self.dss, self.dsn,
                                     self.dteam, team_ref, count_name)
 
     def dismissal_pivot(self):
         styles = (self._styles if self._styles is not None
                   else bowler_styles(self.spark, self.sf_dir))
-        return marts.dismissal_style_pivot(self.fbat, self.dpl, self.dmt, self.dmd, self.dss,
-                                           styles)
+        return marts.dismissal_style_pivot(self.batting_rows, self.dpl, self.dmt, self.dmd,
+                                           self.dss, styles)
 
     def batting(self):
-        return marts.batting_mart(self.fbat, self.dpl, self.dmt, self.dmd, self.dss)
+        return marts.batting_mart(self.batting_rows, self.dpl, self.dmt, self.dmd, self.dss)
 
     def batting_with_styles(self):
         return marts.batting_mart_with_styles(self.batting(), self.dismissal_pivot())
 
     def bowling(self):
-        return marts.bowling_mart(self.fbowl, self.dpl, self.dmt, self.dmd, self.dss)
+        return marts.bowling_mart(self.bowling_rows, self.dpl, self.dmt, self.dmd, self.dss)

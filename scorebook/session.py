@@ -82,5 +82,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/scorebook/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialise(df, name: str):
+    """Write ``df`` under the shared checkpoint folder and read it back.
+
+    The written table cuts the lineage, is read again by lost tasks, and has a
+    size the planner knows, so a small one is broadcast before the other side
+    of a join is shuffled, and a large one is not."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
