@@ -116,7 +116,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
            .select("doc", "version", "pos", F.xxhash64("key").alias("h"), F.hash("key").alias("g"),
                    F.pmod(F.xxhash64(F.lit("batch"), "doc"), F.lit(batches)).cast("int").alias("batch")))
     path = scratch_path(spark, "line-keys")
-    key.write.partitionBy("batch").parquet(path)
+    key.write.parquet(path)
     keys = spark.read.schema(
         "doc long, version long, pos int, h long, g int, batch int").parquet(path)
     runs = LineRuns(spark, fanout)
