@@ -26,6 +26,14 @@ def null_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def lost_rows(df: DataFrame, season_col: str = "season") -> DataFrame:
+    """Rows that no dimension and so no fact can hold, because their season is not a
+    number (or null): one row with their count and that of all rows."""
+    season = F.col(season_col).cast("string").try_cast("int")
+    return df.agg(F.count(F.when(season.isNull(), F.lit(1))).alias("lost_rows"),
+                  F.count(F.lit(1)).alias("total_rows"))
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Per table: its row count, one row each (union of global counts)."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audit
-from .analogue import with_summary
+from .analogue import read, with_summary
 from .q_model import DMD, DPL
 from .queries import register
 from .warehouse import Warehouse
@@ -59,15 +59,25 @@ UNION ALL SELECT 'dim_toss_choice', 0, count(*) FROM (SELECT DISTINCT toss_choic
 UNION ALL SELECT 'dim_venue_location', 0, count(*) FROM (SELECT DISTINCT venue_location FROM summary)
 UNION ALL SELECT 'dim_stadium', 0, count(*)
   FROM (SELECT DISTINCT venue_id, stadium, venue_location FROM summary)
+UNION ALL SELECT 'part with gaps', count(*) FILTER (WHERE p_partkey % 7 = 0 OR p_size % 5 = 0), count(*) FROM part
+UNION ALL SELECT 'silver season', count(*) FILTER (WHERE match_id % 11 = 0), count(*) FROM summary
 """))
 def q38_null_audit(spark, sf_dir):
-    """Rows with a null in any column, for all ten dimensions."""
+    """Rows with a null in any column, for all ten dimensions, for a table with
+    nulls put in two of its columns, and for silver with seasons that are no number."""
     w = Warehouse(spark, sf_dir)
+    gaps = read(spark, sf_dir, "part").select(
+        F.when(F.col("p_partkey") % 7 != 0, F.col("p_name")).alias("p_name"),
+        F.when(F.col("p_size") % 5 != 0, F.col("p_size")).alias("p_size"), "p_brand")
+    odd = w.ms.select(F.when(F.col("match_id") % 11 == 0, F.lit("2007/08"))
+                      .otherwise(F.col("season").cast("string")).alias("season"))
+    lost = audit.lost_rows(odd, "season").select(
+        F.lit("silver season").alias("table_name"), F.col("lost_rows").alias("null_rows"), "total_rows")
     return audit.null_audit({
         "dim_match_type": w.dmt, "dim_series_names_info": w.dsn, "dim_seasons_info": w.dss,
         "dim_match_details": w.dmd, "dim_team_info": w.dteam, "dim_player_details": w.dpl,
         "dim_date": w.ddate, "dim_toss_choice": w.dtoss, "dim_venue_location": w.dvl,
-        "dim_stadium": w.dstadium})
+        "dim_stadium": w.dstadium, "part with gaps": gaps}).unionByName(lost)
 
 
 DRILL_COLS = ["match_id", "player_id", "match_type", "series_name", "season", "runs_scored",
@@ -94,12 +104,43 @@ def q39_drill_through(spark, sf_dir):
     """Top batting fact row (most runs; lowest keys on ties) -> its player
     and match dimension rows -> the silver rows behind it, by semi joins."""
     w = Warehouse(spark, sf_dir)
-    top = (w.fbat.orderBy(F.desc("runs_scored"), "match_ref_key", "player_ref_key")
+    return drill_through(w, w.batting_rows, "runs_scored", DRILL_COLS)
+
+
+def drill_through(w: Warehouse, rows, measure: str, columns: list[str]):
+    """The silver rows behind the fact row with the largest ``measure``."""
+    top = (rows.orderBy(F.desc(measure), "match_ref_key", "player_ref_key")
            .limit(1).select("match_ref_key", "player_ref_key"))
     match_no = (w.dmd.join(top, w.dmd.match_surrogate_key == top.match_ref_key, "left_semi")
                 .select(F.col("match_number").alias("match_id")))
     player = (w.dpl.join(top, w.dpl.player_surrogate_key == top.player_ref_key, "left_semi")
               .select("player_id"))
-    s = w.ms.select(*DRILL_COLS)
+    s = w.ms.select(*columns)
     return (s.join(match_no, "match_id", "left_semi")
             .join(player, s.player_id == player.player_id, "left_semi"))
+
+
+BOWLER_COLS = ["match_id", "player_id", "match_type", "series_name", "season", "runs_given",
+               "wickets_taken", "maiden_over", "dots_ball_bowled", "wide_ball", "no_balls"]
+
+
+@register("q45_bowler_drill_through", with_summary(f"""
+SELECT {", ".join("s." + c for c in BOWLER_COLS)}
+FROM summary s
+WHERE s.match_id IN (
+    SELECT dmd.match_number FROM dmd
+    WHERE dmd.match_surrogate_key = (SELECT match_ref_key FROM top1))
+  AND s.player_id = (SELECT dpl.player_id FROM dpl
+                     WHERE dpl.player_surrogate_key = (SELECT player_ref_key FROM top1))
+""", DMD, DPL, """top1 AS (
+  SELECT dmd.match_surrogate_key AS match_ref_key, dpl.player_surrogate_key AS player_ref_key
+  FROM summary s
+  JOIN dmd ON dmd.match_type = s.match_type AND dmd.series_name = s.series_name
+          AND dmd.season = s.season AND dmd.match_number = s.match_id
+  JOIN dpl ON dpl.player_id = s.player_id
+  ORDER BY s.runs_given DESC, match_ref_key, player_ref_key
+  LIMIT 1)"""))
+def q45_bowler_drill_through(spark, sf_dir):
+    """As q39 from the bowling fact: the row that gave most runs."""
+    w = Warehouse(spark, sf_dir)
+    return drill_through(w, w.bowling_rows, "runs_given", BOWLER_COLS)

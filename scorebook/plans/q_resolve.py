@@ -127,6 +127,38 @@ def q22_surname_resolution(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_partkey", "mention", "resolved_id", "n_candidates")
 
 
+# ------------------------------------------------------------------ q44
+_ANY_ID = "(p_partkey - 100) * 5000000000007"
+
+
+@register("q44_resolution_of_any_id", rf"""
+WITH lp AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, {_ANY_ID} AS id, p.p_name,
+         regexp_extract(p.p_name, '(\S+)\s*$', 1) AS mention
+  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+), cand AS (
+  SELECT DISTINCT m.l_orderkey, m.mention, pe.id,
+         CASE WHEN pe.p_name = m.mention THEN 0 WHEN contains(pe.p_name, m.mention) THEN 1 ELSE 2 END AS score
+  FROM lp m JOIN lp pe ON pe.l_orderkey = m.l_orderkey
+                      AND list_contains(string_split(pe.p_name, ' '), lower(m.mention))
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, mention ORDER BY score, id) AS rn FROM cand
+)
+SELECT lp.l_orderkey, lp.l_linenumber, lp.l_partkey, lp.mention, o.id AS resolved_id
+FROM lp LEFT JOIN ordered o ON o.l_orderkey = lp.l_orderkey AND o.mention = lp.mention AND o.rn = 1
+""")
+def q44_resolution_of_any_id(spark, sf_dir):
+    """As q22 over ids beyond 10^12 and below zero."""
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_name", F.expr(_ANY_ID).alias("id"))
+    lp = li.join(p, li.l_partkey == p.p_partkey)
+    mentions = lp.select("l_orderkey", "l_linenumber", "l_partkey",
+                         F.regexp_extract("p_name", r"(\S+)\s*$", 1).alias("mention"))
+    people = lp.select("l_orderkey", "id", "p_name").dropDuplicates()
+    return resolve.resolve_mentions(mentions, people, "l_orderkey", "mention", "p_name", "id").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "mention", "resolved_id")
+
+
 # ------------------------------------------------------------------ q23
 CANON_WORDS = ["red", "red-widget", "widget", "small", "small-gear", "gear", "blue", "old",
                "cold", "hot-rod", "rod", "large-anvil", "anvil", "new-bolt", "bolt"]
