@@ -97,3 +97,13 @@ def upsert_insert_only(target: DataFrame, source: DataFrame, natural_cols: Seque
     base = max_key(target, key_col)
     new = assign_surrogate_keys(new, natural_cols, key_col, start=base + 1)
     return target.unionByName(new.select(*target.columns))
+
+
+def merge_dimension(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Insert-only merge of two versions of a dimension, known by its hash key: the
+    first column is the surrogate key, the second the hash.  Members of
+    ``target`` keep their keys and content, new ones come after the largest key."""
+    key, hash_col, *rest = target.columns
+    new = source.join(target.select(hash_col), hash_col, "left_anti")
+    keyed = assign_surrogate_keys(new.drop(key), [*rest, hash_col], key, start=max_key(target, key) + 1)
+    return materialise(target.unionByName(keyed.select(*target.columns)), "merged")

@@ -1,18 +1,20 @@
 """End-to-end run over scorecard CSV trees: bronze -> silver -> star -> gold.
 
-``run_load`` loads every match folder not yet in the ledger (all at once),
-``build_gold`` rebuilds the star schema and writes the three CSV marts.
+``run_load`` loads every match folder not yet loaded (all at once),
+``build_gold`` writes the star tables, the CSV marts and the audit.
 Paths are folders of the shared storage (HDFS / object store).
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import PLAYERS_PER_MATCH
-from ..operators import load
-from ..sources import readers, sinks
+from ..operators import audit, load, model
+from ..session import materialise, remove_path
+from ..sources import catalog, readers, sinks
 from .match_summary import KEY, Assembly, assemble, write_load
 from .q_clean import team_code_table
 from .warehouse import Warehouse
@@ -26,53 +28,153 @@ def paths(warehouse: str) -> dict[str, str]:
 
 
 def run_load(spark: SparkSession, root: str, warehouse: str, load_id: str | None = None,
-             expected_rows: int | None = PLAYERS_PER_MATCH) -> Assembly:
-    """Load all new matches under ``root`` into the silver tables."""
+             expected_rows: int | None = PLAYERS_PER_MATCH,
+             among: DataFrame | None = None) -> Assembly | None:
+    """Load all match folders under ``root`` that the ledger does not list as loaded
+    (of ``among``, if given) into the silver tables; None when there are none.
+
+    Folder names come from a listing without content; only the files of the
+    folders to load are read.  Their names are held by the driver, as Spark's own
+    file index of the same folders is."""
     p = paths(warehouse)
     load_id = load_id or load.load_id_now(spark)
+    files = readers.list_match_files(spark, root)
+    available = files.select(KEY).distinct()
+    if among is not None:
+        available = available.join(among.select(KEY).distinct(), KEY, "left_semi")
+    new = load.new_matches(available, load.read_ledger(spark, p["ledger"]), KEY)
+    slugs = sorted(r[KEY] for r in new.toLocalIterator())
+    if not slugs:
+        return None
     master = readers.read_master(spark, root)
     sinks.snapshot(master, p["master"])
     master = spark.read.parquet(p["master"])
-    files = readers.read_match_files(spark, root)
-    ledger = load.read_ledger(spark, p["ledger"])
-    new = load.new_matches(files.available(), ledger, KEY)
-    pick = [KEY]
-
-    def only_new(df: DataFrame) -> DataFrame:
-        return df.join(new.select(*pick), KEY, "left_semi")
-
-    gates = files.file_gates(new)
-    asm = assemble(only_new(files.sheet).drop("file"), only_new(files.batting).drop("file"),
-                   only_new(files.bowling).drop("file"), only_new(files.venue).drop("file"),
-                   master, team_code_table(spark), load_id, expected_rows=expected_rows,
-                   file_gates=gates, stage_path=f"{p['stage']}/{load_id}")
-    return write_load(asm, p["silver"], p["ledger"], p["quarantine"], load_id)
+    chosen = spark.createDataFrame([(s,) for s in slugs], f"{KEY} string")
+    found = readers.read_match_files(spark, root, files.join(chosen, KEY, "left_semi"), slugs)
+    stage = f"{p['stage']}/{load.attempt_id(load_id)}"
+    asm = assemble(found.sheet.drop("file"), found.batting.drop("file"), found.bowling.drop("file"),
+                   found.venue.drop("file"), master, team_code_table(spark), load_id,
+                   expected_rows=expected_rows, file_gates=found.file_gates(chosen), stage_path=stage)
+    asm = write_load(asm, p["silver"], p["ledger"], p["quarantine"], load_id)
+    # The rows are in silver now: what the assembly staged is not read again.
+    loaded = asm.matches.where(F.col("reason").isNull()).select(KEY)
+    remove_path(spark, stage)
+    return Assembly(summary=read_silver(spark, warehouse).join(loaded, KEY, "left_semi")
+                    .withColumn("reason", F.lit(None).cast("string")), matches=asm.matches)
 
 
 def read_silver(spark: SparkSession, warehouse: str) -> DataFrame:
     """The committed silver match summary; the partition column season stays text.
 
-    The ledger is the commit record: only rows of a (match, load) that the
-    ledger lists as loaded are read, so rows of a load that failed before its
-    ledger write (and was then repeated under a new load id) stay invisible."""
+    The ledger is the commit record: only rows of the (match, attempt) it lists
+    as loaded are read, so rows of an attempt that failed before its ledger write
+    stay invisible, also when it is repeated under the same load id."""
+    p = paths(warehouse)
+    ledger = load.read_ledger(spark, p["ledger"])
+    try:
+        rows = spark.read.parquet(p["silver"])
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        raise LookupError(f"no match has been loaded into {p['silver']} yet") from e
+    return (rows.withColumn("season", F.col("season").cast("string"))
+            .join(load.committed(ledger, KEY), [KEY, "load_attempt"], "left_semi"))
+
+
+def read_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The committed quarantine: matches that failed a gate and have not been loaded
+    since, with the reason of their first failed attempt."""
     p = paths(warehouse)
-    done = (load.read_ledger(spark, p["ledger"]).filter(F.col("status") == "loaded")
-            .select(F.col("processed_match_details").alias("match_slug"),
-                    "record_created_timestamp"))
-    return (spark.read.parquet(p["silver"])
-            .withColumn("season", F.col("season").cast("string"))
-            .join(done, ["match_slug", "record_created_timestamp"], "left_semi"))
+    ledger = load.read_ledger(spark, p["ledger"])
+    done = ledger.where(F.col("status") == "loaded").select(F.col("processed_match_details").alias(KEY))
+    return (spark.read.parquet(p["quarantine"])
+            .join(load.committed(ledger, KEY, "quarantined"), [KEY, "load_attempt"], "left_semi")
+            .join(done, KEY, "left_anti"))
+
+
+#: Star table -> attribute of ``Warehouse``.
+STAR = {
+    "dim_match_type": "dmt", "dim_series_names_info": "dsn", "dim_seasons_info": "dss",
+    "dim_match_details": "dmd", "dim_team_info": "dteam", "dim_player_details": "dpl",
+    "dim_date": "ddate", "dim_toss_choice": "dtoss", "dim_venue_location": "dvl",
+    "dim_stadium": "dstadium", "fact_match_info": "fmi", "fact_batting_scorecard": "fbat",
+    "fact_bowling_scorecard": "fbowl",
+}
+
+
+def write_star(w: Warehouse, warehouse: str, rebuild: bool = False) -> dict[str, str]:
+    """Write the ten dimensions and three facts as parquet tables; their paths.
+
+    Dimensions are loaded by insert-only merge on their hash key, so the keys of
+    members they already hold survive; facts are written anew over them.  Each
+    version of a table is a folder of its own, named last in ``current``: a run that
+    fails leaves the old ones readable.  ``rebuild`` starts from empty dimensions."""
+    spark, base = w.spark, f"{paths(warehouse)['gold']}/star"
+    version = load.attempt_id("v")
+    old = {} if rebuild else star_paths(spark, warehouse)
+    out = {}
+    for name, attribute in STAR.items():
+        if name.startswith("dim_"):
+            df = getattr(w, attribute)
+            if name in old:
+                df = model.merge_dimension(spark.read.parquet(old[name]), df)
+                w.replace(attribute, df)
+        else:
+            df = getattr(w, attribute)
+        out[name] = f"{base}/{name}/{version}"
+        df.write.parquet(out[name])
+    (spark.createDataFrame(sorted(out.items()), "table_name string, path string")
+     .coalesce(1).write.mode("overwrite").parquet(f"{base}/current"))
+    return out
+
+
+def star_paths(spark: SparkSession, warehouse: str) -> dict[str, str]:
+    """Paths of the star tables as last written; empty before the first run."""
+    try:
+        rows = spark.read.schema("table_name string, path string").parquet(
+            f"{paths(warehouse)['gold']}/star/current").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r["table_name"]: r["path"] for r in rows}
+
+
+def audit_run(spark: SparkSession, silver: DataFrame, star: dict[str, str]) -> DataFrame:
+    """The checks after a run, one row each: name, value, expected (null: for information)."""
+    read = {t: spark.read.parquet(p) for t, p in star.items()}
+    n = silver.count()
+    rows = [("silver rows", n, None), *[
+        (f"{t} rows", read[t].count(), n) for t in ("fact_batting_scorecard", "fact_bowling_scorecard")]]
+    keys = silver.select("match_type", "series_name", "season", "match_id").distinct().count()
+    rows.append(("dim_match_details rows", read["dim_match_details"].count(), keys))
+    lost = audit.lost_rows(silver).first()
+    rows.append(("silver rows without a season", lost["lost_rows"], 0))
+    for r in audit.null_audit({t: d for t, d in read.items() if t.startswith("dim_")}).collect():
+        rows.append((f"{r['table_name']} rows with a null", r["null_rows"], 0))
+    return spark.createDataFrame(rows, "check_name string, value long, expected long")
+
 
+def build_gold(spark: SparkSession, warehouse: str, database: str | None = None,
+               rebuild: bool = False) -> dict[str, DataFrame]:
+    """Star tables over the whole silver table, the CSV marts, and the audit table.
 
-def build_gold(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    """Star schema over the whole silver table and the three CSV marts."""
+    With ``database`` the star, silver and ledger are registered under names."""
     p = paths(warehouse)
     silver = read_silver(spark, warehouse)
     w = Warehouse.from_silver(silver, spark.read.parquet(p["master"]), team_code_table(spark))
+    star = write_star(w, warehouse, rebuild)
     out = {"format_wise_analysis": w.win_count(),
+           "format_wise_winners": w.win_count("match_own_team_ref_key"),
            "batting_analysis": w.batting_with_styles(),
            "bowling_analysis": w.bowling()}
     for name, df in out.items():
         sinks.write_csv_mart(df, f"{p['gold']}/{name}")
+    out["audit"] = materialise(audit_run(spark, silver, star), "audit")
+    out["audit"].write.mode("overwrite").parquet(f"{p['gold']}/audit")
+    if database:
+        catalog.register_all(spark, database, star | {
+            "match_summary": p["silver"], "processed_matches": p["ledger"],
+            "player_master": p["master"], "audit": f"{p['gold']}/audit"})
     out["warehouse"] = w
     return out

@@ -82,6 +82,16 @@ class Warehouse:
         write_table(df, path)
         return self.spark.read.parquet(path)
 
+    SMALL = {"dmt": "match_type", "dsn": "series_name", "dss": "season", "ddate": "date",
+             "dtoss": "toss_choice", "dvl": "venue_location", "dstadium": "stadium"}
+
+    def replace(self, attribute: str, df: DataFrame) -> None:
+        """Use ``df`` for a dimension from here on (its merged form)."""
+        if attribute in self.SMALL:
+            self.small[self.SMALL[attribute]] = df
+        else:
+            self.__dict__[attribute] = df
+
     @cached_property
     def small(self) -> dict[str, DataFrame]:
         """The seven small dimensions, from one silver scan."""

@@ -82,6 +82,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/scorebook/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables in whatever store holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df, name: str):
     """Write ``df`` under the shared checkpoint folder and read it back.
 

@@ -1,8 +1,8 @@
 """Readers for the scorecard CSV trees, with declared schemas.
 
 Every part is one scan over all match folders at once (a path glob), with
-the match folder taken from ``_metadata.file_path``; nothing is listed or
-read per match on the driver.  Measures are read as text and cast safely
+the match folder taken from ``_metadata.file_path``.  Which folders are there
+is known from file names alone; a load then reads the files of new folders only.  Measures are read as text and cast safely
 later, so '-' and '4.3' behave the same in every file.
 
 Layout under ``root``::
@@ -16,8 +16,10 @@ Layout under ``root``::
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,15 +40,59 @@ VENUE_SCHEMA = T.StructType([T.StructField(c, S) for c in [
     "Toss", "Series", "Season", "Player_Of_The_Match", "Match_number", "Match_date", "Points"]])
 
 
+#: Part -> (tree, path below the match folder, how a file of it is named).
+PARTS = {
+    "team sheet": ("team-details", "*.csv", "player"),
+    "venue": ("venue-details", "*.csv", ""),
+    "batting": ("batting-scorecard", "scorecard/*", "batting"),
+    "bowling": ("bowling-scorecard", "scorecard/*", "bowling"),
+}
+_TREES = "|".join(tree for tree, _, _ in PARTS.values())
+
+
 def _csv(spark: SparkSession, schema: T.StructType, glob: str, header: bool) -> DataFrame:
     return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
             .option("recursiveFileLookup", False).csv(glob))
 
 
-def _with_file(df: DataFrame, tree: str) -> DataFrame:
+def slug_of(path: F.Column) -> F.Column:
+    """The match folder of a file's path."""
+    return F.regexp_extract(path, rf"/match-details/(?:{_TREES})/([^/]+)/", 1)
+
+
+def _match_csv(spark: SparkSession, schema: T.StructType, root: str, part: str,
+               slugs: Sequence[str] | None) -> DataFrame:
+    """One scan of a part's files.  With ``slugs`` only those folders: the condition is on
+    the file's path alone, so Spark drops the other files before it reads any."""
+    tree, below, prefix = PARTS[part]
     path = F.col("_metadata.file_path")
-    return df.select("*", F.regexp_extract(path, rf"/{tree}/([^/]+)/", 1).alias("match_slug"),
-                     F.col("_metadata.file_name").alias("file"))
+    df = _csv(spark, schema, f"{root}/match-details/{tree}/*/{below}", True)
+    if slugs is not None:
+        df = df.where(slug_of(path).isin(list(slugs)))
+    df = df.select("*", slug_of(path).alias("match_slug"), F.col("_metadata.file_name").alias("file"))
+    return df.where(F.lower("file").startswith(prefix)) if prefix else df
+
+
+def list_match_files(spark: SparkSession, root: str) -> DataFrame:
+    """(match_slug, part, file) of every match file that is not without a byte, from
+    names alone: no content is read."""
+    found = None
+    for part, (tree, below, prefix) in PARTS.items():
+        glob = f"{root}/match-details/{tree}/*/{below}"
+        try:
+            files = spark.read.format("binaryFile").load(glob).select("path")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue  # no match has a file of this part yet
+        name = F.element_at(F.split("path", "/"), -1)
+        files = files.where(F.lower(name).startswith(prefix)) if prefix else files
+        files = files.select(slug_of(F.col("path")).alias("match_slug"), F.lit(part).alias("part"),
+                             name.alias("file"))
+        found = files if found is None else found.unionByName(files)
+    if found is None:
+        return spark.createDataFrame([], "match_slug string, part string, file string")
+    return found
 
 
 def read_master(spark: SparkSession, root: str) -> DataFrame:
@@ -63,44 +109,43 @@ def read_master(spark: SparkSession, root: str) -> DataFrame:
 
 @dataclass
 class MatchFiles:
+    files: DataFrame  # (match_slug, part, file) from names alone
     batting: DataFrame
     bowling: DataFrame
     sheet: DataFrame
     venue: DataFrame
 
-    def available(self) -> DataFrame:
-        """Every match folder holding at least one file of any part."""
-        return (self.venue.select("match_slug").union(self.sheet.select("match_slug"))
-                .union(self.batting.select("match_slug"))
-                .union(self.bowling.select("match_slug")).distinct())
-
     def file_gates(self, available: DataFrame) -> DataFrame:
         """Per match: the first missing / duplicated / empty part, or null."""
         from ..operators import load
 
-        def files(df):
-            return df.select("match_slug", "file")
+        def named(part):
+            return self.files.where(F.col("part") == part).select("match_slug", "file")
 
+        rows = {"team sheet": self.sheet, "venue": self.venue, "batting": self.batting,
+                "bowling": self.bowling}
+        filled = {p: df if p == "venue" else df.filter(F.col("player_name").isNotNull())
+                  for p, df in rows.items()}
         return load.presence_gates(available, "match_slug", [
-            ("team sheet", files(self.sheet), self.sheet.filter(F.col("player_name").isNotNull()), True),
-            ("venue", files(self.venue), self.venue, True),
-            ("batting", files(self.batting), self.batting.filter(F.col("player_name").isNotNull()), False),
-            ("bowling", files(self.bowling), self.bowling.filter(F.col("player_name").isNotNull()), False),
+            (p, named(p), filled[p], p in ("team sheet", "venue")) for p in rows
         ]).select("match_slug", "reason")
 
 
-def read_match_files(spark: SparkSession, root: str) -> MatchFiles:
-    md = f"{root}/match-details"
-    bat = _with_file(_csv(spark, BATTING_SCHEMA, f"{md}/batting-scorecard/*/scorecard/*", True),
-                     "batting-scorecard")
-    bowl = _with_file(_csv(spark, BOWLING_SCHEMA, f"{md}/bowling-scorecard/*/scorecard/*", True),
-                      "bowling-scorecard")
-    sheet = _with_file(_csv(spark, SHEET_SCHEMA, f"{md}/team-details/*/*.csv", True),
-                       "team-details")
-    venue = _with_file(_csv(spark, VENUE_SCHEMA, f"{md}/venue-details/*/*.csv", True),
-                       "venue-details")
-    return MatchFiles(
-        batting=bat.filter(F.lower("file").startswith("batting")),
-        bowling=bowl.filter(F.lower("file").startswith("bowling")),
-        sheet=sheet.filter(F.lower("file").startswith("player")),
-        venue=venue.withColumn("venue_file", F.col("file")))
+def read_match_files(spark: SparkSession, root: str, files: DataFrame | None = None,
+                     slugs: Sequence[str] | None = None) -> MatchFiles:
+    """The rows of the match folders ``slugs`` (all, if not given)."""
+    files = list_match_files(spark, root) if files is None else files
+
+    def read(part, schema):
+        # a part that no match has yet is an empty table
+        try:
+            return _match_csv(spark, schema, root, part, slugs)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], T.StructType(
+                [*schema.fields, T.StructField("match_slug", S), T.StructField("file", S)]))
+
+    return MatchFiles(files=files, batting=read("batting", BATTING_SCHEMA),
+                      bowling=read("bowling", BOWLING_SCHEMA), sheet=read("team sheet", SHEET_SCHEMA),
+                      venue=read("venue", VENUE_SCHEMA).withColumn("venue_file", F.col("file")))

@@ -1,11 +1,11 @@
 """Incremental load as a file-source stream (optional form of the batch load).
 
-New venue files under ``match-details/venue-details/<match>/`` are the
-signal that a match folder arrived.  Each micro-batch runs the set-based load
-for the matches of that batch that are not yet in the ledger; the ledger
-anti join makes a replayed batch add nothing.  ``trigger(availableNow=True)``
-processes what is there and stops, which suits a scheduled job; the stream's
-own checkpoint records which files were seen.
+A new file in any of the four trees of ``match-details`` names its match folder,
+so a file that lands later than the rest brings its match up again.  Each
+micro-batch runs the set-based load for the folders it names that are not
+loaded yet; the ledger makes a replayed batch add nothing, whatever its
+number.  ``trigger(availableNow=True)`` processes what is there and stops, which
+suits a scheduled job; the stream's own checkpoint records which files were seen.
 """
 
 from __future__ import annotations
@@ -15,48 +15,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.fixed import PLAYERS_PER_MATCH
-from ..operators import load
 from ..plans import scorecard_load
-from ..plans.match_summary import KEY, assemble, write_load
-from ..plans.q_clean import team_code_table
-from ..sources import readers, sinks
-
-
-def _load_batch(spark: SparkSession, root: str, warehouse: str, slugs: DataFrame,
-                load_id: str, expected_rows: int | None) -> None:
-    p = scorecard_load.paths(warehouse)
-    master = readers.read_master(spark, root)
-    sinks.snapshot(master, p["master"])
-    master = spark.read.parquet(p["master"])
-    files = readers.read_match_files(spark, root)
-    ledger = load.read_ledger(spark, p["ledger"])
-    new = load.new_matches(slugs.select(KEY).distinct(), ledger, KEY)
-    new = new.checkpoint(eager=True)
-    if new.isEmpty():
-        return
-
-    def only_new(df: DataFrame) -> DataFrame:
-        return df.join(new, KEY, "left_semi").drop("file")
-
-    asm = assemble(only_new(files.sheet), only_new(files.batting), only_new(files.bowling),
-                   only_new(files.venue), master, team_code_table(spark), load_id,
-                   expected_rows=expected_rows, file_gates=files.file_gates(new),
-                   stage_path=f"{p['stage']}/{load_id}")
-    write_load(asm, p["silver"], p["ledger"], p["quarantine"], load_id)
+from ..plans.match_summary import KEY
+from ..sources import readers
 
 
 def start(spark: SparkSession, root: str, warehouse: str, checkpoint_location: str,
           expected_rows: int | None = PLAYERS_PER_MATCH,
           available_now: bool = True) -> StreamingQuery:
-    """Start the stream; each micro-batch loads the new matches it names."""
-    venue = (spark.readStream.schema(readers.VENUE_SCHEMA).option("header", True)
-             .csv(f"{root}/match-details/venue-details/*/"))
-    slugs = venue.select(F.regexp_extract(F.col("_metadata.file_path"),
-                                          r"/venue-details/([^/]+)/", 1).alias(KEY))
+    """Start the stream; each micro-batch loads the matches whose files it names."""
+    # Only paths are selected, so the files' content is not read here.
+    files = (spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
+             .schema("path string, modificationTime timestamp, length long, content binary")
+             .load(f"{root}/match-details"))
+    slugs = (files.select(readers.slug_of(F.col("path")).alias(KEY))
+             .where(F.col(KEY) != ""))
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        _load_batch(batch.sparkSession, root, warehouse, batch, f"stream{epoch_id:012d}",
-                    expected_rows)
+        scorecard_load.run_load(batch.sparkSession, root, warehouse, f"stream{epoch_id:012d}",
+                                expected_rows, among=batch)
 
     w = slugs.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -2,10 +2,13 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from scorebook.operators import load
 from scorebook.plans import scorecard_load
-from tests.scorecard_fixture import IDS, build_tree, write_match
+from scorebook.sources import catalog, readers
+from tests.scorecard_fixture import IDS, build_tree, write_master, write_match
 
 
 def rows_by(df, key):
@@ -61,19 +64,24 @@ def test_load_gates_resolution_and_rerun(spark, workdir):
     assert (r2["match_day"], r2["match_month"], r2["match_year"]) == (1, "MARCH", 2019)
     assert r2["player_of_the_match_player_id"] == 0
 
-    # second run: nothing new, nothing added
+    # second run: only the failed ones are tried again, nothing is added
     asm2 = scorecard_load.run_load(spark, root, wh, load_id="20240102000000")
-    assert asm2.matches.count() == 0
-    assert spark.read.parquet(p["silver"]).count() == 44
-    # a late match is picked up alone
+    assert asm2.matches.where("reason is null").count() == 0 and asm2.matches.count() == 3
+    assert scorecard_load.read_silver(spark, wh).count() == 44
+    # a late match is picked up
     write_match(root, "india-vs-pakistan-6th-odi-1006", "ground-y-60.csv", "India won by 9 runs",
                 season="2021")
     asm3 = scorecard_load.run_load(spark, root, wh, load_id="20240103000000")
-    assert [r["match_slug"] for r in asm3.matches.collect()] == ["india-vs-pakistan-6th-odi-1006"]
+    assert [r["match_slug"] for r in asm3.matches.where("reason is null").collect()] == [
+        "india-vs-pakistan-6th-odi-1006"]
+    assert asm3.loaded.count() == 22
     assert spark.read.parquet(p["silver"]).count() == 66
     ledger = spark.read.parquet(p["ledger"])
-    assert ledger.count() == 6
-    assert ledger.filter("status = 'quarantined'").count() == 3
+    assert ledger.where("status = 'loaded'").count() == 3
+    assert ledger.where("status = 'quarantined'").count() == 9
+    quarantined = {r["match_slug"]: r["reason"] for r in scorecard_load.read_quarantine(spark, wh).collect()}
+    assert quarantined == {k: v for k, v in reasons.items() if v}
+    assert not os.path.exists(p["stage"]) or not os.listdir(p["stage"])
 
     # gold: star schema and marts over the whole silver table
     gold = scorecard_load.build_gold(spark, wh)
@@ -86,7 +94,108 @@ def test_load_gates_resolution_and_rerun(spark, workdir):
     assert bat["Babar-Azam"]["total_runs"] == 77 and bat["Babar-Azam"]["runs_rank"] == 1
     bowl = gold["bowling_analysis"]
     assert bowl.filter(F.col("Player_name") == "Rohit-Sharma").count() == 0   # did not bowl
-    assert os.path.isdir(os.path.join(p["gold"], "batting_analysis"))
+    csv = spark.read.option("header", True).csv(os.path.join(p["gold"], "batting_analysis"))
+    assert csv.count() == gold["batting_analysis"].count()
+    # every dismissal by a bowler counts once, under the style of the player dimension
+    styles = [c for c in gold["batting_analysis"].columns if "arm" in c]
+    total = gold["batting_analysis"].agg(*[F.sum(c).alias(c) for c in styles]).first()
+    by_bowler = w.fbat.where("dimissial_player_id <> 0").count()
+    assert sum(total) == by_bowler and by_bowler > 0
+    failed = gold["audit"].where("value <> expected").collect()
+    assert failed == []
+
+
+def test_repeated_load_id_does_not_double(spark, workdir, monkeypatch):
+    """A load that fails before its ledger write, repeated under the same id."""
+    root, wh = os.path.join(workdir, "bronze"), os.path.join(workdir, "warehouse")
+    build_tree(root)
+
+    def fail(*_):
+        raise OSError("store lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(load, "append_ledger", fail)
+        with pytest.raises(OSError):
+            scorecard_load.run_load(spark, root, wh, load_id="20240101000000")
+    scorecard_load.run_load(spark, root, wh, load_id="20240101000000")
+    assert spark.read.parquet(scorecard_load.paths(wh)["silver"]).count() == 88
+    per_match = scorecard_load.read_silver(spark, wh).groupBy("match_slug").count().collect()
+    assert sorted(r["count"] for r in per_match) == [22, 22]
+    assert scorecard_load.read_quarantine(spark, wh).count() == 3
+
+
+def test_late_file_and_doubled_venue(spark, workdir):
+    root, wh = os.path.join(workdir, "bronze"), os.path.join(workdir, "warehouse")
+    write_master(root)
+    late, two_rows, two_files, empty = (f"india-vs-pakistan-{k}th-odi-200{k}" for k in range(1, 5))
+    write_match(root, late, "lords-london-58.csv", "India won by 1 run", batting=False)
+    write_match(root, two_rows, "lords-london-58.csv", "India won by 1 run", number="2nd ODI")
+    write_match(root, two_files, "lords-london-58.csv", "India won by 1 run", number="3rd ODI")
+    write_match(root, empty, "lords-london-58.csv", "India won by 1 run", number="4th ODI")
+    md = f"{root}/match-details"
+    with open(f"{md}/venue-details/{two_rows}/lords-london-58.csv") as f:
+        rows = f.read().splitlines()
+    with open(f"{md}/venue-details/{two_rows}/lords-london-58.csv", "a") as f:
+        f.write(rows[1] + "\n")
+    with open(f"{md}/venue-details/{two_files}/other-london-59.csv", "w") as f:
+        f.write("\n".join(rows[:2]) + "\n")
+    for k in (1, 2):
+        with open(f"{md}/bowling-scorecard/{empty}/scorecard/bowling{k}.csv", "w") as f:
+            f.write("PLAYER_NAME,OVERS_BOWLED\n")  # a file of no bytes at all counts as missing
+    asm = scorecard_load.run_load(spark, root, wh, load_id="20240101000000")
+    got = [(r["match_slug"], r["reason"]) for r in asm.matches.collect()]
+    assert sorted(got) == [(late, "missing batting file"), (two_rows, None), (two_files, "several venues"),
+                           (empty, "empty bowling file")]
+    assert scorecard_load.read_silver(spark, wh).count() == 22
+    write_match(root, late, "lords-london-58.csv", "India won by 1 run")
+    scorecard_load.run_load(spark, root, wh, load_id="20240102000000")
+    per_match = {r[0]: r[1] for r in scorecard_load.read_silver(spark, wh).groupBy("match_slug").count().collect()}
+    assert per_match == {late: 22, two_rows: 22}
+    assert {r["match_slug"] for r in scorecard_load.read_quarantine(spark, wh).collect()} == {two_files, empty}
+
+
+def test_unreadable_ledger_raises(spark):
+    with pytest.raises(Exception, match="(?i)scheme|filesystem"):
+        load.read_ledger(spark, "nosuchstore://host/ledger").count()
+
+
+def test_only_new_folders_are_read(spark, workdir):
+    root, wh = os.path.join(workdir, "bronze"), os.path.join(workdir, "warehouse")
+    build_tree(root)
+    scorecard_load.run_load(spark, root, wh, load_id="20240101000000")
+    new = "india-vs-pakistan-6th-odi-1006"
+    write_match(root, new, "ground-y-60.csv", "India won by 9 runs", season="2021")
+    found = readers.read_match_files(spark, root, slugs=[new])
+    for df, files in ((found.batting, 2), (found.bowling, 2), (found.sheet, 1), (found.venue, 1)):
+        assert {r["match_slug"] for r in df.collect()} == {new}
+        scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert scan.metrics().apply("numFiles").value() == files
+
+
+def test_star_tables_by_name_over_two_loads(spark, workdir):
+    root, wh = os.path.join(workdir, "bronze"), os.path.join(workdir, "warehouse")
+    build_tree(root)
+    scorecard_load.run_load(spark, root, wh, load_id="20240101000000")
+    scorecard_load.build_gold(spark, wh, database="scorebook_star")
+    sql = ("SELECT d.match_surrogate_key, d.match_details_hash_value FROM scorebook_star.dim_match_details d")
+    before = {r[1]: r[0] for r in spark.sql(sql).collect()}
+    assert sorted(before.values()) == [1, 2]
+    # a match that sorts before the old ones
+    write_match(root, "india-vs-pakistan-6th-odi-1006", "aaa-aaa-10.csv", "India won by 9 runs", number="0 ODI",
+                series="A series", season="1999")
+    scorecard_load.run_load(spark, root, wh, load_id="20240102000000")
+    scorecard_load.build_gold(spark, wh, database="scorebook_star")
+    after = {r[1]: r[0] for r in spark.sql(sql).collect()}
+    assert {k: after[k] for k in before} == before and sorted(after.values()) == [1, 2, 3]
+    n = spark.sql("""SELECT count(*) FROM scorebook_star.fact_batting_scorecard f
+        JOIN scorebook_star.dim_match_details d ON d.match_surrogate_key = f.match_ref_key
+        JOIN scorebook_star.dim_player_details p ON p.player_surrogate_key = f.player_ref_key""").first()[0]
+    assert n == 66
+    scorecard_load.build_gold(spark, wh, database="scorebook_star", rebuild=True)
+    assert sorted(r[0] for r in spark.sql(sql).collect()) == [1, 2, 3]
+    assert {"dim_stadium", "fact_match_info", "match_summary", "processed_matches"} <= set(
+        catalog.list_tables(spark, "scorebook_star"))
+    catalog.create_database(spark, "scorebook_star", replace=True)
 
 
 def test_uncommitted_load_is_invisible(spark, workdir):
@@ -99,6 +208,7 @@ def test_uncommitted_load_is_invisible(spark, workdir):
     silver = scorecard_load.read_silver(spark, wh)
     n = silver.count()
     # a failed run left rows under another load id but no ledger rows
-    orphan = silver.withColumn("record_created_timestamp", F.lit("20240105000000"))
+    orphan = silver.withColumns({"record_created_timestamp": F.lit("20240105000000"),
+                                 "load_attempt": F.lit("20240105000000-lost")})
     orphan.write.mode("append").partitionBy("season", "match_type").parquet(p["silver"])
     assert scorecard_load.read_silver(spark, wh).count() == n
