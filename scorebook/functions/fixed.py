@@ -81,9 +81,7 @@ DEFAULT_BOWLING_STYLE = "RIGHT-ARM OFFBREAK"
 # Default month of a match date with no month.
 DEFAULT_MONTH = "JANUARY"
 
-# --- end of fixed values ----------------------------------------------------
-
-# Column lists of the bronze files (positional names).
+# Columns of the bronze files: their names and order are part of the result.
 TEAM_SHEET_COLUMNS = ["player_name", "player_id", "captain_flag"]
 BATTING_COLUMNS = ["player_name", "dismissal", "runs_scored", "balls_faced", "minutes_send",
                    "fours_count", "six_count", "strike_rate"]
@@ -93,30 +91,31 @@ BOWLING_COLUMNS = ["player_name", "overs_bowled", "maiden_over", "runs_given", "
 MASTER_COLUMNS = ["player_id", "player_first_name", "player_last_name", "player_DOB",
                   "country_representative", "batting_style", "bowling_style"]
 
-MATCH_SUMMARY_COLUMNS = [
-    "match_id", "match_type", "series_name", "season", "team_1", "team_2", "toss_own_by",
-    "toss_choice", "own_team", "match_day", "match_month", "match_year",
-    "player_of_the_match_player_name", "player_of_the_match_player_id", "venue_id",
-    "venue_location", "stadium", "player_id", "player_name", "player_DOB",
-    "country_representative", "country_representative_code", "captain_flag", "batting_style",
-    "runs_scored", "balls_faced", "minutes_send", "fours_count", "six_count", "strike_rate",
-    "dismissal", "dismissal_bowler_id", "outed_bowler_style", "catch_taken", "bowling_style",
-    "overs_bowled", "maiden_over", "runs_given", "wickets_taken", "economy",
-    "dots_ball_bowled", "fours_scored_by_batter", "six_scored_by_batter", "wide_ball",
-    "no_balls",
+# Silver match summary: each column and what it holds.  The names and their order are
+# part of the result.  int and double are cast safely and filled with 0, upper is
+# upper-case text, text is left as it is.
+MATCH_SUMMARY_SCHEMA = [
+    ("match_id", "int"), ("match_type", "upper"), ("series_name", "upper"), ("season", "upper"),
+    ("team_1", "upper"), ("team_2", "upper"), ("toss_own_by", "upper"), ("toss_choice", "upper"),
+    ("own_team", "upper"), ("match_day", "int"), ("match_month", "upper"), ("match_year", "int"),
+    ("player_of_the_match_player_name", "upper"), ("player_of_the_match_player_id", "int"),
+    ("venue_id", "int"), ("venue_location", "upper"), ("stadium", "upper"), ("player_id", "int"),
+    ("player_name", "upper"), ("player_DOB", "text"), ("country_representative", "upper"),
+    ("country_representative_code", "int"), ("captain_flag", "upper"), ("batting_style", "upper"),
+    ("runs_scored", "int"), ("balls_faced", "int"), ("minutes_send", "int"),
+    ("fours_count", "int"), ("six_count", "int"), ("strike_rate", "double"),
+    ("dismissal", "upper"), ("dismissal_bowler_id", "int"), ("outed_bowler_style", "upper"),
+    ("catch_taken", "int"), ("bowling_style", "upper"), ("overs_bowled", "double"),
+    ("maiden_over", "int"), ("runs_given", "int"), ("wickets_taken", "int"),
+    ("economy", "double"), ("dots_ball_bowled", "int"), ("fours_scored_by_batter", "int"),
+    ("six_scored_by_batter", "int"), ("wide_ball", "int"), ("no_balls", "int"),
 ]
 
-SUMMARY_UPPER_COLUMNS = [
-    "match_type", "series_name", "season", "team_1", "team_2", "toss_own_by", "toss_choice",
-    "own_team", "match_month", "player_of_the_match_player_name", "venue_location", "stadium",
-    "player_name", "country_representative", "batting_style", "captain_flag", "dismissal",
-    "outed_bowler_style", "bowling_style",
-]
-SUMMARY_DOUBLE_COLUMNS = ["overs_bowled", "economy", "strike_rate"]
-SUMMARY_INT_COLUMNS = [
-    "maiden_over", "runs_given", "wickets_taken", "dots_ball_bowled", "fours_scored_by_batter",
-    "six_scored_by_batter", "wide_ball", "no_balls", "catch_taken", "runs_scored",
-    "balls_faced", "minutes_send", "fours_count", "six_count", "match_day", "match_year",
-    "match_id", "player_of_the_match_player_id", "venue_id", "player_id",
-    "country_representative_code", "dismissal_bowler_id",
-]
+# --- end of fixed values ----------------------------------------------------
+
+MATCH_SUMMARY_COLUMNS = [name for name, _ in MATCH_SUMMARY_SCHEMA]
+
+
+def summary_columns(kind: str) -> list[str]:
+    """The silver columns of a kind, in silver order."""
+    return [name for name, k in MATCH_SUMMARY_SCHEMA if k == kind]

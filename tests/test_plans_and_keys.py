@@ -22,12 +22,41 @@ def test_no_python_udf_or_cartesian(spark):
             assert bad not in p, (name, bad)
 
 
-def test_filter_and_columns_reach_the_scan(spark):
-    df = (spark.read.parquet(f"{SF}/lineitem.parquet")
-          .filter(F.col("l_returnflag") == "R").select("l_orderkey", "l_quantity"))
-    p = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in p
-    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string>" in p
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_marts_move_no_fact_by_range(spark):
+    """Facts are neither sorted for a key nor run again for each rank."""
+    qs = queries()
+    for name in ["q17_win_count_mart", "q20_batting_mart_ranks", "q21_bowling_mart"]:
+        p = final_plan(qs[name](spark, SF))
+        assert "rangepartitioning" not in p, name
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+    ranked = final_plan(qs["q20_batting_mart_ranks"](spark, SF))
+    assert "silver_match_summary" not in ranked  # the written totals are read, not the fact
+    assert "runs_scored" not in ranked
+
+
+def test_bowling_mart_reads_the_columns_it_sums(spark):
+    p = final_plan(queries()["q21_bowling_mart"](spark, SF))
+    scan = [line for line in p.splitlines() if "FileScan" in line and "silver_match_summary" in line]
+    assert scan and all("strike_rate" not in line for line in scan)
+
+
+def test_null_bowlers_stay_out_of_the_exchange(spark):
+    """With broadcast off, rows that name no bowler are not shuffled by that name."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        p = plan_text(queries()["q16_master_and_bowler_role_joins"](spark, SF))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in p and "Union" in p and "isnotnull(CASE WHEN" in p
 
 
 def test_surrogate_keys_dense_and_ordered(spark):
@@ -65,13 +94,10 @@ def test_catalog_database_tables(spark, workdir):
     assert catalog.list_tables(spark, "scorebook_test") == []
 
 
-def test_dimension_joins_broadcast_at_run_time(spark):
-    """Fact-to-dimension joins become broadcast joins from runtime sizes."""
-    df = queries()["q17_win_count_mart"](spark, SF)
-    df.collect()
-    p = df._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in p
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+def test_dimension_joins_are_broadcast_before_the_fact_moves(spark):
+    """Dimensions are written tables of known size: the first plan broadcasts them."""
+    p = plan_text(queries()["q21_bowling_mart"](spark, SF))
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
 
 
 def test_ranks_start_at_one_per_group(spark):
@@ -82,6 +108,29 @@ def test_ranks_start_at_one_per_group(spark):
         assert (r.runs_rank, r.strike_rate_rank, r.fours_rank, r.sixes_rank) == (1, 1, 1, 1)
 
 
+def test_ranks_equal_the_window(spark):
+    from pyspark.sql import Window
+
+    from scorebook.operators import marts
+    from scorebook.session import materialise
+    df = materialise(spark.range(0, 3000).select(
+        F.when(F.col("id") % 50 != 0, (F.col("id") % 3).cast("int")).alias("g"), F.col("id").alias("k"),
+        F.when(F.col("id") % 7 != 0, F.when(F.col("id") % 4 == 0, F.lit(0.0)).otherwise(
+            F.rand(3) * 100 / 3)).alias("v"), (F.col("id") % 5).alias("w")), "rank_test")
+    got = marts.add_ranks(df, ["g"], ["k"], [("v", "rv"), ("w", "rw")])
+    for v, r in (("v", "rv"), ("w", "rw")):
+        w = Window.partitionBy("g").orderBy(F.col(v).desc_nulls_last())
+        assert got.withColumn("want", F.rank().over(w)).where(~F.col("want").eqNullSafe(F.col(r))).count() == 0
+    assert got.count() == 3000
+
+
+def test_fact_keys_dense_without_a_sort(spark):
+    df = spark.range(0, 5000).repartition(7).withColumn("x", F.col("id") % 3)
+    keyed = model.assign_fact_keys(df, "sk")
+    assert "rangepartitioning" not in plan_text(keyed)
+    assert sorted(r.sk for r in keyed.collect()) == list(range(1, 5001))
+
+
 def test_surrogate_keys_dense_when_payload_is_pruned(spark):
     """Regression: keys must stay dense when the counting pass reads fewer
     columns than the numbering pass (range bounds are sampled per exchange)."""
