@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_path, table_path
+from ..session import materialise, table_path  # noqa: F401 - materialise is for the operators
 
 #: Arrow batches handed to Python stay below this size (or hold one row).
 BATCH_BYTES = 4 * 1024 * 1024
@@ -37,15 +37,6 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and read it back: cuts the
-    lineage, survives lost executors, and gives the optimizer real sizes."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                 schema: str) -> DataFrame:
     """``mapInArrow`` over one batch at a time."""
