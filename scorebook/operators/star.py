@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import DEFAULT_BATTING_STYLE, DEFAULT_BOWLING_STYLE, DEFAULT_DOB
 from ..functions.keys import hash_key
+from ..session import materialise
 from .clean import one_row_per
 from .model import assign_fact_keys, assign_surrogate_keys
 
@@ -43,14 +44,14 @@ def small_dims(ms: DataFrame) -> dict[str, DataFrame]:
             "match_day", "match_month", "match_year", "venue_id", "stadium"]
     sets = list(SMALL_DIM_SETS.values())
     g = ms.select(*cols).groupingSets([[F.col(c) for c in st] for st in sets], *cols).agg(
-        *[F.grouping(c).alias(f"__g_{c}") for c in cols])
-    which = None
+        F.grouping_id().alias("gid"))
+    # A set's number has a one for each column it does not group by.
+    which = F.lit(None).cast("string")
     for name, st in SMALL_DIM_SETS.items():
-        cond = None
-        for c in cols:
-            bit = (F.col(f"__g_{c}") == (0 if c in st else 1))
-            cond = bit if cond is None else (cond & bit)
-        which = F.when(cond, F.lit(name)) if which is None else which.when(cond, F.lit(name))
+        gid = int("".join("0" if c in st else "1" for c in cols), 2)
+        which = F.when(F.col("gid") == gid, F.lit(name)).otherwise(which)
+    # Written: it is small, and the expressions below stay out of the scan's plan.
+    values = materialise(g.select("*", which.alias("dim_set")).drop("gid"), "dim_values")
 
     def of(per_set: dict[str, F.Column], kind: str) -> F.Column:
         out = F.lit(None).cast(kind)
@@ -60,7 +61,7 @@ def small_dims(ms: DataFrame) -> dict[str, DataFrame]:
 
     number = lambda c: F.col(c).cast("string").try_cast("int")
     # A natural key as (number, text, number, text), in the order keys follow.
-    keys = g.withColumn("dim_set", which).select(
+    keys = values.select(
         "dim_set",
         of({"season": number("season"), "date": number("match_year"),
             "stadium": number("venue_id")}, "int").alias("n1"),
