@@ -6,7 +6,7 @@ vector is shared by all thresholds:
 
     P(grade <= k | x) = sigmoid(theta_k - w . x),   theta_0 < theta_1
 
-``x`` are hashed features: which words occur (lower-cased, 2^17 slots) and binned
+``x`` are hashed features: which words occur (lower-cased, 2^18 slots) and binned
 measures of the text's form (share of capitals, marks, digits, bars, repeated words,
 length of words, lines and text).  Selection takes the expected grade or the tail
 probability P(grade >= 2).
@@ -37,11 +37,13 @@ from .sketch import NOT_WORD, word_spans
 
 #: Rated documents the model is fitted on at most.
 SAMPLE = 6000
-SLOTS = 1 << 17
+SLOTS = 1 << 18
 #: A word slot gets a weight if it occurs in so many documents of the sample.
 LEAST_DOCS = 8
 #: Weight of the penalty, times the root of the sample's size: what chance alone makes of a slot's slope.
 L1 = 0.05
+#: Squared penalty of the second fit.
+L2 = 0.1
 GRADES = 3
 TAIL = 2
 KEEP_AT = 0.5
@@ -115,8 +117,9 @@ class CumulativeLink:
 
 def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, slots: int = SLOTS,
         least_docs: int = LEAST_DOCS, l1: float = L1, steps: int = 300, rate: float = 0.1) -> CumulativeLink:
-    """Maximum likelihood with an absolute penalty, which leaves only slots that tell
-    grades apart, by proximal Adam over the whole sample."""
+    """Maximum likelihood by Adam over the whole sample, twice: with an absolute
+    penalty, which leaves only slots that tell grades apart, then over those slots with
+    a slight squared penalty, so that their weights are not held small."""
     if not len(rows):
         return CumulativeLink(np.zeros(slots, np.float32), np.linspace(-40, -20, n_grades - 1))
     flat = np.concatenate(rows)
@@ -132,28 +135,32 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, slot
     theta = np.log(share / (1 - share))
     # theta_0 and the logarithms of the gaps keep the thresholds in order.
     params = np.concatenate([np.zeros(len(used)), theta[:1], np.log(np.maximum(np.diff(theta), 1e-2))])
-    m, v = np.zeros_like(params), np.zeros_like(params)
     d = len(used)
-    for t in range(1, steps + 1):
-        gaps = np.exp(params[d + 1:])
-        theta = params[d] + np.concatenate([[0], np.cumsum(gaps)])
-        s = np.bincount(row, weights=params[:d][col], minlength=n)
-        upper = np.where(y < n_grades - 1, _sigmoid(theta[np.minimum(y, n_grades - 2)] - s), 1.0)
-        lower = np.where(y > 0, _sigmoid(theta[np.maximum(y - 1, 0)] - s), 0.0)
-        p = np.maximum(upper - lower, 1e-9)
-        d_score = 1 - upper - lower
-        grad = np.zeros_like(params)
-        grad[:d] = np.bincount(col, weights=d_score[row], minlength=d)
-        d_theta = np.zeros(n_grades - 1)
-        np.add.at(d_theta, y[y < n_grades - 1], -(upper * (1 - upper) / p)[y < n_grades - 1])
-        np.add.at(d_theta, y[y > 0] - 1, (lower * (1 - lower) / p)[y > 0])
-        grad[d] = d_theta.sum()
-        grad[d + 1:] = np.cumsum(d_theta[::-1])[::-1][1:] * gaps
-        m = 0.9 * m + 0.1 * grad
-        v = 0.99 * v + 0.01 * grad ** 2
-        pace = rate * (0.5 + 0.5 * np.cos(np.pi * t / steps)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
-        params -= pace * (m / (1 - 0.9 ** t))
-        params[:d] = np.sign(params[:d]) * np.maximum(np.abs(params[:d]) - pace[:d] * l1 * np.sqrt(n), 0)
+    for chosen in (False, True):
+        live = params[:d] != 0 if chosen else np.ones(d, bool)
+        m, v = np.zeros_like(params), np.zeros_like(params)
+        for t in range(1, steps + 1):
+            gaps = np.exp(params[d + 1:])
+            theta = params[d] + np.concatenate([[0], np.cumsum(gaps)])
+            s = np.bincount(row, weights=params[:d][col], minlength=n)
+            upper = np.where(y < n_grades - 1, _sigmoid(theta[np.minimum(y, n_grades - 2)] - s), 1.0)
+            lower = np.where(y > 0, _sigmoid(theta[np.maximum(y - 1, 0)] - s), 0.0)
+            p = np.maximum(upper - lower, 1e-9)
+            d_score = 1 - upper - lower
+            grad = np.zeros_like(params)
+            grad[:d] = np.bincount(col, weights=d_score[row], minlength=d)
+            grad[:d] = (grad[:d] + L2 * params[:d]) * live if chosen else grad[:d]
+            d_theta = np.zeros(n_grades - 1)
+            np.add.at(d_theta, y[y < n_grades - 1], -(upper * (1 - upper) / p)[y < n_grades - 1])
+            np.add.at(d_theta, y[y > 0] - 1, (lower * (1 - lower) / p)[y > 0])
+            grad[d] = d_theta.sum()
+            grad[d + 1:] = np.cumsum(d_theta[::-1])[::-1][1:] * gaps
+            m = 0.9 * m + 0.1 * grad
+            v = 0.99 * v + 0.01 * grad ** 2
+            pace = rate * (0.5 + 0.5 * np.cos(np.pi * t / steps)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
+            params -= pace * (m / (1 - 0.9 ** t))
+            if not chosen:
+                params[:d] = np.sign(params[:d]) * np.maximum(np.abs(params[:d]) - pace[:d] * l1 * np.sqrt(n), 0)
     weights = np.zeros(slots, np.float32)
     weights[used] = params[:d]
     theta = params[d] + np.concatenate([[0], np.cumsum(np.exp(params[d + 1:]))])
