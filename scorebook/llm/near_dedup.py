@@ -94,23 +94,29 @@ def prefix_pairs(sets: DataFrame, labels: DataFrame) -> DataFrame:
     # A shingle's place in the common order: rarest first, then by hash.
     each = sets.select("doc_id", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s"))
     seen = each.groupBy("s").agg(F.count(F.lit(1)).alias("f"))
+    # Parity of the shingles that fall on each of 512 bits.
+    word, bit = F.shiftright("s", 6).bitwiseAND(7), F.expr("shiftleft(1L, cast(s & 63 as int))")
+    maps = [f"m{k}" for k in range(8)]
     ordered = (each.join(seen, "s").groupBy("doc_id", "n")
-               .agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("order"))
+               .agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("order"),
+                    *[F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0))).alias(m) for k, m in enumerate(maps)])
                .join(labels, "doc_id"))
     probe = F.col("n") - F.ceil(F.col("n") * NUM / DEN - 1e-9) + 1
     index = F.col("n") - F.ceil(F.col("n") * 2 * NUM / (NUM + DEN) - 1e-9) + 1
-    first = (ordered.select("doc_id", "n", "label", index.alias("index"),
+    first = (ordered.select("doc_id", "n", "label", *maps, index.alias("index"),
                             F.posexplode(F.slice("order", F.lit(1), probe.cast("int"))))
-             .select("doc_id", "n", "label", "index", "pos", F.col("col.s").alias("s")))
+             .select("doc_id", "n", "label", *maps, "index", "pos", F.col("col.s").alias("s")))
     first = materialise(first, "prefixes")
     short = first.where(F.col("pos") < F.col("index")).select(
-        "s", *[F.col(c).alias(f"{c}1") for c in ("doc_id", "n", "label", "pos")])
+        "s", *[F.col(c).alias(f"{c}1") for c in ("doc_id", "n", "label", "pos", *maps)])
+    apart = sum((F.bit_count(F.col(f"{m}1").bitwiseXOR(F.col(m))) for m in maps), F.lit(0))
+    both = F.col("n1") + F.col("n")
     room = F.least(F.col("n1") - F.col("pos1"), F.col("n") - F.col("pos"))
     return (short.join(first, "s")
             .where((F.col("label1") != F.col("label"))
                    & ((F.col("n1") < F.col("n")) | ((F.col("n1") == F.col("n")) & (F.col("doc_id1") < F.col("doc_id"))))
                    & (DEN * F.col("n1") >= NUM * F.col("n"))
-                   & ((NUM + DEN) * room >= NUM * (F.col("n1") + F.col("n"))))
+                   & ((NUM + DEN) * room >= NUM * both) & ((NUM + DEN) * (both - apart) >= 2 * NUM * both))
             .select(F.least("doc_id1", "doc_id").alias("a"), F.greatest("doc_id1", "doc_id").alias("b")).distinct())
 
 
