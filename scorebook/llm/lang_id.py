@@ -165,7 +165,8 @@ def fitted(docs: DataFrame, sample: int = SAMPLE) -> OutputCode:
     sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     # A hash of the doc_id, even over 0 .. 1, decides who is in the sample.
     even = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    texts = (usable.join(sizes, "lang").where(even < sample / F.col("n"))
+    # One row for each language is sent to the texts; the texts are not dealt out by language.
+    texts = (usable.join(F.broadcast(sizes), "lang").where(even < sample / F.col("n"))
              .select("lang", "text", (F.pmod(F.xxhash64(F.lit("back"), "doc_id"), F.lit(4)) == 0).alias("back"))
              .repartition(16))
 
