@@ -91,13 +91,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def prefix_pairs(sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Candidate pairs (a, b) of different labels, none of the links among ``sets``
     left out.  ``labels`` has doc_id and label."""
+    # Each distinct set of a doc_id once, known by ``own``; repeats would shorten prefixes and cancel in the maps.
+    sets = sets.select("doc_id", F.sort_array("shingles").alias("shingles")).distinct()
     # A shingle's place in the common order: rarest first, then by hash.
-    each = sets.select("doc_id", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s"))
+    each = sets.select("doc_id", F.xxhash64("shingles").alias("own"), F.size("shingles").cast("long").alias("n"),
+                       F.explode("shingles").alias("s"))
     seen = each.groupBy("s").agg(F.count(F.lit(1)).alias("f"))
     # Parity of the shingles that fall on each of 512 bits.
     word, bit = F.shiftright("s", 6).bitwiseAND(7), F.expr("shiftleft(1L, cast(s & 63 as int))")
     maps = [f"m{k}" for k in range(8)]
-    ordered = (each.join(seen, "s").groupBy("doc_id", "n")
+    ordered = (each.join(seen, "s").groupBy("doc_id", "own", "n")
                .agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("order"),
                     *[F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0))).alias(m) for k, m in enumerate(maps)])
                .join(labels, "doc_id"))
@@ -157,7 +160,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bins: int = BINS, rows:
     crowded = members.where(F.col("cnt") > small)
     wanted = materialise(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
                          .unionByName(crowded.select(F.col("rep").alias("doc_id"))).distinct(), "wanted")
-    sets = materialise(shingle_rows(texts.join(wanted, "doc_id"), words), "sets")
+    # Rows that repeat are one row here, or each pair would meet once for every two copies.
+    sets = materialise(shingle_rows(texts.join(wanted, "doc_id").distinct(), words), "sets")
     links = materialise(confirmed(pairs, sets), "confirmed")
 
     # What large buckets have left in several components, exactly.

@@ -154,6 +154,41 @@ def test_prefix_pairs_lose_no_link(spark):
     assert found == true and true
 
 
+def test_near_crowded_buckets_of_repeated_rows(spark):
+    """Rows that occur twice, and a doc_id with two sets of one size, in buckets too large to pair up."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(24):
+        words = list(base)
+        for at in rng.sample(range(300), rng.choice([3, 5, 7, 9])):
+            words[at] = f"new{rng.random()}"
+        rows += [(k * 3, " ".join(words))] * (1 + k % 2)
+    rows += [(3, rows[0][1].replace("w7 ", "other "))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near_rows(df, small=2) == brute_near(rows)
+
+
+def test_prefix_pairs_take_each_set_once(spark):
+    rng = np.random.default_rng(4)
+    base = rng.choice(1 << 40, 300, replace=False)
+    sets = []
+    for k in range(12):
+        own = base.copy()
+        own[rng.choice(300, 18 + k, replace=False)] = rng.integers(0, 1 << 40, 18 + k)
+        sets.append([int(x) for x in np.unique(own)])
+    once = spark.createDataFrame(list(enumerate(sets)), "doc_id long, shingles array<long>")
+    labels = spark.createDataFrame([(k, k) for k in range(12)], "doc_id long, label long")
+    true = {(a, b) for a in range(12) for b in range(a + 1, 12)
+            if 100 * len({*sets[a]} & {*sets[b]}) >= 75 * len({*sets[a]} | {*sets[b]})}
+    assert true
+    # A second set of one doc_id and of one size changes nothing about the first.
+    other = spark.createDataFrame([(0, [int(x) for x in rng.choice(1 << 40, len(sets[0]), replace=False)])], once.schema)
+    for df in (once.unionByName(once.where("doc_id % 2 = 0")), once.unionByName(other)):
+        pairs = near_dedup.prefix_pairs(df, labels)
+        assert {tuple(r) for r in near_dedup.confirmed(pairs, once).collect()} == true
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 5), (5, 9), (20, 21), (None, 4), (30, 30)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
