@@ -39,7 +39,9 @@ KINDS = ["email", "iban", "card", "ssn", "date", "ip", "phone"]
 KEY = b"pseudonym key of the registered query"
 ROUNDS = 10
 
-_NUMBER = re.compile(r"(?<![\w.])[+(]?\d[\d ().:/\-]{5,}\d(?!\w)")
+# The longest runs of what the patterns of numbers are made of.  No border is asked for and marks behind the
+# last digit belong to it, so the patterns find in the runs what they find in the whole text.
+_NUMBER = re.compile(r"[+(]?\d[\d ().:/\-]{6,}")
 _EMAIL = re.compile(r"[\w%+-](?:[\w.%+-]*[\w%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 _IBAN_SIGN = re.compile(r"[A-Z]{2}\d\d ?[A-Z0-9]")
@@ -50,6 +52,9 @@ _IP = re.compile(r"(?<![\d.])(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?!\d)(?!
 _PHONE = re.compile(r"(?<![\d(+])(?:(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]?\d{4}|\+1[ .-]?\d{3}[ .-]?\d{3}[ .-]?\d{4}"
                     r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,8}(?!\d)){1,4})(?!\d)")
 
+#: Kinds that are looked for in runs of ``_NUMBER``, in the order of ``KINDS``.
+NUMBERS = (("card", _CARD), ("ssn", _SSN), ("date", _DATE), ("ip", _IP), ("phone", _PHONE))
+
 
 class Feistel:
     """A keyed permutation of 0 .. size-1 for any size: an alternating Feistel network
@@ -234,7 +239,7 @@ class Pseudonyms:
         if _IBAN_SIGN.search(text):
             take("iban", _IBAN, 0, len(text))
         for m in _NUMBER.finditer(text):
-            for kind, pattern in (("card", _CARD), ("ssn", _SSN), ("date", _DATE), ("ip", _IP), ("phone", _PHONE)):
+            for kind, pattern in NUMBERS:
                 take(kind, pattern, *m.span())
         return sorted(got)
 

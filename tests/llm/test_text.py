@@ -56,6 +56,38 @@ def test_neighbouring_finds():
     assert [k for _, _, k, _ in found] == ["phone", "ip", "card"] and "7536784127813051" in new
 
 
+def whole_text_find(p, text):
+    """``find`` by running every kind's own pattern over the whole text."""
+    got = []
+    for kind, pattern in (("email", pii._EMAIL), ("iban", pii._IBAN), *pii.NUMBERS):
+        at = 0
+        for a, b in sorted((a, b) for a, b, _, _ in got) + [(len(text), len(text))]:
+            for m in pattern.finditer(text, at, max(at, a)):
+                new = getattr(p, kind)(m[0])
+                if new is not None:
+                    got.append((m.start(), m.end(), kind, new))
+            at = max(at, b)
+    return sorted(got)
+
+
+def test_values_beside_letters_and_marks():
+    p = pii.Pseudonyms()
+    for text, kind in (("2024-01-02T10:00:00Z", "date"), ("log_2024-01-02.txt", "date"), ("ssn_123-45-6789", "ssn"),
+                       ("Tel.974-555-3436", "phone"), ("Tel.(974) 555-3436", "phone"), ("974-555-3436ext", "phone"),
+                       ("card4845168114407329", "card"), ("4845168114407329x", "card"), ("v_97.51.17.173_a", "ip")):
+        assert [k for _, _, k, _ in p.find(text)] == [kind], text
+    for text in ("2024-01-02/", "123-45-6789-", "see 2024-01-02/x"):
+        assert p.find(text) == whole_text_find(p, text) == []
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from([*SAMPLES, "2024-1-2", "1.1.1.1", "(974) 555-3436", "12", "7", "a", "T", "_", "é", "٣", " ",
+                                 "  ", ".", "-", "/", ":", "(", ")", "+", "+1", "@", "\n", "x.com"]), max_size=12))
+def test_find_equals_the_patterns_over_the_whole_text(parts):
+    p = pii.Pseudonyms()
+    assert p.find("".join(parts)) == whole_text_find(p, "".join(parts))
+
+
 def test_pseudonymise_odd_rows(odd_docs, no_docs):
     out = pii.pseudonymise(odd_docs.withColumnRenamed("h", "n_card"))
     assert out.count() == odd_docs.count() and out.columns[-7:] == [f"n_{k}" for k in pii.KINDS]
