@@ -1,20 +1,23 @@
 """Main text of web pages by consensus on host paths.
 
 1. Each page's containers (body, article, div, table cell, ...) are scored: the
-   characters of running text below them, less what is boilerplate or link text.  A
+   characters of running text below them, less link text; boilerplate, which is left out
+   anyway, counts for nothing.  A deeper one wins only if it holds all its ancestor has.  A
    container's path is the chain of tags and classes from the root, with digits made
    general (``post-17`` and ``post-18`` are one class).
-2. Per host the pages vote: in Spark the shares of each path are added up, and the path with
-   the most wins.
+2. Per host the pages vote, each for its best path: in Spark the votes of each path are added
+   up, and the path with the most wins.
 3. Every page is extracted again from the containers on its host's winning path; a page
-   that has none there uses its own best container.
+   that has none there uses its own best container.  Main text beside them is kept too if
+   it stands directly in a container around them, in the same article or, without one, in
+   the same part of the body.
 
 Left out wherever they stand: navigation, footers, sidebars, forms, scripts, styles,
 hidden parts, and elements whose role, class or id says advert, menu, notice,
 comment and the like; a header, but for the headings of one inside the article.
 
 Scale: scoring and extraction are one pass each; between them only (host, path,
-share) is shuffled, summed before the shuffle, so a host that holds a third of the pages is
+votes) is shuffled, summed before the shuffle, so a host that holds a third of the pages is
 no hot key; the winners are joined back by host as a table.
 
 Defined results: a null or empty page, or one without main text, gives the empty text; a null url
@@ -71,6 +74,7 @@ class Block:
 @dataclass
 class Page:
     paths: list[str] = field(default_factory=list)  # of each container
+    tags: list[str] = field(default_factory=list)  # of each container
     blocks: list[Block] = field(default_factory=list)
 
 
@@ -186,6 +190,7 @@ def parse(page: str) -> Page:
         number = len(out.paths)
         above = next((out.paths[s[1]] for s in reversed(stack) if s[1] is not None), "")
         out.paths.append(f"{above}>{_step(tag, attributes)}" if above else _step(tag, attributes))
+        out.tags.append(tag)
         stack.append((tag, number, boiler, in_article, parent[4] or (tag == "header" and not boiler)))
     if not raw:
         parts.append(html.unescape(page[at:]))
@@ -194,29 +199,46 @@ def parse(page: str) -> Page:
 
 
 def container_scores(page: Page) -> dict[str, float]:
-    """Score of every path: running text below its containers less the rest, with a
-    little taken off a container that only wraps another."""
+    """Score of every path: running text below its containers less link text."""
     good = [0.0] * len(page.paths)
     for b in page.blocks:
-        gain = -0.5 * len(b.text) if b.boiler else len(b.text) - 2 * b.linked
-        for c in b.chain:
-            good[c] += gain
+        if not b.boiler:
+            for c in b.chain:
+                good[c] += len(b.text) - 2 * b.linked
     scores: dict[str, float] = {}
     for path, g in zip(page.paths, good):
         scores[path] = scores.get(path, 0.0) + g
-    return {p: g * (1 + 0.001 * p.count(">")) for p, g in scores.items() if g > 0}
+    return {p: g for p, g in scores.items() if g > 0}
+
+
+def _widened(page: Page, chosen: set[int]) -> tuple[set[int], set[tuple[int, ...]]]:
+    """``chosen`` with the articles around it (without one: the outermost containers but the
+    body) that hold main text beside it, and the chains of the containers around it."""
+    main = [b for b in page.blocks if not b.boiler and len(b.text) > 2 * b.linked]
+    beside = {c for b in main if chosen.isdisjoint(b.chain) for c in b.chain}
+    wide, around = set(chosen), set()
+    for chain in {b.chain for b in page.blocks if not b.boiler and not chosen.isdisjoint(b.chain)}:
+        at = next(k for k, c in enumerate(chain) if c in chosen)
+        around.update(chain[:k] for k in range(at + 1))
+        article = next((c for c in reversed(chain[:at + 1]) if page.tags[c] in ("article", "main")), None)
+        outer = [c for c in chain[:at] if page.tags[c] not in ("html", "body")] if article is None else [article]
+        wide.update([c for c in outer if c in beside][:1])
+    return wide, around
 
 
 def main_text(page: Page, path: str | None) -> str:
-    """The text under the containers on ``path``, or under the page's own best one."""
+    """The text under the containers on ``path``, or under the page's own best one, and
+    the main text that would be lost beside them."""
     chosen = {k for k, p in enumerate(page.paths) if p == path}
     if not any(not b.boiler and not chosen.isdisjoint(b.chain) for b in page.blocks):
         scores = container_scores(page)
         best = max(scores, key=lambda p: (scores[p], len(p), p)) if scores else None
         chosen = {k for k, p in enumerate(page.paths) if p == best}
-        if best is None and not page.paths:
-            return "\n".join(b.text for b in page.blocks if not b.boiler)
-    return "\n".join(b.text for b in page.blocks if not b.boiler and not chosen.isdisjoint(b.chain))
+        if best is None:
+            return "\n".join(b.text for b in page.blocks if not b.boiler and not b.chain)
+    wide, around = _widened(page, chosen)
+    return "\n".join(b.text for b in page.blocks if not b.boiler and (
+        not wide.isdisjoint(b.chain) or (b.chain in around and len(b.text) > 2 * b.linked)))
 
 
 def host_of(url):
@@ -226,22 +248,21 @@ def host_of(url):
 def host_paths(pages: DataFrame) -> DataFrame:
     """host, path: the path that the pages of a host vote for."""
     def vote(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        votes: dict[tuple[str, str], float] = {}
+        votes: dict[tuple[str, str], int] = {}
         for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             scores = container_scores(parse(text or ""))
-            best = max(scores.values(), default=0)
-            for path, score in scores.items():
-                votes[host, path] = votes.get((host, path), 0.0) + score / best
+            if scores:
+                path = max(scores, key=lambda p: (scores[p], len(p), p))
+                votes[host, path] = votes.get((host, path), 0) + 1
         if not votes:
             return None
         return pa.record_batch([pa.array([h for h, _ in votes]), pa.array([p for _, p in votes]),
-                                pa.array(list(votes.values()), pa.float64())], names=["host", "path", "share"])
+                                pa.array(list(votes.values()), pa.int64())], names=["host", "path", "votes"])
 
     votes = map_batches(pages.select(host_of(F.col("url")).alias("host"), "html"), vote,
-                        "host string, path string, share double")
-    summed = votes.groupBy("host", "path").agg(F.sum("share").alias("share"))
-    return (summed.groupBy("host").agg(F.max(F.struct(F.round("share", 6).alias("share"), F.length("path").alias("n"),
-                                                      "path")).alias("best")).select("host", "best.path"))
+                        "host string, path string, votes long")
+    summed = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+    return (summed.groupBy("host").agg(F.max(F.struct("votes", F.length("path").alias("n"), "path")).alias("best")).select("host", "best.path"))
 
 
 def extract(pages: DataFrame) -> DataFrame:

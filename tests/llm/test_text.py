@@ -196,6 +196,32 @@ def test_page_text():
     assert html_text.main_text(page, None) == "Title & 3\nFirst bold para graph.\nSecond link text, long enough to count."
 
 
+def test_text_beside_an_inner_container():
+    lead, body, note = "lead " * 40, "body " * 600, "note " * 160
+    head = f"<h1>A title</h1><p>{lead}</p>"
+    want = f"A title\n{lead.strip()}\n{body.strip()}"
+    comments = f'<section class="comments"><p>{note}</p></section>'
+    inner = f'<div class="body"><p>{body}</p></div>'
+    parse, text = html_text.parse, html_text.main_text
+    assert text(parse(f"<body><article>{head}{inner}{comments}</article></body>"), None) == want
+    # Also where the host's pages voted for the inner container, or links outweigh the title and lead.
+    path = "body>article>div.body"
+    refs = f'<div class="refs"><p><a href="x">{"ref " * 90}</a></p></div>'
+    assert text(parse(f"<body><article>{head}{inner}{comments}</article></body>"), path) == want
+    assert text(parse(f"<body><article>{head}{inner}{refs}</article></body>"), None).startswith(want)
+    assert text(parse(f"<body>{head}{inner}<div class='feed'><p>Other.</p></div></body>"), "body>div.body") == want
+    sections = "".join(f'<section class="s{k}x"><p>{w * 300}</p></section>' for k, w in (("a", "one "), ("b", "two ")))
+    for p in (None, "body>article>section.sax"):
+        got = text(parse(f"<body><article>{sections}{comments * 3}</article></body>"), p)
+        assert "one" in got and "two" in got and "note" not in got
+    parts = f'<div class="post"><div class="lead"><p>{lead}</p></div>{inner}</div>'
+    assert text(parse(f"<body>{parts}</body>"), "body>div.post>div.body") == f"{lead.strip()}\n{body.strip()}"
+    # A short title beside a long body, and text outside all containers.
+    long = "body " * 9000
+    assert text(parse(f'<body><div class="p"><h1>T</h1><div class="body"><p>{long}</p></div></div>'), None) == f"T\n{long.strip()}"
+    assert text(parse("<h1>T</h1><p>Text.</p><div></div>"), None) == "T\nText."
+
+
 def test_consensus_path_wins(spark, no_docs):
     odd = ('<html><body><div class="post-9 content"><article><p>Short one.</article></div>'
            '<div class="feed"><p>Much more text than in the article of this page, so that its own best container is this.</div>')
