@@ -15,7 +15,9 @@ Tokens.  ``PieceTokenizer`` splits texts that hold no white space but single spa
 and line feeds between other characters into words; the byte-level pre-tokenizer
 never joins across those places, so a word's ids do not depend on its neighbours
 and are looked up in a bounded cache; other texts go to the tokenizer whole.  Either
-way the ids are those of the whole text (tested against the tokenizer itself).
+way the ids are those of the whole text (tested against the tokenizer itself).  The
+operator takes the tokenizer as loaded: a text that holds the literal of an added token
+goes whole and gets that token's id.
 
 Defined results: a null or empty text is the end id alone; a document whose length
 is a multiple of the window gives full windows only; ties in length go by
@@ -64,11 +66,13 @@ class PieceTokenizer:
             0x180e, *range(0x2000, 0x200c), 0x2028, 0x2029, 0x202f, 0x205f, 0x3000, 0xfeff])]
     _marks = string.punctuation
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS, plain_specials: bool = True):
+        """``plain_specials``: the literal of a special token is text like any other."""
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True
+        self._tok.encode_special_tokens = plain_specials
+        self._odd = [*self._odd, *(t.content for t in self._tok.get_added_tokens_decoder().values())]
         self._tokenize = self._tok.model.tokenize
         self._letters = _byte_letters()
         self._cache: dict[str, bytes] = {}
@@ -123,7 +127,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW,
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not held:
-            held.append(PieceTokenizer(tokenizer_path))
+            held.append(PieceTokenizer(tokenizer_path, plain_specials=False))
         rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             data = (held[0].encode(text) if text else b"") + end

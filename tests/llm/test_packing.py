@@ -68,6 +68,15 @@ def test_word_cache_gives_the_tokenizers_ids(tokenizer):
         assert own.encode(text) == np.array(ids, "<u4").tobytes(), text
 
 
+def test_added_tokens_are_those_of_the_tokenizer_as_loaded(spark):
+    from tokenizers import Tokenizer
+
+    loaded = Tokenizer.from_file(packing.default_tokenizer())
+    texts = {1: ["a <|endoftext|> b"], 2: ["<|endoftext|>"], 3: ["x<|endoftext|>y\nplain words"], 4: ["<|endoftext"]}
+    df = spark.createDataFrame([(k, t) for k, own in texts.items() for t in own], "doc_id long, text string")
+    check(packing.pack_documents(df, packing.default_tokenizer()).collect(), texts, loaded)
+
+
 def test_best_fit_is_tightest():
     rng = random.Random(2)
     lengths = sorted((rng.randint(1, 50) for _ in range(400)), reverse=True)
