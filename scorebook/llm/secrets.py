@@ -47,9 +47,12 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # Runs of 24 and more are the runs that `[0-9a-f]+` finds and that are long enough.
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _HEX_ANY = re.compile(r"[0-9A-Fa-f]{32,}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----\s+([A-Za-z0-9+/=\s]+?)\s*-----END \1-----")
+# Lines end in white space or, in JSON and .env files, in an escaped line feed.
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----(?:\s|\\+[nr])+((?:[A-Za-z0-9+/=\s]|\\+[nr])+?)(?:\s|\\+[nr])*-----END \1-----")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-Za-z0-9+/_-]{23,}|AAAA[A-Za-z0-9+/_-]{20,}|b3BlbnNzaC1rZXktdjE[A-Za-z0-9+/_-]{20,})={0,2}")
-_JWT = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]{8,}\.ey[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+# Base64url of "{" and any byte is "e" and one of the last 16 signs.
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])e[w-z0-9_-][A-Za-z0-9_-]{8,}\.e[w-z0-9_-][A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+_JWT_SIGN = re.compile(r"\.e[w-z0-9_-][A-Za-z0-9_-]{2,}\.")
 
 _OIDS = {
     bytes.fromhex("2a864886f70d010101"),  # rsaEncryption
@@ -147,7 +150,7 @@ def is_ssh_key(data: bytes) -> bool:
 
 
 def _decode(text: str) -> bytes | None:
-    text = re.sub(r"\s", "", text).rstrip("=").replace("-", "+").replace("_", "/")
+    text = re.sub(r"\s|\\+[nr]", "", text).rstrip("=").replace("-", "+").replace("_", "/")
     try:
         return base64.b64decode(text + "=" * (-len(text) % 4), validate=True)
     except (binascii.Error, ValueError):
@@ -184,7 +187,7 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     for m in _HEX_ANY.finditer(text):
         if m[0][:2] == "30" and len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
             found.append(("der", *m.span()))
-    if "ey" in text and ".ey" in text:
+    if _JWT_SIGN.search(text):
         found += [("jwt", *m.span()) for m in _JWT.finditer(text) if _is_token(m[0])]
     return found
 

@@ -144,6 +144,19 @@ def test_confirmed_kinds():
     assert secrets.confirmed_spans(f"({jwt})") == [("jwt", 1, 1 + len(jwt))]
 
 
+def test_escaped_lines_and_spaced_token_headers():
+    lines = "\\n".join(re.findall(".{1,64}", b64(PKCS8)))
+    for end in ("\\n", "\\r\\n", "\\\\n"):
+        body = lines.replace("\\n", end)
+        text = json.dumps({"a": 1})[:-1] + f', "private_key": "-----BEGIN PRIVATE KEY-----{end}{body}{end}-----END PRIVATE KEY-----{end}"}}'
+        assert secrets.confirmed_spans(text) == [("der", text.index(body), text.index(body) + len(body))]
+    part = lambda x: b64(x.encode(), True).rstrip("=")
+    for gap in ("\n", "\r\n", "\t", " ", ""):
+        jwt = f'{part("{" + gap + chr(34) + "alg" + chr(34) + ": " + chr(34) + "HS256" + chr(34) + "}")}.{part("{" + gap + "}")}.c2ln'
+        if len(jwt.split(".")[1]) >= 4:
+            assert secrets.confirmed_spans(f"({jwt})") == [("jwt", 1, 1 + len(jwt))]
+
+
 def test_candidates_that_do_not_parse():
     broken = bytearray(PKCS8)
     broken[5] ^= 1
