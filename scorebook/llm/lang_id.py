@@ -45,6 +45,8 @@ SAMPLE = 1500
 SLOTS = 1 << 14
 EXHAUSTIVE = 6
 TRIALS = 200
+#: Languages of up to so many documents hold none back for calibration.
+FEW = 8
 #: Two codewords whose shares differ by less are too close to call.
 CLOSE = 0.2
 FOLDS = 5
@@ -162,12 +164,15 @@ def fitted(docs: DataFrame, sample: int = SAMPLE) -> OutputCode:
     """The model from texts and languages of documents that are not held out."""
     bounded_batches(docs.sparkSession)
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
-    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # A hash of the doc_id, even over 0 .. 1, decides who is in the sample.
-    even = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    # A hash of doc_id and text, even over 0 .. 1, decides who is in the sample; the document
+    # with the lowest is learned from in any case, so every language gets a codeword.
+    own = F.xxhash64("doc_id", "text")
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(own).alias("low"))
+    even = F.pmod(own, F.lit(1 << 30)) / float(1 << 30)
+    back = (F.pmod(F.xxhash64(F.lit("back"), "doc_id", "text"), F.lit(4)) == 0) & (F.col("n") > FEW) & (own != F.col("low"))
     # One row for each language is sent to the texts; the texts are not dealt out by language.
-    texts = (usable.join(F.broadcast(sizes), "lang").where(even < sample / F.col("n"))
-             .select("lang", "text", (F.pmod(F.xxhash64(F.lit("back"), "doc_id"), F.lit(4)) == 0).alias("back"))
+    texts = (usable.join(F.broadcast(sizes), "lang").where((even < sample / F.col("n")) | (own == F.col("low")))
+             .select("lang", "text", back.alias("back"))
              .repartition(16))
 
     def count(batches):

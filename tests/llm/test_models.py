@@ -52,6 +52,15 @@ def test_quality_odd_rows(spark, odd_docs, no_docs):
     assert out.columns == [*(c for c in odd_docs.columns if c != "kept"), "expected_grade", "tail_probability", "kept"]
 
 
+def test_every_language_gets_a_codeword(spark):
+    """Many languages of one document, also without a doc_id."""
+    rows = [(k * 1000 + d, f"text number {d} of {k}", f"l{k}") for k in range(3) for d in range(20)]
+    ids = [r.id for r in spark.range(200).where(~lang_id.held_out("id")).limit(16).collect()]
+    rows += [(i, f"words of {i}", f"one{i}") for i in ids] + [(None, f"none {k}", f"null{k}") for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(lang_id.fitted(docs).langs) == {r[2] for r in rows}
+
+
 @needs_data
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{BIGGER}/documents.parquet")
