@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontam, fill_middle, html_text, lang_id, line_dedup, near_dedup, packing, pii, quality, role_repair,
-               secrets, vp_search)
+from . import (decontam, fill_middle, html_text, lang_id, line_dedup, near_dedup, packing, passage_dedup, pii, quality,
+               role_repair, secrets, vp_search)
 from .common import read_table
 
 
@@ -56,6 +56,10 @@ def op11_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return role_repair.digest(read_table(spark, sf_dir, "conversations"))
 
 
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digest(read_table(spark, sf_dir, "documents"))
 
@@ -63,11 +67,12 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_pseudonyms, op2_benchmark_matches, op3_language_codes, op4_near_duplicates, op5_secret_spans,
            op6_quality_grades, op7_vantage_neighbours, op8_page_text, op9_packed_sequences, op10_line_dedup,
-           op11_role_repair, op13_fill_middle)
+           op11_role_repair, op12_repeated_passages, op13_fill_middle)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_near_duplicates": near_dedup.ORACLE_SQL, "op7_vantage_neighbours": vp_search.ORACLE_SQL,
             "op10_line_dedup": line_dedup.ORACLE_SQL, "op11_role_repair": role_repair.ORACLE_SQL,
+            "op12_repeated_passages": passage_dedup.ORACLE_SQL,
             "op13_fill_middle": fill_middle.ORACLE_SQL}
