@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import materialise, table_path  # noqa: F401 - materialise is for the operators
+from ..session import materialise, remove_path, table_path  # noqa: F401 - materialise is for the operators
 
 #: Arrow batches handed to Python stay below this size (or hold one row).
 BATCH_BYTES = 4 * 1024 * 1024
@@ -30,6 +30,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def remove_written(df: DataFrame) -> None:
+    """Delete the folder of a table that ``materialise`` wrote and nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        remove_path(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of this session by bytes as well as by rows, so
     that a Python worker's memory does not follow the length of the texts."""

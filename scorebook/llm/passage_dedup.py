@@ -44,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, byte_chunks, map_batches, materialise, mix64, run_hashes, utf8_bytes
+from .common import bounded_batches, byte_chunks, map_batches, materialise, mix64, remove_written, run_hashes, utf8_bytes
 from .sketch import word_spans
 
 WINDOW = 20
@@ -259,8 +259,10 @@ def dedup_passages(docs: DataFrame, window: int = WINDOW, group: int = GROUP, ho
     hashes = np.sort(np.array([r.mini for r in crowded.collect()], np.int64).view(np.uint64))
     of_hot = runs.join(F.broadcast(crowded), "mini", "left_semi")
     of_rest = runs.join(F.broadcast(crowded), "mini", "left_anti").join(shared, "mini")
-    starts = (of_hot.select("doc", "version", "start").unionByName(of_rest.select("doc", "version", "start"))
-              .groupBy("doc", "version").agg(F.collect_set("start").alias("starts")))
+    starts = materialise(of_hot.select("doc", "version", "start").unionByName(of_rest.select("doc", "version", "start"))
+                         .groupBy("doc", "version").agg(F.collect_set("start").alias("starts")), "shared-starts")
+    for done in (runs, shared):
+        remove_written(done)
     strings = packed(texts.join(starts, ["doc", "version"]), hashes, window, group)
     # A run of words as one number: start and length.
     span = F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(F.col("n").cast("long"))
