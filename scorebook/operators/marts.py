@@ -1,7 +1,9 @@
 """Gold marts over the star schema.
 
-Each mart is a star join (fact to a handful of dimensions) and a grouped
-aggregate with map-side partial aggregation.  The batting mart's aggregate is
+Each mart is a grouped aggregate with map-side partial aggregation over a base: a fact
+joined to a handful of written dimensions (``star_base``), or the silver rows joined to
+the player dimension alone (``silver_base``), which gives the same rows without keys
+that the mart drops again.  The batting mart's aggregate is
 written once; its four ranks are computed together from it, over distinct
 values cut into ranges, so no group is ranked in one task.
 """
@@ -9,18 +11,23 @@ values cut into ranges, so no group is ranked in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import overs_to_balls
 from ..session import materialise
+from .star import match_rows
+
+
+WIN_GROUPS = ["season", "series_name", "team_name", "flag", "team_code"]
 
 
 def win_count_mart(fmi: DataFrame, dmd: DataFrame, dmt: DataFrame, dss: DataFrame,
                    dsn: DataFrame, dteam: DataFrame, team_ref: str = "toss_own_team_ref_key",
                    count_name: str = "match_win_count") -> DataFrame:
-    """Matches per season, series, team and format.
+    """Matches per season, series, team and format, from the star tables.
 
     ``team_ref`` = 'toss_own_team_ref_key' is the source pipeline's count
     (keyed on the toss owner although named for wins);
@@ -37,16 +44,42 @@ def win_count_mart(fmi: DataFrame, dmd: DataFrame, dmt: DataFrame, dss: DataFram
                           "series_name"), "series_name_ref_key")
          .join(dteam.select(F.col("team_hash_value").alias(team_ref), "team_name", "team_code"),
                team_ref))
-    return (j.groupBy("season", "series_name", "team_name", "flag", "team_code")
-            .agg(F.count(F.lit(1)).alias(count_name)))
+    return j.groupBy(*WIN_GROUPS).agg(F.count(F.lit(1)).alias(count_name))
+
+
+#: Role of a team in a match -> column of the silver table.
+TEAM_ROLES = {"team_1_ref_key": "team_1", "team_2_ref_key": "team_2",
+              "toss_own_team_ref_key": "toss_own_by", "match_own_team_ref_key": "own_team"}
+
+
+def whole_matches(ms: DataFrame, dpl: DataFrame, dteam: DataFrame,
+                  team_ref: str = "toss_own_team_ref_key") -> DataFrame:
+    """The match fact's rows under natural names, with the team in the role
+    ``team_ref``: no dimension is keyed that the marts drop again.  As in the fact, a match
+    counts if the dimensions hold all its references."""
+    number = lambda c: F.col(c).cast("string").try_cast("int")
+    m = match_rows(ms).dropna(subset=["match_type", "series_name", "season", "toss_choice", "match_month"])
+    m = m.where(number("match_day").isNotNull() & number("match_year").isNotNull())
+    m = m.join(dpl.select(F.col("player_id").alias("player_of_the_match")), "player_of_the_match")
+    for role, col in TEAM_ROLES.items():
+        own = ["team_code"] if role == team_ref else []
+        t = dteam.select(F.col("team_name").alias("__name"), *own)
+        m = m.join(t, m[col] == t["__name"])
+        m = m.withColumnRenamed("__name", "team_name") if own else m.drop("__name")
+    return m.withColumn("flag", F.col("match_type"))
 
 
-def _batting_base(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame,
-                  dss: DataFrame) -> DataFrame:
-    return (fbat
+def win_counts(matches: DataFrame, count_name: str = "match_win_count") -> DataFrame:
+    """``win_count_mart`` over ``whole_matches``."""
+    return matches.groupBy(*WIN_GROUPS).agg(F.count(F.lit(1)).alias(count_name))
+
+
+def star_base(fact: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame,
+              dss: DataFrame) -> DataFrame:
+    """A fact with player name, format and season from the star tables."""
+    return (fact
             .join(dpl.select(F.col("player_surrogate_key").alias("player_ref_key"),
-                             F.concat_ws("-", "player_first_name", "player_last_name")
-                             .alias("player_name")), "player_ref_key")
+                             player_name().alias("player_name")), "player_ref_key")
             .join(dmt.select(F.col("match_type_surrogate_key").alias("match_type_ref_key"),
                              F.col("match_type").alias("flag")), "match_type_ref_key")
             .join(dmd.select(F.col("match_surrogate_key").alias("match_ref_key"),
@@ -55,49 +88,57 @@ def _batting_base(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFram
                              F.col("season").alias("season_key")), "season_ref_key"))
 
 
+def player_name() -> F.Column:
+    return F.concat_ws("-", "player_first_name", "player_last_name")
+
+
+def silver_base(ms: DataFrame, dpl: DataFrame, columns: Sequence[F.Column]) -> DataFrame:
+    """As ``star_base`` from the silver table: format and season are its own columns, so only
+    the player dimension is joined.  Rows that no fact can hold are left out here too."""
+    rows = ms.select(F.col("player_id").try_cast("int").alias("__pid"), F.col("match_type").alias("flag"),
+                     F.col("season").cast("string").try_cast("int").alias("season_key"), "series_name", *columns)
+    rows = rows.dropna(subset=["flag", "season_key", "series_name"]).drop("series_name")
+    return rows.join(dpl.select(F.col("player_id").alias("__pid"), F.col("player_surrogate_key").alias("player_ref_key"),
+                                player_name().alias("player_name")), "__pid").drop("__pid")
+
+
 def style_list(bowler_styles: DataFrame) -> list[str]:
     """The styles of the bowler table in order: the columns of the pivot."""
     found = bowler_styles.select(F.lower("bowling_style").alias("s")).distinct()
     return sorted(r["s"] for r in found.where(F.col("s").isNotNull()).collect())
 
 
-def dismissal_style_counts(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame,
-                           dss: DataFrame, bowler_styles: DataFrame) -> DataFrame:
+STYLE_GROUPS = ["season_key", "player_name", "player_ref_key", "flag"]
+
+
+def dismissal_style_counts(base: DataFrame, bowler_styles: DataFrame) -> DataFrame:
     """Long form of the pivot, for any number of styles: dismissals per player,
     format, season and style of the dismissing bowler."""
-    base = _batting_base(fbat.filter(F.col("dimissial_player_id") != 0), dpl, dmt, dmd, dss)
     lk = bowler_styles.select(F.col("player_id").alias("dimissial_player_id"),
                               F.lower("bowling_style").alias("bowling_style"))
-    return (base.join(lk, "dimissial_player_id")
-            .groupBy("season_key", "player_name", "player_ref_key", "flag", "bowling_style")
+    return (base.filter(F.col("dimissial_player_id") != 0).join(lk, "dimissial_player_id")
+            .groupBy(*STYLE_GROUPS, "bowling_style")
             .agg(F.count("player_name").alias("dismissals")))
 
 
-def dismissal_style_pivot(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame,
-                          dss: DataFrame, bowler_styles: DataFrame,
-                          styles: Sequence[str] | None = None) -> DataFrame:
-    """Count of a batter's dismissals by the dismissing bowler's style.
-
-    ``bowler_styles`` maps a bowler id (``player_id``) to ``bowling_style``; it must
-    hold an id once.  Rows with bowler id 0 (not dismissed by a bowler) are left
-    out.  ``styles`` are the columns; without them they are taken from the bowler
-    table, so the facts are not run for their names."""
-    styles = list(styles) if styles is not None else style_list(bowler_styles)
-    counts = dismissal_style_counts(fbat, dpl, dmt, dmd, dss, bowler_styles)
-    p = (counts.groupBy("season_key", "player_name", "player_ref_key", "flag")
-         .pivot("bowling_style", styles).agg(F.sum("dismissals")))
-    return p.fillna(0, subset=styles)
+def dismissal_style_pivot(counts: DataFrame, styles: Sequence[str]) -> DataFrame:
+    """Count of a batter's dismissals by the dismissing bowler's style, from
+    ``dismissal_style_counts``; rows with bowler id 0 (not dismissed by a bowler) are left
+    out there.  ``styles`` are the columns (``style_list`` of the bowler table)."""
+    p = counts.groupBy(*STYLE_GROUPS).pivot("bowling_style", list(styles)).agg(F.sum("dismissals"))
+    return p.fillna(0, subset=list(styles))
 
 
 RANKS = [("total_runs", "runs_rank"), ("avg_strike_rate", "strike_rate_rank"),
          ("total_fours", "fours_rank"), ("total_sixes", "sixes_rank")]
 
 
-def batting_mart(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame,
-                 dss: DataFrame) -> DataFrame:
-    """Batting totals per player, format and season with four ranks."""
-    base = _batting_base(fbat, dpl, dmt, dmd, dss)
-    agg = base.groupBy("player_name", "player_ref_key", "flag", "season_key").agg(
+BATTING_GROUPS = ["player_name", "player_ref_key", "flag", "season_key"]
+
+
+def batting_totals(base: DataFrame) -> DataFrame:
+    """Batting totals per player, format and season."""
+    return base.groupBy(*BATTING_GROUPS).agg(
         F.sum("runs_scored").alias("total_runs"),
         F.sum("fours_scored").alias("total_fours"),
         F.sum("sixes_scored").alias("total_sixes"),
@@ -105,7 +146,36 @@ def batting_mart(fbat: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame
         F.avg("strike_rate").alias("avg_strike_rate"),
         # over batters who faced a ball; null for those who never did
         F.avg(F.when(F.col("ball_faced") > 0, F.col("strike_rate"))).alias("avg_strike_rate_faced"))
-    return add_ranks(materialise(agg, "batting_totals"), ["season_key", "flag"],
+
+
+def batting_sums(base: DataFrame) -> DataFrame:
+    """``batting_totals`` as sums and counts, which can be added up over loads."""
+    faced = F.col("ball_faced") > 0
+    return base.groupBy(*BATTING_GROUPS).agg(
+        F.sum("runs_scored").alias("total_runs"),
+        F.sum("fours_scored").alias("total_fours"),
+        F.sum("sixes_scored").alias("total_sixes"),
+        F.sum("catch_taken").alias("total_catch_taken"),
+        F.sum("strike_rate").alias("strike_rate_sum"), F.count("strike_rate").alias("strike_rate_rows"),
+        F.sum(F.when(faced, F.col("strike_rate"))).alias("faced_sum"),
+        F.count(F.when(faced, F.col("strike_rate"))).alias("faced_rows"))
+
+
+def batting_from_sums(sums: DataFrame) -> DataFrame:
+    """``batting_totals`` from ``batting_sums``."""
+    mean = lambda total, rows: F.when(F.col(rows) > 0, F.col(total) / F.col(rows))
+    return sums.select(*BATTING_GROUPS, "total_runs", "total_fours", "total_sixes", "total_catch_taken",
+                       mean("strike_rate_sum", "strike_rate_rows").alias("avg_strike_rate"),
+                       mean("faced_sum", "faced_rows").alias("avg_strike_rate_faced"))
+
+
+def batting_mart(base: DataFrame) -> DataFrame:
+    """Batting totals per player, format and season with four ranks."""
+    return ranked_batting(batting_totals(base))
+
+
+def ranked_batting(totals: DataFrame) -> DataFrame:
+    return add_ranks(materialise(totals, "batting_totals"), ["season_key", "flag"],
                      ["player_name", "player_ref_key"], RANKS)
 
 
@@ -169,29 +239,26 @@ BOWLING_SUMS = [
 ]
 
 
-def bowling_mart(fbowl: DataFrame, dpl: DataFrame, dmt: DataFrame, dmd: DataFrame,
-                 dss: DataFrame) -> DataFrame:
-    """Bowling totals per player name, format and season; rows whose totals
-    are all zero (players who did not bowl) are removed.  Also gives wickets
-    and balls bowled (overs notation turned into balls)."""
-    base = (fbowl
-            .join(dpl.select(F.col("player_surrogate_key").alias("player_ref_key"),
-                             F.concat_ws("-", "player_first_name", "player_last_name")
-                             .alias("Player_name")), "player_ref_key")
-            .join(dmt.select(F.col("match_type_surrogate_key").alias("match_type_ref_key"),
-                             F.col("match_type").alias("flag")), "match_type_ref_key")
-            .join(dmd.select(F.col("match_surrogate_key").alias("match_ref_key"),
-                             "season_ref_key"), "match_ref_key")
-            .join(dss.select(F.col("season_hash_value").alias("season_ref_key"),
-                             F.col("season").alias("season_key")), "season_ref_key"))
-    agg = base.groupBy("Player_name", "flag", "season_key").agg(
+BOWLING_GROUPS = ["Player_name", "flag", "season_key"]
+
+
+def bowling_totals(base: DataFrame) -> DataFrame:
+    """Bowling totals per player name, format and season, and balls bowled (overs
+    notation turned into balls)."""
+    return base.withColumnRenamed("player_name", "Player_name").groupBy(*BOWLING_GROUPS).agg(
         *[F.sum(src).alias(out) for src, out in BOWLING_SUMS],
         F.sum("wickets_taken").alias("total_wickets"),
         F.sum(overs_to_balls("over_bowled")).alias("total_balls_bowled"))
-    keep = None
-    for _, out in BOWLING_SUMS:
-        cond = F.col(out) != 0
-        keep = cond if keep is None else (keep | cond)
-    return agg.filter(keep).withColumn(
+
+
+def bowled(totals: DataFrame) -> DataFrame:
+    """The rows of ``bowling_totals`` that are not all zero (players who did bowl), with
+    the runs given per over."""
+    keep = reduce(lambda x, y: x | y, [F.col(out) != 0 for _, out in BOWLING_SUMS])
+    return totals.filter(keep).withColumn(
         "runs_per_over", F.when(F.col("total_balls_bowled") > 0,
                                 F.col("total_runs_given") * F.lit(6.0) / F.col("total_balls_bowled")))
+
+
+def bowling_mart(base: DataFrame) -> DataFrame:
+    return bowled(bowling_totals(base))

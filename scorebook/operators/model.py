@@ -1,11 +1,16 @@
 """Dimensional-model operators: surrogate keys, dimensions, insert-only upsert.
 
-Surrogate keys are dense (start, start + 1, ...).  They are assigned without a
-single-partition window: the rows are written once with their place (task and
-row number in the task), and the place is turned into a number by adding up the
-rows of the tasks before.  Dimensions are range-partitioned and sorted on the
-natural key first, so their keys follow it and a rebuild gives the same keys;
-facts are numbered as they were written, without a sort.
+Surrogate keys are dense (start, start + 1, ...) and follow the natural key, so a
+rebuild gives the same keys.  A dimension's members are written once; the size of
+what was written says how they are numbered:
+
+* up to ``SMALL_BYTES`` by a window over the written table, where it is read: one task
+  sorts a bounded table, and nothing else is written;
+* beyond it the members are range-partitioned and sorted, written with their place
+  (task and row number in the task), and the place is turned into a number by adding
+  up the rows of the tasks before.
+
+Both give the same keys.  Facts are numbered as they were written, without a sort.
 """
 
 from __future__ import annotations
@@ -16,7 +21,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key
-from ..session import materialise
+from ..session import materialise, written_bytes
+
+#: Bytes on disk up to which a written table is sorted by one task.
+SMALL_BYTES = 32 * 1024 * 1024
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
 
@@ -44,12 +52,17 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_col: str
     """Add ``key_col`` = start + rank of the row in ``order_cols`` order (within
     each of ``groups``, which must be few).
 
-    Rows equal in all ``order_cols`` get consecutive keys in any order among
-    themselves.  The sorted rows are written with their places: range bounds are
-    sampled anew by every exchange, so two passes over an unwritten one could cut
-    the tasks differently."""
-    order = [*groups, *order_cols]
-    placed = materialise(df.repartitionByRange(*order).sortWithinPartitions(*order)
+    Rows equal in all ``order_cols`` follow each other by their other columns, so that
+    their keys are the same wherever the table is read.  In the large way the sorted rows are
+    written with their places: range bounds are sampled anew by every exchange, so two
+    passes over an unwritten one could cut the tasks differently."""
+    members = materialise(df, "members")
+    rest = [c for c in df.columns if c not in (*groups, *order_cols)]
+    order = [*order_cols, *rest]
+    if written_bytes(members) <= SMALL_BYTES:
+        window = Window.partitionBy(*groups).orderBy(*order) if groups else Window.orderBy(*order)
+        return members.withColumn(key_col, (F.row_number().over(window) + F.lit(start - 1)).cast("long"))
+    placed = materialise(members.repartitionByRange(*groups, *order).sortWithinPartitions(*groups, *order)
                          .withColumn("__mid", F.monotonically_increasing_id()), "sorted")
     return materialise(_number(placed, key_col, start, groups), "keyed")
 
@@ -98,12 +111,3 @@ def upsert_insert_only(target: DataFrame, source: DataFrame, natural_cols: Seque
     new = assign_surrogate_keys(new, natural_cols, key_col, start=base + 1)
     return target.unionByName(new.select(*target.columns))
 
-
-def merge_dimension(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Insert-only merge of two versions of a dimension, known by its hash key: the
-    first column is the surrogate key, the second the hash.  Members of
-    ``target`` keep their keys and content, new ones come after the largest key."""
-    key, hash_col, *rest = target.columns
-    new = source.join(target.select(hash_col), hash_col, "left_anti")
-    keyed = assign_surrogate_keys(new.drop(key), [*rest, hash_col], key, start=max_key(target, key) + 1)
-    return materialise(target.unionByName(keyed.select(*target.columns)), "merged")

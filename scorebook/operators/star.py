@@ -4,18 +4,20 @@ Dimensions are small (their rows are distinct values of low-cardinality
 columns) and written as tables, so the planner knows their size: a join to
 one under the broadcast threshold leaves the fact where it is, and any other
 is a shuffle join; no dimension is broadcast unchecked.  Facts are as large as
-the summary; the marts read their rows without the facts' own keys.  Hash keys are computed once as columns and joined on, never recomputed per
-join side.
+the summary: they join on natural columns, and hash keys are computed per match, not
+per row.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import DEFAULT_BATTING_STYLE, DEFAULT_BOWLING_STYLE, DEFAULT_DOB
 from ..functions.keys import hash_key
-from ..session import materialise
 from .clean import one_row_per
 from .model import assign_fact_keys, assign_surrogate_keys
 
@@ -50,8 +52,7 @@ def small_dims(ms: DataFrame) -> dict[str, DataFrame]:
     for name, st in SMALL_DIM_SETS.items():
         gid = int("".join("0" if c in st else "1" for c in cols), 2)
         which = F.when(F.col("gid") == gid, F.lit(name)).otherwise(which)
-    # Written: it is small, and the expressions below stay out of the scan's plan.
-    values = materialise(g.select("*", which.alias("dim_set")).drop("gid"), "dim_values")
+    values = g.select("*", which.alias("dim_set")).drop("gid")
 
     def of(per_set: dict[str, F.Column], kind: str) -> F.Column:
         out = F.lit(None).cast(kind)
@@ -169,87 +170,128 @@ def dim_player(master: DataFrame) -> DataFrame:
 MATCH_REFS = ["match_ref_key", "toss_choice_ref_key", "match_date_ref_key",
               "player_of_the_match_ref_key", "team_1_ref_key", "team_2_ref_key",
               "toss_own_team_ref_key", "match_own_team_ref_key"]
+#: Fact column, silver column, type (None: as in silver).
+BATTING_MEASURES = [
+    ("runs_scored", "runs_scored", "int"), ("ball_faced", "balls_faced", "int"),
+    ("minutes_send", "minutes_send", "int"), ("fours_scored", "fours_count", "int"),
+    ("sixes_scored", "six_count", "int"), ("strike_rate", "strike_rate", "double"),
+    ("catch_taken", "catch_taken", "int")]
+BOWLING_MEASURES = [
+    ("over_bowled", "overs_bowled", None), ("maiden_over", "maiden_over", "int"),
+    ("wickets_taken", "wickets_taken", "int"), ("economy", "economy", "double"),
+    ("dots_balls_bowled", "dots_ball_bowled", "int"),
+    ("fours_scored_batter", "fours_scored_by_batter", "int"),
+    ("sixs_scored_batter", "six_scored_by_batter", "int"),
+    ("wide_ball_count", "wide_ball", "int"), ("no_ball_count", "no_balls", "int"),
+    ("runs_given", "runs_given", "int")]
+
+
+def measures(which: list[tuple[str, str, str | None]]) -> list[F.Column]:
+    return [(F.col(c).cast(kind) if kind else F.col(c)).alias(out) for out, c, kind in which]
+
+
+def batting_measures(ms: DataFrame) -> list[F.Column]:
+    """The measures of a batting row, with the bowler who dismissed the batter."""
+    name = "dismissal" if "dismissal" in ms.columns else "outed_bowler_style"
+    return [*measures(BATTING_MEASURES), F.col(name).alias("dimissial_player_name"),
+            F.col("dismissal_bowler_id").cast("long").alias("dimissial_player_id")]
+
+
+def match_rows(ms: DataFrame) -> DataFrame:
+    """The distinct combinations of a match's attributes, under natural names: a
+    few rows per match, so that what follows runs per match and not per player."""
+    return ms.select(
+        "match_type", "series_name", F.col("season").cast("string").try_cast("int").alias("season"), "match_id",
+        F.col("player_of_the_match_player_id").try_cast("int").alias("player_of_the_match"),
+        "team_1", "team_2", "toss_own_by", "own_team", "toss_choice",
+        "match_day", "match_month", "match_year").distinct()
 
 
 def fact_match_rows(ms: DataFrame, dmd: DataFrame, dpl: DataFrame, dteam: DataFrame,
-                    dtoss: DataFrame, ddate: DataFrame, keep_unmatched: bool = False) -> DataFrame:
+                    dtoss: DataFrame, ddate: DataFrame, keep_unmatched: bool = False,
+                    keep: Sequence[str] = ()) -> DataFrame:
     """Factless match fact without its own key: one row per distinct combination of
     the match's references; the team dimension plays four roles.
 
     ``keep_unmatched=False`` keeps the inner-join meaning (a match whose
     winner or player of the match has no dimension row drops out);
-    ``True`` keeps it with null references."""
+    ``True`` keeps it with references to the dimensions' unknown member.
+    ``keep`` are columns of ``match_rows`` to carry."""
     how = "left" if keep_unmatched else "inner"
-    m = ms.select(
-        match_hash().alias("__mh"),
-        F.col("player_of_the_match_player_id").try_cast("int").alias("__pom"),
-        "team_1", "team_2", "toss_own_by", "own_team", "toss_choice",
-        hash_key("match_day", "match_month", "match_year").alias("__dh"))
-    m = m.dropDuplicates()
-    team = dteam.select("team_name", "team_hash_value")
-
-    def role(df, col, out):
-        t = team.select(F.col("team_name").alias(col), F.col("team_hash_value").alias(out))
-        return df.join(t, col, how)
-
-    j = m.join(dmd.select(F.col("match_details_hash_value").alias("__mh"),
-                          F.col("match_details_hash_value").alias("match_ref_key")), "__mh", how)
-    j = j.join(dpl.select(F.col("player_id").alias("__pom"),
-                          F.col("player_hash_value").alias("player_of_the_match_ref_key")),
-               "__pom", how)
-    j = role(j, "team_1", "team_1_ref_key")
-    j = role(j, "team_2", "team_2_ref_key")
-    j = role(j, "toss_own_by", "toss_own_team_ref_key")
-    j = role(j, "own_team", "match_own_team_ref_key")
-    j = j.join(dtoss.select("toss_choice", F.col("toss_hash_value").alias("toss_choice_ref_key")),
-               "toss_choice", how)
-    j = j.join(ddate.select(F.col("date_hash_value").alias("__dh"),
-                            F.col("date_hash_value").alias("match_date_ref_key")), "__dh", how)
-    return j.select(*MATCH_REFS).dropDuplicates()
-
-
-def _fact_refs(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) -> DataFrame:
-    j = ms.withColumns({"__th": hash_key("match_type"), "__mh": match_hash(),
+    m = match_rows(ms).withColumns({
+        "__mh": hash_key("match_type", "series_name", "season", "match_id"),
+        "__dh": hash_key("match_day", "match_month", "match_year")})
+
+    def referred(df, dim, key, hash_col, on, out):
+        d = dim.select(F.col(key).alias(f"__{out}"), F.col(hash_col).alias(out))
+        joined = df.join(d, df[on] == d[f"__{out}"], how).drop(f"__{out}")
+        return joined.withColumn(out, F.coalesce(out, F.lit(UNKNOWN_HASH))) if keep_unmatched else joined
+
+    j = referred(m, dmd, "match_details_hash_value", "match_details_hash_value", "__mh", "match_ref_key")
+    j = referred(j, dpl, "player_id", "player_hash_value", "player_of_the_match", "player_of_the_match_ref_key")
+    for col, out in (("team_1", "team_1_ref_key"), ("team_2", "team_2_ref_key"),
+                     ("toss_own_by", "toss_own_team_ref_key"), ("own_team", "match_own_team_ref_key")):
+        j = referred(j, dteam, "team_name", "team_hash_value", col, out)
+    j = referred(j, dtoss, "toss_choice", "toss_hash_value", "toss_choice", "toss_choice_ref_key")
+    j = referred(j, ddate, "date_hash_value", "date_hash_value", "__dh", "match_date_ref_key")
+    return j.select(*MATCH_REFS, *keep).dropDuplicates()
+
+
+#: Key and hash of the member that stands for whatever a dimension does not hold.
+UNKNOWN_KEY, UNKNOWN_TEXT = -1, "UNKNOWN"
+UNKNOWN_HASH = hashlib.md5(UNKNOWN_TEXT.encode()).hexdigest()
+
+
+def with_unknown(dim: DataFrame) -> DataFrame:
+    """``dim`` with its unknown member: key -1, hash and references of 'UNKNOWN',
+    'UNKNOWN' in text columns, -1 in numbers, the default date."""
+    key, hash_col, *_ = dim.columns
+
+    def value(field):
+        if field.name == hash_col or field.name.endswith("_ref_key"):
+            return F.lit(UNKNOWN_HASH)
+        kind = field.dataType.simpleString()
+        return {"string": F.lit(UNKNOWN_TEXT), "date": F.to_date(F.lit(DEFAULT_DOB))}.get(
+            kind, F.lit(UNKNOWN_KEY).cast(kind)).alias(field.name)
+
+    member = dim.sparkSession.range(1).select(*[value(f).alias(f.name) for f in dim.schema.fields])
+    return dim.unionByName(member)
+
+
+def match_lookup(dmd: DataFrame, dmt: DataFrame, dsn: DataFrame, dss: DataFrame) -> DataFrame:
+    """Natural key of a match -> its surrogate key: facts join on these four columns, so
+    no MD5 is computed for each of their rows, and text of 32 characters is not shuffled."""
+    return (dmd.select(F.col("match_surrogate_key").alias("match_ref_key"), F.col("match_number").alias("__mn"),
+                       "match_type_ref_key", "series_name_ref_key", "season_ref_key")
+            .join(dmt.select(F.col("match_type_hash_value").alias("match_type_ref_key"),
+                             F.col("match_type_surrogate_key").alias("__mt_key"),
+                             F.col("match_type").alias("__mt")), "match_type_ref_key")
+            .join(dsn.select(F.col("series_name_hash_value").alias("series_name_ref_key"),
+                             F.col("series_name").alias("__sn")), "series_name_ref_key")
+            .join(dss.select(F.col("season_hash_value").alias("season_ref_key"),
+                             F.col("season").alias("__ss")), "season_ref_key")
+            .select("match_ref_key", F.col("__mt_key").alias("match_type_ref_key"), "__mt", "__sn", "__ss", "__mn"))
+
+
+def _fact_refs(ms: DataFrame, matches: DataFrame, dpl: DataFrame) -> DataFrame:
+    """``ms`` with the surrogate keys of match, format and player; ``matches`` is a ``match_lookup``."""
+    j = ms.withColumns({"__season": F.col("season").cast("string").try_cast("int"),
                         "__pid": F.col("player_id").try_cast("int")})
-    j = j.join(dmt.select(F.col("match_type_hash_value").alias("__th"),
-                          F.col("match_type_surrogate_key").alias("match_type_ref_key")), "__th")
-    j = j.join(dmd.select(F.col("match_details_hash_value").alias("__mh"),
-                          F.col("match_surrogate_key").alias("match_ref_key")), "__mh")
-    j = j.join(dpl.select(F.col("player_id").alias("__pid"),
-                          F.col("player_surrogate_key").alias("player_ref_key")), "__pid")
-    return j
-
-
-def fact_batting_rows(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) -> DataFrame:
-    j = _fact_refs(ms, dmt, dmd, dpl)
-    return j.select(
-        "match_ref_key", "match_type_ref_key", "player_ref_key",
-        F.col("runs_scored").cast("int").alias("runs_scored"),
-        F.col("balls_faced").cast("int").alias("ball_faced"),
-        F.col("minutes_send").cast("int").alias("minutes_send"),
-        F.col("fours_count").cast("int").alias("fours_scored"),
-        F.col("six_count").cast("int").alias("sixes_scored"),
-        F.col("strike_rate").cast("double").alias("strike_rate"),
-        F.col("catch_taken").cast("int").alias("catch_taken"),
-        F.col("dismissal").alias("dimissial_player_name") if "dismissal" in ms.columns
-        else F.col("outed_bowler_style").alias("dimissial_player_name"),
-        F.col("dismissal_bowler_id").cast("long").alias("dimissial_player_id"))
-
-
-def fact_bowling_rows(ms: DataFrame, dmt: DataFrame, dmd: DataFrame, dpl: DataFrame) -> DataFrame:
-    j = _fact_refs(ms, dmt, dmd, dpl)
-    return j.select(
-        "match_ref_key", "match_type_ref_key", "player_ref_key",
-        F.col("overs_bowled").alias("over_bowled"),
-        F.col("maiden_over").cast("int").alias("maiden_over"),
-        F.col("wickets_taken").cast("int").alias("wickets_taken"),
-        F.col("economy").cast("double").alias("economy"),
-        F.col("dots_ball_bowled").cast("int").alias("dots_balls_bowled"),
-        F.col("fours_scored_by_batter").cast("int").alias("fours_scored_batter"),
-        F.col("six_scored_by_batter").cast("int").alias("sixs_scored_batter"),
-        F.col("wide_ball").cast("int").alias("wide_ball_count"),
-        F.col("no_balls").cast("int").alias("no_ball_count"),
-        F.col("runs_given").cast("int").alias("runs_given"))
+    j = j.join(matches, (j.match_type == matches["__mt"]) & (j.series_name == matches["__sn"])
+               & (j["__season"] == matches["__ss"]) & j.match_id.eqNullSafe(matches["__mn"]))
+    return j.join(dpl.select(F.col("player_id").alias("__pid"),
+                             F.col("player_surrogate_key").alias("player_ref_key")), "__pid")
+
+
+FACT_REFS = ["match_ref_key", "match_type_ref_key", "player_ref_key"]
+
+
+def fact_batting_rows(ms: DataFrame, matches: DataFrame, dpl: DataFrame, keep: Sequence[F.Column] = ()) -> DataFrame:
+    return _fact_refs(ms, matches, dpl).select(*FACT_REFS, *batting_measures(ms), *keep)
+
+
+def fact_bowling_rows(ms: DataFrame, matches: DataFrame, dpl: DataFrame, keep: Sequence[F.Column] = ()) -> DataFrame:
+    return _fact_refs(ms, matches, dpl).select(*FACT_REFS, *measures(BOWLING_MEASURES), *keep)
 
 
 def keyed_fact(rows: DataFrame, key_col: str) -> DataFrame:

@@ -26,7 +26,8 @@ def register(name: str, oracle: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules fills the registry.
-    from . import q_marts, q_clean, q_load, q_model, q_resolve, q_audit, q_assembly  # noqa: F401
+    from . import (q_marts, q_clean, q_load, q_model, q_resolve, q_audit, q_assembly,  # noqa: F401
+                   q_incremental)  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

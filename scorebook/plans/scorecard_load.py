@@ -1,7 +1,7 @@
 """End-to-end run over scorecard CSV trees: bronze -> silver -> star -> gold.
 
 ``run_load`` loads every match folder not yet loaded (all at once),
-``build_gold`` writes the star tables, the CSV marts and the audit.
+``build_gold`` brings the star tables, the marts and the audit up to date.
 Paths are folders of the shared storage (HDFS / object store).
 """
 
@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import PLAYERS_PER_MATCH
-from ..operators import audit, load, model
+from ..operators import load
 from ..session import materialise, remove_path
 from ..sources import catalog, readers, sinks
+from ..sources.versions import Snapshot, StaleBuild, VersionedTables
+from . import gold
 from .match_summary import KEY, Assembly, assemble, write_load
 from .q_clean import team_code_table
 from .warehouse import Warehouse
@@ -24,43 +26,58 @@ def paths(warehouse: str) -> dict[str, str]:
     w = warehouse.rstrip("/")
     return {"master": f"{w}/silver/player_master", "silver": f"{w}/silver/match_summary",
             "ledger": f"{w}/silver/processed_matches", "quarantine": f"{w}/silver/quarantine",
-            "gold": f"{w}/gold", "stage": f"{w}/staging/match_summary"}
+            "malformed": f"{w}/silver/malformed_rows", "gold": f"{w}/gold", "stage": f"{w}/staging/match_summary"}
+
+
+#: Folder names that a load turns into a condition on the files' paths.  Beyond them (a first
+#: load) all folders are read and joined with the names instead; the rows are the same.
+PATH_NAMES = 10_000
 
 
 def run_load(spark: SparkSession, root: str, warehouse: str, load_id: str | None = None,
              expected_rows: int | None = PLAYERS_PER_MATCH,
              among: DataFrame | None = None) -> Assembly | None:
-    """Load all match folders under ``root`` that the ledger does not list as loaded
-    (of ``among``, if given) into the silver tables; None when there are none.
+    """Load all match folders under ``root`` that the ledger does not list as loaded, nor
+    as failed with the files they have now (of ``among``, if given), into the silver tables;
+    None when there are none.
 
-    Folder names come from a listing without content; only the files of the
-    folders to load are read.  Their names are held by the driver, as Spark's own
-    file index of the same folders is."""
+    Folders, lengths and times come from a listing without content; only the files of the
+    folders to load are read, once, and their lines staged.  Lines that do not fit their
+    part's columns are set aside, and their match goes to quarantine."""
     p = paths(warehouse)
     load_id = load_id or load.load_id_now(spark)
     files = readers.list_match_files(spark, root)
-    available = files.select(KEY).distinct()
+    available = readers.fingerprints(files)
     if among is not None:
         available = available.join(among.select(KEY).distinct(), KEY, "left_semi")
-    new = load.new_matches(available, load.read_ledger(spark, p["ledger"]), KEY)
-    slugs = sorted(r[KEY] for r in new.toLocalIterator())
-    if not slugs:
+    chosen = materialise(load.new_matches(available, load.read_ledger(spark, p["ledger"]), KEY), "new_folders")
+    some = [r[KEY] for r in chosen.select(KEY).limit(PATH_NAMES + 1).collect()]
+    if not some:
         return None
-    master = readers.read_master(spark, root)
-    sinks.snapshot(master, p["master"])
-    master = spark.read.parquet(p["master"])
-    chosen = spark.createDataFrame([(s,) for s in slugs], f"{KEY} string")
-    found = readers.read_match_files(spark, root, files.join(chosen, KEY, "left_semi"), slugs)
+    slugs = sorted(some) if len(some) <= PATH_NAMES else None
+    master = publish_master(spark, root, warehouse)
     stage = f"{p['stage']}/{load.attempt_id(load_id)}"
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        if slugs is None:
+            df = df.join(chosen.select(KEY), KEY, "left_semi").select(df.columns)
+        df.write.parquet(f"{stage}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{stage}/{name}")
+
+    found = readers.read_match_files(spark, root, files.join(chosen, KEY, "left_semi"), slugs, staged)
     asm = assemble(found.sheet.drop("file"), found.batting.drop("file"), found.bowling.drop("file"),
                    found.venue.drop("file"), master, team_code_table(spark), load_id,
                    expected_rows=expected_rows, file_gates=found.file_gates(chosen), stage_path=stage)
-    asm = write_load(asm, p["silver"], p["ledger"], p["quarantine"], load_id)
+    asm = write_load(asm, p["silver"], p["ledger"], p["quarantine"], load_id, chosen,
+                     (found.malformed(), p["malformed"]))
     # The rows are in silver now: what the assembly staged is not read again.
     loaded = asm.matches.where(F.col("reason").isNull()).select(KEY)
     remove_path(spark, stage)
-    return Assembly(summary=read_silver(spark, warehouse).join(loaded, KEY, "left_semi")
-                    .withColumn("reason", F.lit(None).cast("string")), matches=asm.matches)
+    try:
+        rows = read_silver(spark, warehouse).join(loaded, KEY, "left_semi")
+    except LookupError:  # no load has put a match into silver yet
+        rows = spark.createDataFrame([], asm.summary.drop("reason").schema)
+    return Assembly(summary=rows.withColumn("reason", F.lit(None).cast("string")), matches=asm.matches)
 
 
 def read_silver(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -83,7 +100,7 @@ def read_silver(spark: SparkSession, warehouse: str) -> DataFrame:
 
 def read_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
     """The committed quarantine: matches that failed a gate and have not been loaded
-    since, with the reason of their first failed attempt."""
+    since, with the reason of their latest attempt."""
     p = paths(warehouse)
     ledger = load.read_ledger(spark, p["ledger"])
     done = ledger.where(F.col("status") == "loaded").select(F.col("processed_match_details").alias(KEY))
@@ -92,89 +109,81 @@ def read_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
             .join(done, KEY, "left_anti"))
 
 
-#: Star table -> attribute of ``Warehouse``.
-STAR = {
-    "dim_match_type": "dmt", "dim_series_names_info": "dsn", "dim_seasons_info": "dss",
-    "dim_match_details": "dmd", "dim_team_info": "dteam", "dim_player_details": "dpl",
-    "dim_date": "ddate", "dim_toss_choice": "dtoss", "dim_venue_location": "dvl",
-    "dim_stadium": "dstadium", "fact_match_info": "fmi", "fact_batting_scorecard": "fbat",
-    "fact_bowling_scorecard": "fbowl",
-}
-
-
-def write_star(w: Warehouse, warehouse: str, rebuild: bool = False) -> dict[str, str]:
-    """Write the ten dimensions and three facts as parquet tables; their paths.
-
-    Dimensions are loaded by insert-only merge on their hash key, so the keys of
-    members they already hold survive; facts are written anew over them.  Each
-    version of a table is a folder of its own, named last in ``current``: a run that
-    fails leaves the old ones readable.  ``rebuild`` starts from empty dimensions."""
-    spark, base = w.spark, f"{paths(warehouse)['gold']}/star"
-    version = load.attempt_id("v")
-    old = {} if rebuild else star_paths(spark, warehouse)
-    out = {}
-    for name, attribute in STAR.items():
-        if name.startswith("dim_"):
-            df = getattr(w, attribute)
-            if name in old:
-                df = model.merge_dimension(spark.read.parquet(old[name]), df)
-                w.replace(attribute, df)
-        else:
-            df = getattr(w, attribute)
-        out[name] = f"{base}/{name}/{version}"
-        df.write.parquet(out[name])
-    (spark.createDataFrame(sorted(out.items()), "table_name string, path string")
-     .coalesce(1).write.mode("overwrite").parquet(f"{base}/current"))
-    return out
+def read_malformed(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The lines set aside by the attempts that the ledger lists: match, part, file, line, reason."""
+    p = paths(warehouse)
+    tried = load.read_ledger(spark, p["ledger"]).select("load_attempt").distinct()
+    return spark.read.parquet(p["malformed"]).join(tried, "load_attempt", "left_semi")
+
+
+def master_tables(spark: SparkSession, warehouse: str) -> VersionedTables:
+    return VersionedTables(spark, paths(warehouse)["master"])
 
 
-def star_paths(spark: SparkSession, warehouse: str) -> dict[str, str]:
-    """Paths of the star tables as last written; empty before the first run."""
+def publish_master(spark: SparkSession, root: str, warehouse: str) -> DataFrame:
+    """The player master of the CSV tree as a new version; readers of the last one keep it."""
+    tables = master_tables(spark, warehouse)
+    build = tables.begin()
+    build.write("player_master", readers.read_master(spark, root), replace=True)
     try:
-        rows = spark.read.schema("table_name string, path string").parquet(
-            f"{paths(warehouse)['gold']}/star/current").collect()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return {}
-    return {r["table_name"]: r["path"] for r in rows}
+        build.publish()
+    except StaleBuild:
+        pass  # another load has published the master since: its version is read
+    tables.prune()
+    return tables.read("player_master")
 
 
-def audit_run(spark: SparkSession, silver: DataFrame, star: dict[str, str]) -> DataFrame:
-    """The checks after a run, one row each: name, value, expected (null: for information)."""
-    read = {t: spark.read.parquet(p) for t, p in star.items()}
-    n = silver.count()
-    rows = [("silver rows", n, None), *[
-        (f"{t} rows", read[t].count(), n) for t in ("fact_batting_scorecard", "fact_bowling_scorecard")]]
-    keys = silver.select("match_type", "series_name", "season", "match_id").distinct().count()
-    rows.append(("dim_match_details rows", read["dim_match_details"].count(), keys))
-    lost = audit.lost_rows(silver).first()
-    rows.append(("silver rows without a season", lost["lost_rows"], 0))
-    for r in audit.null_audit({t: d for t, d in read.items() if t.startswith("dim_")}).collect():
-        rows.append((f"{r['table_name']} rows with a null", r["null_rows"], 0))
-    return spark.createDataFrame(rows, "check_name string, value long, expected long")
+def star_tables(spark: SparkSession, warehouse: str) -> VersionedTables:
+    """Star tables and marts: read a table with ``.read(name)``."""
+    return VersionedTables(spark, f"{paths(warehouse)['gold']}/star")
 
 
 def build_gold(spark: SparkSession, warehouse: str, database: str | None = None,
-               rebuild: bool = False) -> dict[str, DataFrame]:
-    """Star tables over the whole silver table, the CSV marts, and the audit table.
-
-    With ``database`` the star, silver and ledger are registered under names."""
+               rebuild: bool = False, keep_unmatched: bool = False) -> dict[str, DataFrame]:
+    """Bring star tables, marts and the audit up to date with the loads they do not hold.
+
+    All of it is one version, published at the end: a build that fails leaves the last
+    version as it is, and the next one starts from there, so keys once given stay.
+    ``rebuild`` starts from nothing; ``keep_unmatched`` as in ``gold.update``, for a
+    first build.  The marts are written as CSV too.  With ``database`` the tables are
+    registered under names."""
     p = paths(warehouse)
     silver = read_silver(spark, warehouse)
-    w = Warehouse.from_silver(silver, spark.read.parquet(p["master"]), team_code_table(spark))
-    star = write_star(w, warehouse, rebuild)
-    out = {"format_wise_analysis": w.win_count(),
-           "format_wise_winners": w.win_count("match_own_team_ref_key"),
-           "batting_analysis": w.batting_with_styles(),
-           "bowling_analysis": w.bowling()}
+    tables = star_tables(spark, warehouse)
+    build = tables.begin(rebuild)
+    ledger = load.committed(load.read_ledger(spark, p["ledger"]), KEY)
+    # One name for each load since the last build.
+    attempts = sorted(r["load_attempt"] for r in ledger.select("load_attempt").distinct().collect()
+                      if r["load_attempt"] not in build.held.sources)
+    if attempts or not build.has("dim_match_details"):
+        gold.update(build, silver.where(F.col("load_attempt").isin(attempts)),
+                    master_tables(spark, warehouse).read("player_master"), team_code_table(spark), attempts,
+                    keep_unmatched=keep_unmatched)
+    out = gold.mart_tables(build)
     for name, df in out.items():
         sinks.write_csv_mart(df, f"{p['gold']}/{name}")
-    out["audit"] = materialise(audit_run(spark, silver, star), "audit")
-    out["audit"].write.mode("overwrite").parquet(f"{p['gold']}/audit")
+    keys = silver.select("match_type", "series_name", "season", "match_id").distinct().count()
+    build.write("audit", gold.audit(build, keys), replace=True)
+    out["audit"] = build.read("audit")
+    held = build.publish()
     if database:
-        catalog.register_all(spark, database, star | {
-            "match_summary": p["silver"], "processed_matches": p["ledger"],
-            "player_master": p["master"], "audit": f"{p['gold']}/audit"})
+        register(spark, warehouse, database, held)
+    tables.prune()
+    w = Warehouse.from_silver(silver, master_tables(spark, warehouse).read("player_master"), team_code_table(spark))
+    for name, attribute in gold.STAR.items():
+        w.replace(attribute, build.read(name))
     out["warehouse"] = w
     return out
+
+
+def register(spark: SparkSession, warehouse: str, database: str, held: Snapshot) -> list[str]:
+    """The tables of a published version, silver, ledger and master under names."""
+    p = paths(warehouse)
+    tables, master = star_tables(spark, warehouse), master_tables(spark, warehouse)
+    catalog.create_database(spark, database)
+    for owner, names, version in ((tables, [*gold.STAR, "audit"], held),
+                                  (master, ["player_master"], master.snapshot())):
+        for name in names:
+            catalog.register_parts(spark, database, name, f"{owner.base}/{name}", owner.read(name, version).schema,
+                                   version.parts.get(name, []))
+    return catalog.register_all(spark, database, {"match_summary": p["silver"], "processed_matches": p["ledger"]})

@@ -86,7 +86,7 @@ class Warehouse:
              "dtoss": "toss_choice", "dvl": "venue_location", "dstadium": "stadium"}
 
     def replace(self, attribute: str, df: DataFrame) -> None:
-        """Use ``df`` for a dimension from here on (its merged form)."""
+        """Use the written table ``df`` from here on."""
         if attribute in self.SMALL:
             self.small[self.SMALL[attribute]] = df
         else:
@@ -140,6 +140,11 @@ class Warehouse:
                   else player_master(self.spark, self.sf_dir))
         return star.dim_player(master)
 
+    @cached_property
+    def matches(self):
+        """Natural key of a match -> surrogate key."""
+        return star.match_lookup(self.dmd, self.dmt, self.dsn, self.dss)
+
     @cached_property
     def match_rows(self):
         return star.fact_match_rows(self.ms, self.dmd, self.dpl, self.dteam, self.dtoss,
@@ -147,13 +152,13 @@ class Warehouse:
 
     @cached_property
     def batting_rows(self):
-        return star.fact_batting_rows(self.ms, self.dmt, self.dmd, self.dpl)
+        return star.fact_batting_rows(self.ms, self.matches, self.dpl)
 
     @cached_property
     def bowling_rows(self):
-        return star.fact_bowling_rows(self.ms, self.dmt, self.dmd, self.dpl)
+        return star.fact_bowling_rows(self.ms, self.matches, self.dpl)
 
-    # The facts as tables, with their own keys; the marts read the rows above.
+    # The facts as tables, with their own keys.
     @cached_property
     def fmi(self):
         return star.keyed_fact(self.match_rows, "match_surrogate_key")
@@ -167,21 +172,31 @@ class Warehouse:
         return star.keyed_fact(self.bowling_rows, "bowling_scorecard_surrogate_key")
 
     # ------------------------------------------------------------ marts
+    # From the silver rows and the one or two dimensions whose columns they show.
+    @cached_property
+    def batting_base(self):
+        return marts.silver_base(self.ms, self.dpl, star.batting_measures(self.ms))
+
+    @cached_property
+    def bowling_base(self):
+        return marts.silver_base(self.ms, self.dpl, star.measures(star.BOWLING_MEASURES))
+
+    @cached_property
+    def styles(self):
+        return self._styles if self._styles is not None else bowler_styles(self.spark, self.sf_dir)
+
     def win_count(self, team_ref="toss_own_team_ref_key", count_name="match_win_count"):
-        return marts.win_count_mart(self.match_rows, self.dmd, self.dmt, self.dss, self.dsn,
-                                    self.dteam, team_ref, count_name)
+        return marts.win_counts(marts.whole_matches(self.ms, self.dpl, self.dteam, team_ref), count_name)
 
     def dismissal_pivot(self):
-        styles = (self._styles if self._styles is not None
-                  else bowler_styles(self.spark, self.sf_dir))
-        return marts.dismissal_style_pivot(self.batting_rows, self.dpl, self.dmt, self.dmd,
-                                           self.dss, styles)
+        return marts.dismissal_style_pivot(marts.dismissal_style_counts(self.batting_base, self.styles),
+                                           marts.style_list(self.styles))
 
     def batting(self):
-        return marts.batting_mart(self.batting_rows, self.dpl, self.dmt, self.dmd, self.dss)
+        return marts.batting_mart(self.batting_base)
 
     def batting_with_styles(self):
         return marts.batting_mart_with_styles(self.batting(), self.dismissal_pivot())
 
     def bowling(self):
-        return marts.bowling_mart(self.bowling_rows, self.dpl, self.dmt, self.dmd, self.dss)
+        return marts.bowling_mart(self.bowling_base)

@@ -11,7 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -82,6 +84,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/scorebook/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def concurrently(*tasks, workers: int = 4) -> list:
+    """The results of functions without arguments, each run in a thread: small Spark jobs
+    that do not depend on each other share the cluster instead of queueing."""
+    spark = SparkSession.getActiveSession()
+    with ThreadPoolExecutor(workers) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]
+        return [f.result() for f in futures]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate tables in whatever store holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -99,5 +115,10 @@ def materialise(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_bytes(df) -> int:
+    """Bytes of the files behind a written table, from its listing (no job)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
