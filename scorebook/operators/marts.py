@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import overs_to_balls
 from ..session import materialise
-from .star import match_rows
 
 
 WIN_GROUPS = ["season", "series_name", "team_name", "flag", "team_code"]
@@ -52,13 +51,14 @@ TEAM_ROLES = {"team_1_ref_key": "team_1", "team_2_ref_key": "team_2",
               "toss_own_team_ref_key": "toss_own_by", "match_own_team_ref_key": "own_team"}
 
 
-def whole_matches(ms: DataFrame, dpl: DataFrame, dteam: DataFrame,
+def whole_matches(matches: DataFrame, dpl: DataFrame, dteam: DataFrame,
                   team_ref: str = "toss_own_team_ref_key") -> DataFrame:
-    """The match fact's rows under natural names, with the team in the role
+    """The match fact's rows (of ``match_rows``) under natural names, with the team in the role
     ``team_ref``: no dimension is keyed that the marts drop again.  As in the fact, a match
     counts if the dimensions hold all its references."""
     number = lambda c: F.col(c).cast("string").try_cast("int")
-    m = match_rows(ms).dropna(subset=["match_type", "series_name", "season", "toss_choice", "match_month"])
+    m = matches.drop("venue_id", "venue_location", "stadium").distinct()
+    m = m.dropna(subset=["match_type", "series_name", "season", "toss_choice", "match_month"])
     m = m.where(number("match_day").isNotNull() & number("match_year").isNotNull())
     m = m.join(dpl.select(F.col("player_id").alias("player_of_the_match")), "player_of_the_match")
     for role, col in TEAM_ROLES.items():

@@ -24,6 +24,17 @@ from .model import assign_fact_keys, assign_surrogate_keys
 
 # ------------------------------------------------------------------ dims
 
+def match_rows(ms: DataFrame) -> DataFrame:
+    """The distinct combinations of a match's attributes, under natural names: a few rows
+    per match.  Dimensions, match fact and win counts are taken from these, so they run per
+    match and not per player."""
+    return ms.select(
+        "match_type", "series_name", F.col("season").cast("string").try_cast("int").alias("season"), "match_id",
+        F.col("player_of_the_match_player_id").try_cast("int").alias("player_of_the_match"),
+        "team_1", "team_2", "toss_own_by", "own_team", "toss_choice",
+        "match_day", "match_month", "match_year", "venue_id", "venue_location", "stadium").distinct()
+
+
 SMALL_DIM_SETS = {
     "match_type": ["match_type"],
     "series_name": ["series_name"],
@@ -35,8 +46,8 @@ SMALL_DIM_SETS = {
 }
 
 
-def small_dims(ms: DataFrame) -> dict[str, DataFrame]:
-    """The seven dimensions of distinct silver values, from one scan.
+def small_dims(matches: DataFrame) -> dict[str, DataFrame]:
+    """The seven dimensions of distinct silver values, from one scan of ``match_rows``.
 
     One GROUPING SETS aggregate (map-side partial aggregation, so only
     distinct values per task are shuffled) gives all value sets, and one pass
@@ -45,7 +56,7 @@ def small_dims(ms: DataFrame) -> dict[str, DataFrame]:
     cols = ["match_type", "series_name", "season", "toss_choice", "venue_location",
             "match_day", "match_month", "match_year", "venue_id", "stadium"]
     sets = list(SMALL_DIM_SETS.values())
-    g = ms.select(*cols).groupingSets([[F.col(c) for c in st] for st in sets], *cols).agg(
+    g = matches.select(*cols).groupingSets([[F.col(c) for c in st] for st in sets], *cols).agg(
         F.grouping_id().alias("gid"))
     # A set's number has a one for each column it does not group by.
     which = F.lit(None).cast("string")
@@ -106,16 +117,10 @@ def small_dims(ms: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def match_hash(ms_alias: str = "") -> F.Column:
-    p = f"{ms_alias}." if ms_alias else ""
-    return hash_key(f"{p}match_type", f"{p}series_name", f"{p}season", f"{p}match_id")
-
-
-def dim_match_details(ms: DataFrame, dmt: DataFrame, dsn: DataFrame, dss: DataFrame) -> DataFrame:
-    """One row per (type, series, season, match number), referring to the
-    three dimensions by their hash keys."""
-    m = (ms.select("match_type", "series_name", F.col("season").try_cast("int").alias("season"),
-                   F.col("match_id").alias("match_number"))
+def dim_match_details(matches: DataFrame, dmt: DataFrame, dsn: DataFrame, dss: DataFrame) -> DataFrame:
+    """One row per (type, series, season, match number) of ``match_rows``, referring to
+    the three dimensions by their hash keys."""
+    m = (matches.select("match_type", "series_name", "season", F.col("match_id").alias("match_number"))
          .dropDuplicates(["match_type", "series_name", "season", "match_number"]))
     j = (m.join(dmt.select("match_type", "match_type_hash_value"), "match_type")
          .join(dsn.select("series_name", "series_name_hash_value"), "series_name")
@@ -197,28 +202,18 @@ def batting_measures(ms: DataFrame) -> list[F.Column]:
             F.col("dismissal_bowler_id").cast("long").alias("dimissial_player_id")]
 
 
-def match_rows(ms: DataFrame) -> DataFrame:
-    """The distinct combinations of a match's attributes, under natural names: a
-    few rows per match, so that what follows runs per match and not per player."""
-    return ms.select(
-        "match_type", "series_name", F.col("season").cast("string").try_cast("int").alias("season"), "match_id",
-        F.col("player_of_the_match_player_id").try_cast("int").alias("player_of_the_match"),
-        "team_1", "team_2", "toss_own_by", "own_team", "toss_choice",
-        "match_day", "match_month", "match_year").distinct()
-
-
-def fact_match_rows(ms: DataFrame, dmd: DataFrame, dpl: DataFrame, dteam: DataFrame,
+def fact_match_rows(matches: DataFrame, dmd: DataFrame, dpl: DataFrame, dteam: DataFrame,
                     dtoss: DataFrame, ddate: DataFrame, keep_unmatched: bool = False,
                     keep: Sequence[str] = ()) -> DataFrame:
-    """Factless match fact without its own key: one row per distinct combination of
-    the match's references; the team dimension plays four roles.
+    """Factless match fact without its own key, from ``match_rows``: one row per distinct
+    combination of the match's references; the team dimension plays four roles.
 
     ``keep_unmatched=False`` keeps the inner-join meaning (a match whose
     winner or player of the match has no dimension row drops out);
     ``True`` keeps it with references to the dimensions' unknown member.
     ``keep`` are columns of ``match_rows`` to carry."""
     how = "left" if keep_unmatched else "inner"
-    m = match_rows(ms).withColumns({
+    m = matches.withColumns({
         "__mh": hash_key("match_type", "series_name", "season", "match_id"),
         "__dh": hash_key("match_day", "match_month", "match_year")})
 

@@ -11,10 +11,13 @@ match (match_id)               order (``l_orderkey``)
 match type / series / season   ``o_orderstatus`` / ``o_orderpriority`` / year
 match day / month / year       parts of ``o_orderdate``
 player (player_id, name)       supplier (``l_suppkey``, ``s_name``)
-team 1 / toss owner            customer's nation
-team 2 / winning side          supplier's nation
-venue location -> stadium      region -> customer's nation
-toss choice                    ``l_returnflag``
+team 1                         customer's nation
+team 2                         the nation seven keys on
+toss owner                     team 1 of even orders, team 2 of odd ones
+winning side                   team 2 of orders divisible by 3, else team 1
+player of the match            supplier 1 to 10, by the customer
+venue location -> stadium      region -> ground of the customer's nation
+toss choice                    by the order's key
 bowler of a dismissal, style   part (``l_partkey``), lower(``p_type``)
 batting / bowling measures     integer measures derived from the line
 =============================  ==============================================
@@ -45,13 +48,14 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     p = read(spark, sf_dir, "part").select("p_partkey", "p_type")
     n = read(spark, sf_dir, "nation")
     r = read(spark, sf_dir, "region")
     cn = n.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("team_1"),
                   F.col("n_regionkey").alias("cn_region"))
     sn = n.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("team_2"))
+    other = (F.col("c_nationkey") + 7) % 25
     rg = r.select(F.col("r_regionkey").alias("rg_key"), F.col("r_name").alias("venue_location"))
 
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
@@ -59,7 +63,7 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(s, li.l_suppkey == s.s_suppkey)
          .join(p, li.l_partkey == p.p_partkey)
          .join(cn, c.c_nationkey == cn.cn_key)
-         .join(sn, s.s_nationkey == sn.sn_key)
+         .join(sn, other == sn.sn_key)
          .join(rg, cn.cn_region == rg.rg_key))
 
     played = F.col("l_linestatus") == "F"
@@ -77,13 +81,13 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("o_orderdate").alias("match_year"),
         F.col("team_1"),
         F.col("team_2"),
-        F.col("team_1").alias("toss_own_by"),
-        F.col("l_returnflag").alias("toss_choice"),
-        F.col("team_2").alias("own_team"),
-        F.col("l_suppkey").alias("player_of_the_match_player_id"),
+        F.when(F.col("l_orderkey") % 2 == 0, F.col("team_1")).otherwise(F.col("team_2")).alias("toss_own_by"),
+        F.when(F.col("l_orderkey") % 4 < 2, F.lit("BATTING")).otherwise(F.lit("BOWLING")).alias("toss_choice"),
+        F.when(F.col("l_orderkey") % 3 == 0, F.col("team_2")).otherwise(F.col("team_1")).alias("own_team"),
+        (F.col("o_custkey") % 10 + 1).alias("player_of_the_match_player_id"),
         F.col("c_nationkey").alias("venue_id"),
         F.col("venue_location"),
-        F.col("team_1").alias("stadium"),
+        F.concat("team_1", F.lit(" GROUND")).alias("stadium"),
         F.col("l_suppkey").alias("player_id"),
         F.col("s_name").alias("player_name"),
         F.col("l_linenumber").alias("batting_position"),
@@ -125,13 +129,13 @@ summary AS (
     CAST(year(o.o_orderdate) AS INTEGER) AS match_year,
     cn.n_name AS team_1,
     sn.n_name AS team_2,
-    cn.n_name AS toss_own_by,
-    l.l_returnflag AS toss_choice,
-    sn.n_name AS own_team,
-    l.l_suppkey AS player_of_the_match_player_id,
+    CASE WHEN l.l_orderkey % 2 = 0 THEN cn.n_name ELSE sn.n_name END AS toss_own_by,
+    CASE WHEN l.l_orderkey % 4 < 2 THEN 'BATTING' ELSE 'BOWLING' END AS toss_choice,
+    CASE WHEN l.l_orderkey % 3 = 0 THEN sn.n_name ELSE cn.n_name END AS own_team,
+    o.o_custkey % 10 + 1 AS player_of_the_match_player_id,
     c.c_nationkey AS venue_id,
     r.r_name AS venue_location,
-    cn.n_name AS stadium,
+    cn.n_name || ' GROUND' AS stadium,
     l.l_suppkey AS player_id,
     s.s_name AS player_name,
     l.l_linenumber AS batting_position,
@@ -164,7 +168,7 @@ summary AS (
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN part p ON l.l_partkey = p.p_partkey
   JOIN nation cn ON c.c_nationkey = cn.n_nationkey
-  JOIN nation sn ON s.s_nationkey = sn.n_nationkey
+  JOIN nation sn ON (c.c_nationkey + 7) % 25 = sn.n_nationkey
   JOIN region r ON cn.n_regionkey = r.r_regionkey
 )"""
 

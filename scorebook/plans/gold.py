@@ -122,7 +122,7 @@ def update(build: Build, new: DataFrame, master: DataFrame, codes: DataFrame, so
     where = ["season_key", "flag"]
 
     def match_tables():
-        matches = star.fact_match_rows(new, dim["dmd"], dim["dpl"], dim["dteam"], dim["dtoss"], dim["ddate"],
+        matches = star.fact_match_rows(found.match_table, dim["dmd"], dim["dpl"], dim["dteam"], dim["dtoss"], dim["ddate"],
                                        keep_unmatched, keep=FACT_FOLDERS)
         if build.has("fact_match_info"):
             old = within(build.read("fact_match_info"), FACT_FOLDERS, groups)

@@ -142,7 +142,7 @@ def q49_match_fact_with_unknown_member(spark, sf_dir):
         "player_of_the_match_player_id": F.when(F.col("match_id") % 5 == 0, F.lit(None).cast("long"))
         .otherwise(F.col("player_of_the_match_player_id"))})
     w.__dict__["ms"] = w._silver
-    fact = star.fact_match_rows(w.ms, w.dmd, w.dpl, w.dteam, w.dtoss, w.ddate, keep_unmatched=True)
+    fact = star.fact_match_rows(w.match_table, w.dmd, w.dpl, w.dteam, w.dtoss, w.ddate, keep_unmatched=True)
     players = star.with_unknown(w.dpl).select(F.col("player_hash_value").alias("player_of_the_match_ref_key"),
                                               F.col("player_surrogate_key").alias("player_of_the_match_key"))
     teams = star.with_unknown(w.dteam).select(F.col("team_hash_value").alias("match_own_team_ref_key"),

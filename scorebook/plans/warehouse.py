@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import marts, star
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from ..sources.sinks import write_table
 from .analogue import read, summary
 
@@ -94,8 +94,13 @@ class Warehouse:
 
     @cached_property
     def small(self) -> dict[str, DataFrame]:
-        """The seven small dimensions, from one silver scan."""
-        return star.small_dims(self.ms)
+        """The seven small dimensions, from one scan."""
+        return star.small_dims(self.match_table)
+
+    @cached_property
+    def match_table(self) -> DataFrame:
+        """The attributes of matches, from one silver scan."""
+        return materialise(star.match_rows(self.ms), "match_rows")
 
     @property
     def dmt(self):
@@ -127,7 +132,7 @@ class Warehouse:
 
     @cached_property
     def dmd(self):
-        return star.dim_match_details(self.ms, self.dmt, self.dsn, self.dss)
+        return star.dim_match_details(self.match_table, self.dmt, self.dsn, self.dss)
 
     @cached_property
     def dteam(self):
@@ -147,7 +152,7 @@ class Warehouse:
 
     @cached_property
     def match_rows(self):
-        return star.fact_match_rows(self.ms, self.dmd, self.dpl, self.dteam, self.dtoss,
+        return star.fact_match_rows(self.match_table, self.dmd, self.dpl, self.dteam, self.dtoss,
                                     self.ddate)
 
     @cached_property
@@ -186,7 +191,7 @@ class Warehouse:
         return self._styles if self._styles is not None else bowler_styles(self.spark, self.sf_dir)
 
     def win_count(self, team_ref="toss_own_team_ref_key", count_name="match_win_count"):
-        return marts.win_counts(marts.whole_matches(self.ms, self.dpl, self.dteam, team_ref), count_name)
+        return marts.win_counts(marts.whole_matches(star.match_rows(self.ms), self.dpl, self.dteam, team_ref), count_name)
 
     def dismissal_pivot(self):
         return marts.dismissal_style_pivot(marts.dismissal_style_counts(self.batting_base, self.styles),
