@@ -13,16 +13,26 @@
    the same part of the body.
 
 Left out wherever they stand: navigation, footers, sidebars, forms, scripts, styles,
-hidden parts, and elements whose role, class or id says advert, menu, notice,
-comment and the like; a header, but for the headings of one inside the article.
+hidden parts; a header, but for the headings of one inside the article; and elements
+with a class or id of boilerplate: one that is such a word (``sidebar``) or is made of such words and
+words of layout (``cookie-notice``, ``comment-list``), but not one that holds another word
+(``has-sidebar``, ``ad-free``, ``social-science``).  No class takes away an article, a main
+part or a first heading, nor what stands around the page's main part, its first article
+or heading or, where it has none of them, around most of its text.  Code listings are kept as they are.
+
+Pages are read by one scan: scripts and styles go straight to their own end mark, a tag
+ends at its ``>`` or before the next ``<`` outside a quoted value, and containers know their
+parent only, so time and memory are linear in the page, however broken or deep.
 
 Scale: scoring and extraction are one pass each; between them only (host, path,
 votes) is shuffled, summed before the shuffle, so a host that holds a third of the pages is
-no hot key; the winners are joined back by host as a table.
+no hot key; the winners are joined back by host as a table, and a host with many pages
+is dealt out by a salt of its pages.
 
 Defined results: a null or empty page, or one without main text, gives the empty text; a null url
 or one without a host shares the empty host; an unclosed element ends with its
-parent; ties between paths go to the longer, then the first in order; rows that share a
+parent; an unclosed script or comment ends with the page, a tag without any ``>`` behind it is
+text; ties between paths go to the longer, then the last in order; rows that share a
 page_id are extracted each for itself; a null page_id is kept; an empty table
 gives an empty result; other columns are ignored.
 """
@@ -31,6 +41,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -39,14 +51,19 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, map_batches, materialise
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""")
+# Quotes bound a value only behind "="; all repeats are possessive, so a failed match is not tried again.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+)""")
+_ATTRIBUTE = re.compile(r"""(?<![a-zA-Z-])([a-zA-Z-]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?+""")
 #: Their content is not markup.
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object"}
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in _RAW}
+#: Without an end mark these take the rest of the page with them; others are passed over.
+_TO_THE_END = {"script", "style"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img",
            "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time",
            "tt", "u", "var", "wbr"}
+_CODE = {"pre", "code", "samp", "kbd"}
 #: Elements that are closed by what follows, so they bound blocks but hold no path.
 _LOOSE = {"p", "li", "dt", "dd", "option", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "thead", "tbody", "tfoot", "pre",
           "blockquote", "figcaption", "caption", "address", "hr", "ul", "ol", "dl", "figure"}
@@ -60,114 +77,197 @@ _BOILER_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising
                  "subscribe", "subscription", "share", "sharing", "social", "related", "recommended", "recommendations",
                  "comment", "comments", "reply", "replies", "respond", "disqus", "widget", "login", "signup", "toolbar",
                  "pagination", "pager", "skip"}
-_MAIN_TAGS = {"html", "body", "article", "main"}
+#: Words of layout that say nothing against the boilerplate word beside them.
+_LAYOUT_WORDS = {"", "area", "article", "aside", "author", "bar", "block", "body", "bottom", "box", "buttons", "center",
+                 "column", "container", "content", "entry", "footer", "form", "global", "group", "header", "inner", "item",
+                 "items", "left", "link", "links", "list", "main", "meta", "mobile", "outer", "page", "panel", "post",
+                 "posts", "primary", "reader", "right", "row", "secondary", "section", "side", "site", "slot", "sticky",
+                 "text", "thread", "title", "top", "unit", "user", "wrap", "wrapper"}
+#: Parts a host's pages are dealt into.
+SALTS = 16
+_NEVER = {"html", "body", "article", "main", "h1"}
 
 
 @dataclass
 class Block:
     text: str
     linked: int  # characters of link text
-    chain: tuple[int, ...]  # containers it stands in, outermost first
+    container: int  # the innermost one it stands in, -1 for none
     boiler: bool
+    mark: int = -1  # the innermost element around it that has a class of boilerplate
 
 
 @dataclass
 class Page:
-    paths: list[str] = field(default_factory=list)  # of each container
-    tags: list[str] = field(default_factory=list)  # of each container
+    parent: list[int] = field(default_factory=list)  # of each container; parents come first
+    step: list[str] = field(default_factory=list)  # tag and classes
+    tag: list[str] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
 
 
+@dataclass
+class Open:
+    """An open element."""
+
+    tag: str
+    container: int
+    boiler: bool  # by tag, role or style
+    mark: int  # of the innermost element with a class of boilerplate
+    in_article: bool
+    headings_only: bool
+
+
 def _attributes(text: str) -> dict[str, str]:
-    found = {}
+    found: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(text):
-        if m[5]:
-            found.setdefault("hidden", "")
-        else:
-            found.setdefault(m[1].lower(), next((v for v in m.groups()[1:4] if v is not None), ""))
+        found.setdefault(m[1].lower(), next((v for v in m.groups()[1:] if v is not None), ""))
     return found
 
 
 def _is_boiler(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether an element is boilerplate by its tag, role or style."""
     if tag in _BOILER_TAGS or attributes.get("role", "").lower() in _BOILER_ROLES:
         return True
     if tag == "header" and not in_article:
         return True
-    if "hidden" in attributes or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")):
-        return True
-    if tag in _MAIN_TAGS:
+    return "hidden" in attributes or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden",
+                                               attributes.get("style", "")) is not None
+
+
+def _names_boiler(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether one of an element's classes, or its id, names boilerplate."""
+    if tag in _NEVER:
         return False
-    names = re.split(r"[^a-z]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
-    return not _BOILER_WORDS.isdisjoint(names)
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()))
+        if not _BOILER_WORDS.isdisjoint(words) and words <= _BOILER_WORDS | _LAYOUT_WORDS:
+            return True
+    return False
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
     classes = sorted(set(re.sub(r"\d+", "#", attributes.get("class", "").lower()).split()))
-    return ".".join([tag, *classes])
+    return ".".join([tag, *classes]).replace(">", "")
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """("text", piece, ""), ("open", tag, attributes) and ("close", tag, ""), in one scan."""
+    at, last, endless = 0, page.rfind(">"), set()
+    while True:
+        mark = page.find("<", at)
+        if mark < 0 or (mark > last and not page.startswith("<!--", mark)):
+            break
+        m = _TAG.match(page, mark)
+        if m is None:
+            following = page[mark + 1:mark + 2]
+            if following not in ("!", "?", "/"):
+                yield "text", page[at:mark + 1], ""
+                at = mark + 1
+                continue
+            if mark > at:
+                yield "text", page[at:mark], ""
+            if page.startswith("<!--", mark):
+                end, size = page.find("-->", mark + 4), 3
+            elif page.startswith("<![CDATA[", mark):
+                end, size = page.find("]]>", mark), 3
+                if end >= 0:
+                    yield "raw", page[mark + 9:end], ""
+            else:
+                end, size = page.find(">", mark), 1
+            if end < 0:
+                return
+            at = end + size
+            continue
+        if mark > at:
+            yield "text", page[at:mark], ""
+        at = m.end() + page.startswith(">", m.end())
+        tag = m[2].lower()
+        if tag not in _RAW or m[1]:
+            if tag not in _RAW:
+                yield ("close" if m[1] else "open"), tag, m[3]
+            continue
+        yield "raw", "", ""
+        if m[3].rstrip().endswith("/") or tag in endless:
+            continue
+        end = _END[tag].search(page, at)
+        if end is not None:
+            at = page.find(">", end.end()) + 1 or len(page)
+        elif tag in _TO_THE_END:
+            return
+        else:
+            endless.add(tag)
+    if at < len(page):
+        yield "text", page[at:], ""
 
 
 def parse(page: str) -> Page:
     """Containers and text blocks of a page."""
     out = Page()
-    # Open elements: tag, number of its container (or None), whether boilerplate, in article, only headings count.
-    stack: list[tuple[str, int | None, bool, bool, bool]] = []
+    stack = [Open("", -1, False, -1, False, False)]
+    is_open: Counter[str] = Counter()
     parts: list[str] = []
-    linked, links, heading = 0, 0, False
-    raw = ""
+    linked, links, heading, code = 0, 0, False, 0
+    # Elements with a class of boilerplate: the one around each; and those around the main part, the first article and heading.
+    around: list[int] = []
+    anchors: dict[str, int] = {}
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            top = stack[-1] if stack else ("", None, False, False, False)
-            boiler = top[2] or (top[4] and not heading)
-            out.blocks.append(Block(text, linked, tuple(s[1] for s in stack if s[1] is not None), boiler))
+            top = stack[-1]
+            out.blocks.append(Block(text, linked, top.container, top.boiler or (top.headings_only and not heading), top.mark))
         parts.clear()
         linked = 0
 
+    def push(element: Open) -> None:
+        stack.append(element)
+        is_open[element.tag] += 1
+
     def close(tag: str) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == tag:
-                del stack[k:]
+        while is_open[tag]:
+            gone = stack.pop()
+            is_open[gone.tag] -= 1
+            if gone.tag == tag:
                 return
 
-    at = 0
-    for m in _TOKEN.finditer(page):
-        if raw:
-            if not (m[1] and m[0].startswith("</") and m[1].lower() == raw):
-                continue
-            raw, at = "", m.end()
-            continue
-        if m.start() > at:
-            piece = html.unescape(page[at:m.start()])
+    def marked(tag: str, attributes: dict[str, str]) -> int:
+        """The mark inside this element."""
+        if not _names_boiler(tag, attributes):
+            return stack[-1].mark
+        around.append(stack[-1].mark)
+        return len(around) - 1
+
+    for kind, name, rest in tokens(page):
+        if kind == "text":
+            piece = html.unescape(name)
             parts.append(piece)
-            if links:
-                linked += len(piece)
-        at = m.end()
-        if m[1] is None:
-            if m[0].startswith("<![CDATA["):
-                parts.append(m[0][9:-3])
+            linked += len(piece) if links else 0
             continue
-        tag, closing = m[1].lower(), m[0].startswith("</")
+        if kind == "raw":
+            parts.append(name)
+            continue
+        tag, closing, top = name, kind == "close", stack[-1]
+        if tag in _CODE:
+            code = max(0, code + (-1 if closing else 1))
         if tag == "a":
             links = max(0, links + (-1 if closing else 1))
         if tag in _INLINE:
             if tag == "br":
                 parts.append(" ")
-            elif not closing and tag not in _VOID and m[2].strip() and _is_boiler(tag, _attributes(m[2]), True):
-                # An inline advert or share link: open it as an element of its own.
-                flush()
-                stack.append((tag, None, True, True, False))
-            elif closing and stack and stack[-1][0] == tag:
+            elif closing and top.tag == tag:
                 flush()
-                stack.pop()
+                close(tag)
+            elif not closing and tag not in _VOID and not code and rest.strip():
+                attributes = _attributes(rest)
+                boiler, mark = _is_boiler(tag, attributes, True), marked(tag, attributes)
+                if boiler or mark != top.mark:
+                    # An inline advert or share link: open it as an element of its own.
+                    flush()
+                    push(Open(tag, top.container, top.boiler or boiler, mark, True, False))
             continue
         flush()
-        links = 0 if tag != "a" else links
-        if tag in _RAW:
-            if not closing and not m[2].rstrip().endswith("/"):
-                raw = tag
-            continue
+        links = 0
         if tag in _VOID:
             continue
         if closing:
@@ -175,70 +275,164 @@ def parse(page: str) -> Page:
                 heading = False
             close(tag)
             continue
-        attributes = _attributes(m[2]) if m[2].strip() else {}
-        parent = stack[-1] if stack else ("", None, False, False, False)
+        attributes = _attributes(rest) if rest.strip() else {}
+        if tag in ("article", "main", "h1") and not top.boiler:
+            anchors.setdefault(tag, top.mark)
         if tag in _LOOSE:
             heading = tag in _HEADINGS or (heading and tag not in ("p", "li", "pre"))
-            if attributes and _is_boiler(tag, attributes, parent[3]):
-                stack.append((tag, None, True, parent[3], parent[4]))
-            elif stack and stack[-1][0] == tag and tag in ("p", "li"):
-                stack.pop()  # a paragraph opened by a boilerplate one ends it
+            boiler, mark = _is_boiler(tag, attributes, top.in_article), marked(tag, attributes)
+            if boiler or mark != top.mark:
+                push(Open(tag, top.container, top.boiler or boiler, mark, top.in_article, top.headings_only))
+            elif top.tag == tag and tag in ("p", "li"):
+                close(tag)  # a paragraph opened by a boilerplate one ends it
             continue
         heading = False
-        in_article = parent[3] or tag in ("article", "main")
-        boiler = parent[2] or _is_boiler(tag, attributes, in_article)
-        number = len(out.paths)
-        above = next((out.paths[s[1]] for s in reversed(stack) if s[1] is not None), "")
-        out.paths.append(f"{above}>{_step(tag, attributes)}" if above else _step(tag, attributes))
-        out.tags.append(tag)
-        stack.append((tag, number, boiler, in_article, parent[4] or (tag == "header" and not boiler)))
-    if not raw:
-        parts.append(html.unescape(page[at:]))
-        flush()
+        in_article = top.in_article or tag in ("article", "main")
+        boiler = top.boiler or _is_boiler(tag, attributes, in_article)
+        out.parent.append(top.container)
+        out.step.append(_step(tag, attributes))
+        out.tag.append(tag)
+        push(Open(tag, len(out.tag) - 1, boiler, marked(tag, attributes), in_article,
+                  top.headings_only or (tag == "header" and not boiler)))
+    flush()
+    _settle(out, around, anchors)
     return out
 
 
-def container_scores(page: Page) -> dict[str, float]:
-    """Score of every path: running text below its containers less link text."""
-    good = [0.0] * len(page.paths)
+def _settle(page: Page, around: list[int], anchors: dict[str, int]) -> None:
+    """Make the blocks under elements with a class of boilerplate boilerplate, unless the element
+    stands around the page's main part or, where it has none, around most of its text."""
+    cleared = set()
+    anchor = next((anchors[t] for t in ("main", "article", "h1") if t in anchors), None)
+    if anchor is None and around:
+        held, total = [0] * len(around), 0
+        for b in page.blocks:
+            if not b.boiler:
+                total += len(b.text) - b.linked
+                if b.mark >= 0:
+                    held[b.mark] += len(b.text) - b.linked
+        for k in range(len(around) - 1, -1, -1):
+            if around[k] >= 0:
+                held[around[k]] += held[k]
+        cleared = {k for k, n in enumerate(held) if 2 * n > total}
+    while anchor is not None and anchor >= 0:
+        cleared.add(anchor)
+        anchor = around[anchor]
+    bad = []
+    for k, above in enumerate(around):
+        bad.append(k not in cleared or (above >= 0 and bad[above]))
     for b in page.blocks:
-        if not b.boiler:
-            for c in b.chain:
-                good[c] += len(b.text) - 2 * b.linked
-    scores: dict[str, float] = {}
-    for path, g in zip(page.paths, good):
-        scores[path] = scores.get(path, 0.0) + g
-    return {p: g for p, g in scores.items() if g > 0}
-
-
-def _widened(page: Page, chosen: set[int]) -> tuple[set[int], set[tuple[int, ...]]]:
-    """``chosen`` with the articles around it (without one: the outermost containers but the
-    body) that hold main text beside it, and the chains of the containers around it."""
-    main = [b for b in page.blocks if not b.boiler and len(b.text) > 2 * b.linked]
-    beside = {c for b in main if chosen.isdisjoint(b.chain) for c in b.chain}
-    wide, around = set(chosen), set()
-    for chain in {b.chain for b in page.blocks if not b.boiler and not chosen.isdisjoint(b.chain)}:
-        at = next(k for k, c in enumerate(chain) if c in chosen)
-        around.update(chain[:k] for k in range(at + 1))
-        article = next((c for c in reversed(chain[:at + 1]) if page.tags[c] in ("article", "main")), None)
-        outer = [c for c in chain[:at] if page.tags[c] not in ("html", "body")] if article is None else [article]
-        wide.update([c for c in outer if c in beside][:1])
-    return wide, around
+        b.boiler = b.boiler or (b.mark >= 0 and bad[b.mark])
+
+
+def _paths(page: Page) -> tuple[list[int], list[tuple[int, str]]]:
+    """The path of each container as a number, and (parent path, step) of each number."""
+    known: dict[tuple[int, str], int] = {}
+    of = []
+    for parent, step in zip(page.parent, page.step):
+        of.append(known.setdefault((of[parent] if parent >= 0 else -1, step), len(known)))
+    return of, list(known)
+
+
+def _written(path: int, known: list[tuple[int, str]]) -> str:
+    steps = []
+    while path >= 0:
+        path, step = known[path]
+        steps.append(step)
+    return ">".join(reversed(steps))
+
+
+def best_path(page: Page) -> str | None:
+    """The path with the most running text below its containers, less link text; of equal ones the longest."""
+    of, known = _paths(page)
+    below = [0] * len(of)
+    for b in page.blocks:
+        if not b.boiler and b.container >= 0:
+            below[b.container] += len(b.text) - 2 * b.linked
+    for c in range(len(of) - 1, -1, -1):
+        if page.parent[c] >= 0:
+            below[page.parent[c]] += below[c]
+    scores, sizes = [0] * len(known), []
+    for path, score in zip(of, below):
+        scores[path] += score
+    for above, step in known:
+        sizes.append(len(step) + (sizes[above] + 1 if above >= 0 else 0))
+    top = max(scores, default=0)
+    if top <= 0:
+        return None
+    size = max(sizes[p] for p, s in enumerate(scores) if s == top)
+    return max(_written(p, known) for p, s in enumerate(scores) if s == top and sizes[p] == size)
+
+
+def _on_path(page: Page, path: str | None) -> set[int]:
+    """The containers whose path is ``path``."""
+    if path is None:
+        return set()
+    steps = path.split(">")
+    deep, found = [], set()
+    for c, (parent, step) in enumerate(zip(page.parent, page.step)):
+        at = deep[parent] if parent >= 0 else 0
+        deep.append(at + 1 if 0 <= at < len(steps) and steps[at] == step else -1)
+        if deep[c] == len(steps):
+            found.add(c)
+    return found
+
+
+def _is_main(b: Block) -> bool:
+    return not b.boiler and len(b.text) > 2 * b.linked
+
+
+def _under(page: Page, tops: set[int]) -> list[bool]:
+    out: list[bool] = []
+    for c, parent in enumerate(page.parent):
+        out.append(c in tops or (parent >= 0 and out[parent]))
+    return out
 
 
 def main_text(page: Page, path: str | None) -> str:
     """The text under the containers on ``path``, or under the page's own best one, and
-    the main text that would be lost beside them."""
-    chosen = {k for k, p in enumerate(page.paths) if p == path}
-    if not any(not b.boiler and not chosen.isdisjoint(b.chain) for b in page.blocks):
-        scores = container_scores(page)
-        best = max(scores, key=lambda p: (scores[p], len(p), p)) if scores else None
-        chosen = {k for k, p in enumerate(page.paths) if p == best}
+    the main text that would be lost beside them: that in the articles around them (without
+    one, in the outermost containers but the body that hold such text), and that which stands
+    directly in a container around them."""
+    chosen = _on_path(page, path)
+    inside = _under(page, chosen)
+    if not any(not b.boiler and b.container >= 0 and inside[b.container] for b in page.blocks):
+        best = best_path(page)
         if best is None:
-            return "\n".join(b.text for b in page.blocks if not b.boiler and not b.chain)
-    wide, around = _widened(page, chosen)
+            return "\n".join(b.text for b in page.blocks if not b.boiler and b.container < 0)
+        chosen = _on_path(page, best)
+        inside = _under(page, chosen)
+    beside, filled = [False] * len(page.parent), [False] * len(page.parent)
+    for b in page.blocks:
+        if b.container >= 0 and not b.boiler:
+            filled[b.container] = True
+            if _is_main(b) and not inside[b.container]:
+                beside[b.container] = True
+    for c in range(len(page.parent) - 1, -1, -1):
+        if page.parent[c] >= 0:
+            for flags in (beside, filled):
+                flags[page.parent[c]] = flags[page.parent[c]] or flags[c]
+    # Of each container: the article it stands in, and the outermost one around it but the body with text beside.
+    article, outer = [], []
+    for c, (parent, tag) in enumerate(zip(page.parent, page.tag)):
+        article.append(c if tag in ("article", "main") else article[parent] if parent >= 0 else -1)
+        over = outer[parent] if parent >= 0 else -1
+        outer.append(over if over >= 0 or tag in ("html", "body") or not beside[c] else c)
+    wide, around = set(chosen), {-1}
+    for c in chosen:
+        parent = page.parent[c]
+        if not filled[c] or (parent >= 0 and inside[parent]):
+            continue
+        if article[c] >= 0:
+            wide.update([article[c]] if beside[article[c]] else [])
+        elif parent >= 0 and outer[parent] >= 0:
+            wide.add(outer[parent])
+        while parent >= 0 and parent not in around:
+            around.add(parent)
+            parent = page.parent[parent]
+    inside = _under(page, wide)
     return "\n".join(b.text for b in page.blocks if not b.boiler and (
-        not wide.isdisjoint(b.chain) or (b.chain in around and len(b.text) > 2 * b.linked)))
+        (b.container >= 0 and inside[b.container]) or (b.container in around and _is_main(b))))
 
 
 def host_of(url):
@@ -250,9 +444,8 @@ def host_paths(pages: DataFrame) -> DataFrame:
     def vote(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         votes: dict[tuple[str, str], int] = {}
         for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            scores = container_scores(parse(text or ""))
-            if scores:
-                path = max(scores, key=lambda p: (scores[p], len(p), p))
+            path = best_path(parse(text or ""))
+            if path is not None:
                 votes[host, path] = votes.get((host, path), 0) + 1
         if not votes:
             return None
@@ -270,8 +463,10 @@ def extract(pages: DataFrame) -> DataFrame:
     bounded_batches(pages.sparkSession)
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     winners = materialise(host_paths(own), "host-paths")
-    joined = (own.withColumn("host", host_of(F.col("url"))).join(winners, "host", "left")
-              .select("page_id", "url", "html", "path"))
+    # Each host's path goes to every salt, so a host with a third of the pages is dealt out over its tasks.
+    salted = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = (own.withColumns({"host": host_of(F.col("url")), "salt": F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")})
+              .join(salted, ["host", "salt"], "left").select("page_id", "url", "html", "path"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [main_text(parse(t or ""), p) for t, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
