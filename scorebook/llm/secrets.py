@@ -6,13 +6,15 @@ parse:
 
 * ``der``: base64 or hex that decodes to one DER element, all nested lengths of which
   fill their parents exactly, in the shape of a key: PKCS#1, PKCS#8, SEC1 EC or a public
-  key (SubjectPublicKeyInfo); base64 lines between PEM marks count as one candidate;
+  key (SubjectPublicKeyInfo), or an encrypted PKCS#8 key; base64 lines between PEM marks count as
+  one candidate, and base64 of PEM text (as in cluster secrets) is decoded twice at most;
 * ``ssh``: base64 that decodes to OpenSSH key data, its length-prefixed fields filling
   it exactly (``openssh-key-v1``) or starting with its own algorithm name;
 * ``jwt``: three base64url parts, the first a JSON object with a string ``alg``,
-  the second a JSON object.
+  the second a JSON object; or five, the first a JSON object with ``alg`` and ``enc``.
 
-A candidate that does not parse is not reported.  Spans are in code points, end exclusive.
+A candidate that does not parse is not reported; base64 broken over lines without PEM marks is
+not joined.  Every pattern is linear in the text.  Spans are in code points, end exclusive.
 
 Scale: one pass over whole texts, no shuffle; a batch is bounded in bytes.  Cheap
 substring tests go before each pattern.
@@ -31,6 +33,7 @@ import binascii
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,12 +50,18 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # Runs of 24 and more are the runs that `[0-9a-f]+` finds and that are long enough.
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _HEX_ANY = re.compile(r"[0-9A-Fa-f]{32,}")
+_PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----")
 # Lines end in white space or, in JSON and .env files, in an escaped line feed.
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----(?:\s|\\+[nr])+((?:[A-Za-z0-9+/=\s]|\\+[nr])+?)(?:\s|\\+[nr])*-----END \1-----")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-Za-z0-9+/_-]{23,}|AAAA[A-Za-z0-9+/_-]{20,}|b3BlbnNzaC1rZXktdjE[A-Za-z0-9+/_-]{20,})={0,2}")
+_BREAKS = re.compile(r"(?:\s++|\\++[nr])*+")
+_PEM_BODY = re.compile(r"(?:[A-Za-z0-9+/=\s]++|\\++[nr])++")
+# What DER, OpenSSH data and PEM text ("-----BEGIN ") start with.
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-Za-z0-9+/_-]{23,}|AAAA[A-Za-z0-9+/_-]{20,}|b3BlbnNzaC1rZXktdjE[A-Za-z0-9+/_-]{20,}"
+                     r"|LS0tLS1CRUdJTi[A-Za-z0-9+/_-]{20,})={0,2}")
 # Base64url of "{" and any byte is "e" and one of the last 16 signs.
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])e[w-z0-9_-][A-Za-z0-9_-]{8,}\.e[w-z0-9_-][A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 _JWT_SIGN = re.compile(r"\.e[w-z0-9_-][A-Za-z0-9_-]{2,}\.")
+# An encrypted token: header, wrapped key (may be empty), nonce, text, tag.
+_JWE = re.compile(r"(?<![A-Za-z0-9_-])e[w-z0-9_-][A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]{16,}+")
 
 _OIDS = {
     bytes.fromhex("2a864886f70d010101"),  # rsaEncryption
@@ -63,6 +72,12 @@ _OIDS = {
 }
 
 
+#: Password-based encryption of a PKCS#8 key.
+_PBE = {bytes.fromhex("2a864886f70d01050d")} | {bytes.fromhex("2a864886f70d0105") + bytes([k]) for k in (1, 3, 4, 6, 10, 11)}
+#: How often base64 around PEM text is taken off.
+LAYERS = 2
+
+
 def _element(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     """(tag, start of value, end of value) of the DER element at ``at``."""
     if end - at < 2:
@@ -90,9 +105,9 @@ def _parts(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
     return found
 
 
-def _algorithm(data: bytes, e: tuple[int, int, int]) -> bool:
+def _algorithm(data: bytes, e: tuple[int, int, int], known: set[bytes] = _OIDS) -> bool:
     inner = _parts(data, e[1], e[2]) if e[0] == 0x30 else None
-    return bool(inner) and inner[0][0] == 0x06 and data[inner[0][1]:inner[0][2]] in _OIDS
+    return bool(inner) and inner[0][0] == 0x06 and data[inner[0][1]:inner[0][2]] in known
 
 
 def is_der_key(data: bytes) -> bool:
@@ -104,6 +119,8 @@ def is_der_key(data: bytes) -> bool:
     if not parts or len(parts) < 2:
         return False
     tags = [p[0] for p in parts]
+    if tags == [0x30, 0x04]:  # encrypted PKCS#8: algorithm, octets
+        return _algorithm(data, parts[0], _PBE) and parts[1][2] - parts[1][1] >= 16
     if tags[0] == 0x30:  # public key: algorithm, bit string
         return len(parts) == 2 and tags[1] == 0x03 and _algorithm(data, parts[0]) and data[parts[1][1]:parts[1][2]][:1] == b"\0"
     if tags[0] != 0x02:
@@ -157,38 +174,82 @@ def _decode(text: str) -> bytes | None:
         return None
 
 
-def _is_token(text: str) -> bool:
-    head, body = text.split(".")[:2]
+def _object(part: str) -> dict | None:
     try:
-        head, body = json.loads(_decode(head) or b""), json.loads(_decode(body) or b"")
+        found = json.loads(_decode(part) or b"")
     except (ValueError, RecursionError):
-        return False
-    return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
+        return None
+    return found if isinstance(found, dict) else None
+
+
+def _is_token(text: str) -> bool:
+    head, body = text.split(".")[:2]
+    head = _object(head)
+    return head is not None and isinstance(head.get("alg"), str) and _object(body) is not None
+
+
+def _is_encrypted_token(text: str) -> bool:
+    head = _object(text.split(".")[0])
+    return head is not None and isinstance(head.get("alg"), str) and isinstance(head.get("enc"), str)
+
+
+def _key_kind(data: bytes | None) -> str | None:
+    return None if not data else "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
 
 
-def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
-    """Spans of the confirmed kinds."""
+def pem_bodies(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the base64 lines between matching PEM marks.
+
+    A body holds no hyphen, so it ends at the next one: its characters are read once, and the
+    bodies of different marks do not overlap."""
+    for m in _PEM_BEGIN.finditer(text):
+        end = text.find("-", m.end())
+        start = _BREAKS.match(text, m.end()).end()
+        if end < 0 or not m.end() < start < end or not text.startswith(f"-----END {m[1]}-----", end):
+            continue
+        if _PEM_BODY.fullmatch(text, start, end) is None:
+            continue
+        while True:  # line breaks at the end
+            shorter = len(text[start:end].rstrip()) + start
+            if text[shorter - 2:shorter] in ("\\n", "\\r"):
+                shorter -= 1
+                while text[shorter - 1] == "\\":
+                    shorter -= 1
+            if shorter == end:
+                break
+            end = shorter
+        yield start, end
+
+
+def confirmed_spans(text: str, layers: int = LAYERS) -> list[tuple[str, int, int]]:
+    """Spans of the confirmed kinds.  Base64 around PEM text is taken off up to ``layers`` times; the
+    span is then that of the outer base64."""
     found, taken = [], []
     if "-----BEGIN " in text:
-        for m in _PEM.finditer(text):
-            data = _decode(m[2])
-            kind = "der" if data and is_der_key(data) else "ssh" if data and is_ssh_key(data) else None
+        for a, b in pem_bodies(text):
+            kind = _key_kind(_decode(text[a:b]))
             if kind:
-                found.append((kind, *m.span(2)))
-                taken.append(m.span(2))
+                found.append((kind, a, b))
+                taken.append((a, b))
+    k = 0
     for m in _BASE64.finditer(text):
-        if any(a < m.end() and m.start() < b for a, b in taken):
+        while k < len(taken) and taken[k][1] <= m.start():
+            k += 1
+        if k < len(taken) and taken[k][0] < m.end():
             continue
         data = _decode(m[0])
-        if data and is_der_key(data):
-            found.append(("der", *m.span()))
-        elif data and is_ssh_key(data):
-            found.append(("ssh", *m.span()))
+        kind = _key_kind(data)
+        if kind is None and layers and data and data.startswith(b"-----BEGIN "):
+            kind = next((x for x, _, _ in confirmed_spans(data.decode("utf-8", "replace"), layers - 1) if x != "jwt"), None)
+        if kind:
+            found.append((kind, *m.span()))
     for m in _HEX_ANY.finditer(text):
         if m[0][:2] == "30" and len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
             found.append(("der", *m.span()))
     if _JWT_SIGN.search(text):
         found += [("jwt", *m.span()) for m in _JWT.finditer(text) if _is_token(m[0])]
+    if text.count(".") >= 4:
+        found += [("jwt", *m.span()) for m in _JWE.finditer(text) if _is_encrypted_token(m[0])]
     return found
 
 
