@@ -1,10 +1,11 @@
 """Format-preserving pseudonyms for personal data by a Feistel network.
 
 Found and validated: e-mail addresses, IBANs (mod 97), payment cards (Luhn), US social
-security numbers (issuable ranges), calendar dates (1900 .. 2099), IPv4 addresses
-and telephone numbers.  Each is read as a number below the size of its format, permuted
+security numbers (issuable ranges), calendar dates (1900 .. 2099, in digits or with the month's English
+name), IPv4 addresses and telephone numbers (with a calling code, a trunk zero or in the
+North American form; ten digits without any mark are not taken for one).  Each is read as a number below the size of its format, permuted
 by a keyed Feistel network with cycle walking, and written back in the same
-format: separators, padding, case, country codes and top-level domains stay, and check
+format: separators, padding, case, calling codes and top-level domains stay, and check
 digits are computed anew, so a pseudonym validates like its original.  The
 permutation depends on the key and the kind only, so equal values, also when written
 with other separators, get equal pseudonyms in all documents, and different
@@ -13,7 +14,8 @@ with slashes is read month first unless that is impossible.
 
 Numbers that do not validate are left alone.
 
-Scale: one pass over whole texts, no shuffle and no table of seen values.
+Scale: one pass over whole texts, no shuffle and no table of seen values; the search is linear
+in the text.
 
 Defined results: a null text stays null; overlapping finds go to the kind that comes first in
 ``KINDS``; rows that share a doc_id are treated each for itself; a null doc_id is kept;
@@ -26,6 +28,7 @@ import datetime
 import hashlib
 import math
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -34,6 +37,12 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, map_batches
 
+# --- fixed values: calling codes of one and two digits (all others have three), names of months
+CALLING_CODES = {1, 7, 20, 27, 30, 31, 32, 33, 34, 36, 39, 40, 41, 43, 44, 45, 46, 47, 48, 49, 51, 52, 53, 54, 55, 56, 57,
+                 58, 60, 61, 62, 63, 64, 65, 66, 81, 82, 84, 86, 90, 91, 92, 93, 94, 95, 98}
+MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November",
+          "December"]
+
 KINDS = ["email", "iban", "card", "ssn", "date", "ip", "phone"]
 #: For tests and the registered query; a deployment passes its own.
 KEY = b"pseudonym key of the registered query"
@@ -43,19 +52,42 @@ ROUNDS = 10
 # last digit belong to it, so the patterns find in the runs what they find in the whole text.
 _NUMBER = re.compile(r"[+(]?\d[\d ().:/\-]{6,}")
 _EMAIL = re.compile(r"[\w%+-](?:[\w.%+-]*[\w%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
+_WORD = re.compile(r"\w")
+_HOST = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 _IBAN_SIGN = re.compile(r"[A-Z]{2}\d\d ?[A-Z0-9]")
 _CARD = re.compile(r"(?<![\d.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{4,5})(?!\d)")
 _SSN = re.compile(r"(?<![\d-])(\d{3})-(\d{2})-(\d{4})(?![\d-])")
 _DATE = re.compile(r"(?<![\d./-])(?:(\d{4})([-/.])(\d{1,2})\2(\d{1,2})|(\d{1,2})([-/.])(\d{1,2})\6(\d{4}))(?![\d/-])(?!\.\d)")
-_IP = re.compile(r"(?<![\d.])(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?!\d)(?!\.\d)")
+# A version number (v1.2.3.4) is no address.
+_IP = re.compile(r"(?<![\d.])(?<!\b[vV])(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?!\d)(?!\.\d)")
 _PHONE = re.compile(r"(?<![\d(+])(?:(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]?\d{4}|\+1[ .-]?\d{3}[ .-]?\d{3}[ .-]?\d{4}"
-                    r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,8}(?!\d)){1,4})(?!\d)")
+                    r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,8}(?!\d)){1,4}"
+                    r"|0\d{1,4}[ -]\d{3,4}[ -]\d{3,4})(?!\d)(?![-./]\d)")
+_WRITTEN = re.compile(r"(?<![\w.,/-])(?:(\d{1,2})(?:st|nd|rd|th)? ({0}),? (\d{4})|({0}) (\d{1,2})(?:st|nd|rd|th)?,? (\d{4}))(?![\w-])"
+                      .replace("{0}", "|".join(f"{m}|{m[:3]}" if len(m) > 3 else m for m in MONTHS)))
 
 #: Kinds that are looked for in runs of ``_NUMBER``, in the order of ``KINDS``.
 NUMBERS = (("card", _CARD), ("ssn", _SSN), ("date", _DATE), ("ip", _IP), ("phone", _PHONE))
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of what ``_EMAIL`` finds, looked for around each @: the characters before one are read once."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and (text[start - 1] in ".%+-" or _WORD.match(text[start - 1])):
+            start -= 1
+        while start < at and text[start] == ".":
+            start += 1
+        m = _HOST.match(text, at + 1) if start < at and text[at - 1] != "." else None
+        if m is not None:
+            yield start, m.end()
+        # No later match can begin before what was read.
+        done = m.end() if m is not None else at + 1
+        at = text.find("@", done)
+
+
 class Feistel:
     """A keyed permutation of 0 .. size-1 for any size: an alternating Feistel network
     over two residues whose product is the least that covers the size, with cycle walking."""
@@ -211,37 +243,79 @@ class Pseudonyms:
             return None
         return ".".join(map(str, self._permute("ip", int.from_bytes(bytes(octets), "big"), 1 << 32).to_bytes(4, "big")))
 
+    def written(self, text: str) -> str | None:
+        """A date with the month's name; the new one has a name of the same form, and no ordinal ending
+        that would not fit."""
+        m = _WRITTEN.fullmatch(text)
+        day, name, year = (m[1], m[2], m[3]) if m[1] else (m[5], m[4], m[6])
+        month = next(k for k, x in enumerate(MONTHS) if x[:3] == name[:3]) + 1
+        try:
+            number = datetime.date(int(year), month, int(day)).toordinal() - _FIRST_DAY
+        except ValueError:
+            return None
+        if not 0 <= number < _DAYS:
+            return None
+        new = datetime.date.fromordinal(self._permute("date", number, _DAYS) + _FIRST_DAY)
+        named = MONTHS[new.month - 1][:3] if len(name) == 3 and name != "May" else MONTHS[new.month - 1]
+        digits = f"{new.day:02d}" if len(day) == 2 and day[0] == "0" else str(new.day)
+        if re.search(r"\d(?:st|nd|rd|th)", text):
+            digits += "th" if 10 <= new.day % 100 <= 20 else {1: "st", 2: "nd", 3: "rd"}.get(new.day % 10, "th")
+        comma = "," if "," in text else ""
+        return f"{digits} {named}{comma} {new.year:04d}" if m[1] else f"{named} {digits}{comma} {new.year:04d}"
+
     def phone(self, text: str) -> str | None:
-        country = re.match(r"\+\d{1,3}(?=[ .(-])", text)
-        rest = text[country.end():] if country else text
-        digits = re.sub(r"\D", "", rest)
-        if not 7 <= len(digits) <= 15 or (not country and len(digits) < 9 and text[0] != "+"):
+        """A telephone number as calling code and national number; the national number is permuted, so
+        a number has one pseudonym with and without its code, trunk zero and marks."""
+        digits = re.sub(r"\D", "", text)
+        if text[0] == "+":
+            if digits[0] == "0":
+                return None
+            lead = next((n for n in (1, 2) if int(digits[:n]) in CALLING_CODES), 3)
+        else:
+            lead = int(digits[0] == "0")  # the trunk zero
+        national = digits[lead:]
+        n = len(national)
+        if not (7 if text[0] == "+" else 9) <= n <= 15 - lead:
             return None
-        n = len(digits)
-        new = f"{self._permute(f'phone:{n}', int(digits), 10 ** n):0{n}d}"
-        return (country[0] if country else "") + _fill(rest, new)
+        return _fill(text, digits[:lead] + f"{self._permute(f'phone:{n}', int(national), 10 ** n):0{n}d}")
 
     def find(self, text: str) -> list[tuple[int, int, str, str]]:
         """(start, end, kind, pseudonym) in the order of the text."""
         got: list[tuple[int, int, str, str]] = []
 
-        def take(kind: str, pattern: re.Pattern, at: int, end: int) -> None:
-            """Finds in the parts of text[at:end] that no earlier kind has taken."""
-            for b, after in [(a, b) for a, b, _, _ in sorted(got) if b > at and a < end] + [(end, end)]:
+        def take(kind: str, pattern: re.Pattern, at: int, end: int, taken: list, method: str = "") -> list:
+            """Finds in the parts of text[at:end] that no earlier kind has ``taken``."""
+            new = []
+            for b, after in [*((a, b) for a, b, _, _ in taken if b > at and a < end), (end, end)]:
                 for m in pattern.finditer(text, at, max(at, b)):
-                    new = getattr(self, kind)(m[0])
-                    if new is not None:
-                        got.append((m.start(), m.end(), kind, new))
+                    value = getattr(self, method or kind)(m[0])
+                    if value is not None:
+                        new.append((m.start(), m.end(), kind, value))
                 at = max(at, after)
+            return new
 
         if "@" in text:
-            take("email", _EMAIL, 0, len(text))
+            got = [(a, b, "email", self.email(text[a:b])) for a, b in emails(text)]
         if _IBAN_SIGN.search(text):
-            take("iban", _IBAN, 0, len(text))
-        for m in _NUMBER.finditer(text):
+            got = sorted(got + take("iban", _IBAN, 0, len(text), got))
+        if any(m[:3] in text for m in MONTHS):
+            got = sorted(got + take("date", _WRITTEN, 0, len(text), got, "written"))
+        # The finds so far and the runs of numbers are in order: each run meets those that touch it.
+        first, more = 0, []
+        for run in _NUMBER.finditer(text):
+            a, b = run.span()
+            while first < len(got) and got[first][1] <= a:
+                first += 1
+            last = first
+            while last < len(got) and got[last][0] < b:
+                last += 1
+            here = got[first:last]
             for kind, pattern in NUMBERS:
-                take(kind, pattern, *m.span())
-        return sorted(got)
+                new = take(kind, pattern, a, b, here)
+                if new:
+                    here = sorted(here + new)
+                    more += new
+        return sorted(got + more)
 
     def replace(self, text: str) -> tuple[str, list[tuple[int, int, str, str]]]:
         found = self.find(text)

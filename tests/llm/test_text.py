@@ -59,11 +59,12 @@ def test_neighbouring_finds():
 def whole_text_find(p, text):
     """``find`` by running every kind's own pattern over the whole text."""
     got = []
-    for kind, pattern in (("email", pii._EMAIL), ("iban", pii._IBAN), *pii.NUMBERS):
+    for kind, pattern, method in (("email", pii._EMAIL, "email"), ("iban", pii._IBAN, "iban"),
+                                  ("date", pii._WRITTEN, "written"), *((k, p, k) for k, p in pii.NUMBERS)):
         at = 0
         for a, b in sorted((a, b) for a, b, _, _ in got) + [(len(text), len(text))]:
             for m in pattern.finditer(text, at, max(at, a)):
-                new = getattr(p, kind)(m[0])
+                new = getattr(p, method)(m[0])
                 if new is not None:
                     got.append((m.start(), m.end(), kind, new))
             at = max(at, b)
