@@ -6,10 +6,10 @@ smaller the Euclidean distance, which obeys the triangle inequality.
 
 * Equal vectors are one point with the ids that can matter (one more than asked for), so any
   number of copies is one point of the index.
-* Points are dealt to shards by a hash, a query block goes to every shard (the query set
-  against all rows, in blocks), and each shard builds a vantage-point tree over its points:
-  a node's points are split at the median distance to its vantage point, down to leaves
-  of ``LEAF`` points, which are compared in one matrix product.
+* Points are dealt to shards by a hash, and a shard builds one vantage-point tree over its
+  points: a node's points are split at the median distance to its vantage point, down to
+  leaves of ``LEAF`` points, which are compared in one matrix product.  The queries, which go to
+  every shard (the query set against all rows), stream past the tree in blocks.
 * Queries walk the tree together.  A subtree whose distances to the vantage point lie in
   [lo, hi] can hold nothing nearer than max(lo - d, d - hi); it is skipped by the queries for
   which that bound exceeds ``factor`` times the distance of their worst neighbour so far.
@@ -17,9 +17,10 @@ smaller the Euclidean distance, which obeys the triangle inequality.
 * Each shard gives every query its nearest, scored again on the original vectors in
   double precision, and the best of all shards are merged.
 
-Scale.  The tree of a shard is built in one task over a bounded number of points
-(``SHARD_POINTS`` on average), queries travel in blocks of ``QUERY_BLOCK``, and what is
-shuffled back is k rows for each query and shard, cut to k before the shuffle.
+Scale.  The tree of a shard is built once, in one task, over a bounded number of points
+(``SHARD_POINTS`` on average), which are shuffled once; behind them in the sorted partition
+come the queries, ``QUERY_BLOCK`` at most in memory; what is shuffled back is k rows for each query
+and shard, cut to k before the shuffle.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null
 or non-finite components take no part, neither as queries nor as candidates; a query's own row
@@ -32,19 +33,20 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import bounded_batches, materialise
 
 K = 20
 EVERY = 20
 FACTOR = 1.0
-LEAF = 256
+LEAF = 64
 #: Distinct points of a shard, on average.
 SHARD_POINTS = 16_384
 #: Queries that travel together.
@@ -81,10 +83,16 @@ def build(points: np.ndarray, which: np.ndarray, leaf: int, rng: np.random.Gener
     return Node(vantage, build(points, rest[:half], leaf, rng), build(points, rest[half:], leaf, rng), bounds)
 
 
+def grown(points: np.ndarray, leaf: int = LEAF):
+    """The tree over all ``points``."""
+    return build(points, np.arange(len(points)), leaf, np.random.default_rng(1))
+
+
 class Search:
-    """The k nearest points of each query in one tree, for all queries at once."""
+    """The k nearest points of each query in one tree, for all queries at once.  ``tree``
+    is the one over ``points``, if it has been built."""
 
-    def __init__(self, points: np.ndarray, queries: np.ndarray, k: int, factor: float, leaf: int = LEAF):
+    def __init__(self, points: np.ndarray, queries: np.ndarray, k: int, factor: float, leaf: int = LEAF, tree=None):
         if not 0 < factor <= 1:
             raise ValueError("factor must be above 0 and at most 1")
         self.points, self.queries, self.factor = points, queries, factor
@@ -94,7 +102,8 @@ class Search:
         self.compared = 0
         self._norms = (points ** 2).sum(axis=1)
         self._query_norms = (queries ** 2).sum(axis=1)
-        tree = build(points, np.arange(len(points)), leaf, np.random.default_rng(1))
+        if tree is None:
+            tree = grown(points, leaf)
         if len(queries):
             self._walk(tree, np.arange(len(queries)))
 
@@ -178,41 +187,59 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, factor: float =
     # No group of copies is gathered: a vector with many query ids travels as several queries.
     asked = materialise(own.groupBy("v", F.pmod(F.xxhash64(F.lit("ask"), "id"), F.lit(256)).alias("part"))
                         .agg(F.sort_array(F.collect_set("id")).alias("ask")).drop("part"), "queries")
-    blocks = -(-asked.count() // query_block)
-    if not blocks:
+    if asked.isEmpty():
         return vectors.sparkSession.createDataFrame([], empty)
-    deal = F.pmod(F.xxhash64(F.lit("block"), "ask"), F.lit(blocks)).cast("int")
-    left = points.select(F.pmod("h", F.lit(shards)).cast("int").alias("shard"), F.explode(
-        F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "v", "ids")
-    right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-                         deal.alias("block"), "v", "ask")
-
-    def search(data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "vec_id": [], "score": []}
-        if len(data) and len(queries):
-            x, q = np.stack(data["v"].to_list()), np.stack(queries["v"].to_list())
-            lift = np.sqrt(np.maximum(largest - (x ** 2).sum(axis=1), 0))
-            flat = np.concatenate([q, np.zeros((len(q), 1))], axis=1)
-            found = Search(np.concatenate([x, lift[:, None]], axis=1), flat, k + 1 + SPARE, factor, leaf)
-            ids = data["ids"].to_list()
-            for i, ask in enumerate(queries["ask"]):
-                place = found.place[i][found.place[i] >= 0]
-                dots = _dots(x[place], q[i])
-                if k + 1 < len(place) < len(x) and np.sort(dots)[::-1][k] - dots.min() < CLOSE:
-                    place = np.arange(len(x))
-                    dots = _dots(x, q[i])
-                    place = place[dots >= np.sort(dots)[::-1][k]]
-                    dots = dots[place]
-                each = sorted((-s, v) for s, p in zip(dots, place) for v in ids[p])[:k + 1]
-                for a in ask:
-                    best = [e for e in each if e[1] != a][:k]
-                    out["query_id"] += [a] * len(best)
-                    out["vec_id"] += [v for _, v in best]
-                    out["score"] += [-s for s, _ in best]
-        return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    hits = (left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block"))
-            .applyInPandas(search, "query_id long, vec_id long, score double"))
+    # In a shard's partition its points come first, then all queries.
+    left = points.select(F.pmod("h", F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "v", "ids")
+    right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "v",
+                         F.col("ask").alias("ids"))
+    streams = left.unionByName(right).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+
+    def answers(tree, x: np.ndarray, lifted: np.ndarray, ids: list, q: np.ndarray, asks: list) -> pa.RecordBatch:
+        out: list[list] = [[], [], []]
+        flat = np.concatenate([q, np.zeros((len(q), 1))], axis=1)
+        found = Search(lifted, flat, k + 1 + SPARE, factor, leaf, tree)
+        for i, ask in enumerate(asks):
+            place = found.place[i][found.place[i] >= 0]
+            dots = _dots(x[place], q[i])
+            if k + 1 < len(place) < len(x) and np.sort(dots)[::-1][k] - dots.min() < CLOSE:
+                place = np.arange(len(x))
+                dots = _dots(x, q[i])
+                place = place[dots >= np.sort(dots)[::-1][k]]
+                dots = dots[place]
+            each = sorted((-s, v) for s, p in zip(dots, place) for v in ids[p])[:k + 1]
+            for a in ask:
+                best = [e for e in each if e[1] != a][:k]
+                out[0] += [a] * len(best)
+                out[1] += [v for _, v in best]
+                out[2] += [-s for s, _ in best]
+        return pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())],
+                               names=["query_id", "vec_id", "score"])
+
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, tree, held, ids, x, lifted = None, None, [], [], None, None
+        for batch in batches:
+            numbers, kinds = (batch.column(c).to_numpy() for c in (0, 1))
+            edges = np.flatnonzero((np.diff(numbers, prepend=-1) != 0) | (np.diff(kinds, prepend=-1) != 0)).tolist()
+            for lo, hi in zip(edges, [*edges[1:], len(numbers)]):
+                if numbers[lo] != shard:
+                    shard, tree, held, ids = numbers[lo], None, [], []
+                for at in range(lo, hi, query_block):
+                    part = batch.slice(at, min(query_block, hi - at))
+                    v = part.column(2).flatten().to_numpy().reshape(len(part), -1)
+                    if kinds[lo] == 0:
+                        held.append(v)
+                        ids += part.column(3).to_pylist()
+                    elif held:
+                        if tree is None:
+                            x = np.concatenate(held)
+                            lift = np.sqrt(np.maximum(largest - (x ** 2).sum(axis=1), 0))
+                            lifted = np.concatenate([x, lift[:, None]], axis=1)
+                            tree = grown(lifted, leaf)
+                        yield answers(tree, x, lifted, ids, v, part.column(3).to_pylist())
+
+    bounded_batches(vectors.sparkSession)
+    hits = streams.mapInArrow(search, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
