@@ -6,10 +6,12 @@ decreasing: pieces in falling length, each into the open window with the least
 room that still holds it, found in a segment tree indexed by remaining capacity.
 
 Scale.  A piece carries its length and checksum, never its ids, so only small rows
-are shuffled.  Left-over pieces are dealt by hash into shards of about
-``shard_pieces`` pieces; a shard is packed in one task, and the only loss against
-one global packing is a few open windows a shard.  Sequence ids are
-``shard * 2**32 + number in shard`` and so unique without a count.
+are shuffled.  A full window is a sequence by itself and is not shuffled at all: its id
+follows from its place in the written pieces.  Left-over pieces are dealt by hash into
+shards of about ``shard_pieces`` pieces; a shard is packed in one task, and the only loss
+against one global packing is a few open windows a shard.  Sequence ids are
+``shard * 2**32 + number in shard``, for full windows ``2**62 + place``, and so unique
+without a count.
 
 Tokens.  ``PieceTokenizer`` splits texts that hold no white space but single spaces
 and line feeds between other characters into words; the byte-level pre-tokenizer
@@ -46,7 +48,7 @@ TOKENIZER = "byte_bpe_50k.json"
 #: Left-over pieces a shard holds on average.
 SHARD_PIECES = 4096
 #: Words a worker's cache holds at most; further words are encoded again.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 1_200_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -88,7 +90,7 @@ class PieceTokenizer:
         core = word[1:] if word[:1] == " " else word
         letters = core.rstrip(self._marks)
         marks = core[len(letters):]
-        if letters.isalpha() and max(letters) < "\u0250" and marks[:1] != "'":
+        if letters.isalpha() and (letters.isascii() or max(letters) < "\u0250") and marks[:1] != "'":
             if marks:
                 return self._get(word[:-len(marks)]) + self._get(marks)
             return self._merged(word.encode().decode("latin-1").translate(self._letters))
@@ -199,9 +201,13 @@ def best_fit_decreasing(lengths, window: int = WINDOW) -> tuple[list[int], list[
 
 def pack(pieces: DataFrame, window: int = WINDOW, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """``pieces`` with sequence_id and offset.  Pieces must fit the window."""
-    pieces = materialise(pieces, "pieces")
-    shards = pieces.where(F.col("length") < window).count() // shard_pieces + 1
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shards)))
+    columns = pieces.columns
+    pieces = materialise(pieces.withColumn("place", F.monotonically_increasing_id()), "pieces")
+    full = pieces.where(F.col("length") == window).select(
+        *columns, (F.lit(1 << 62) + F.col("place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    rest = pieces.where(F.col("length") < window).drop("place")
+    shards = rest.count() // shard_pieces + 1
+    dealt = rest.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shards)))
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "doc_id", "start"], ascending=[False, True, True],
@@ -212,9 +218,10 @@ def pack(pieces: DataFrame, window: int = WINDOW, shard_pieces: int = SHARD_PIEC
         pdf["offset"] = offset
         return pdf.drop(columns="shard")
 
-    return dealt.groupBy("shard").applyInPandas(
+    packed = dealt.groupBy("shard").applyInPandas(
         place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                "sequence_id long, offset long")
+    return full.unionByName(packed)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFrame:
