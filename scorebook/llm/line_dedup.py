@@ -5,14 +5,17 @@ ends and A-Z lower-cased.  Keys of at least ``min_chars`` code points that occur
 in at least ``min_docs`` documents lose all their lines except in the largest
 ``doc_id`` that holds them.
 
-Method.  Documents are cut into batches.  Each batch becomes one *run*: a table
-sorted by key hash with, per key, how many documents hold it and the largest of
-them.  ``fanout`` runs of a level are merged into one run of the next level
-(counts add, maxima combine), as in a log-structured merge tree, so a corpus
-that grows by batches rewrites each entry only once per level.  At the end the
-batches are merge-joined with the repeated keys of the remaining runs, and the
-lines found there are taken out.  ``LineRuns`` is the incremental store behind
-it; ``dedup_lines`` feeds it a whole table.
+Method.  Documents are cut into batches, in falling ranges of ``doc_id``, so that the document
+which keeps a line is known when its key is first seen.  Each batch becomes one *run*: a
+table sorted by key hash with, per key, how many documents hold it and the largest of
+them.  A key that the runs hold in ``min_docs`` documents is complete: the next batch is
+anti-joined with the complete keys of the runs in a merge of both, and adds only its own
+others.  ``fanout`` runs of a level are merged into one run of the next level (counts add,
+maxima combine), as in a log-structured merge tree, so a corpus that grows by batches
+rewrites each entry only once per level, and a line that is in every batch is written by the
+first.  At the end the batches are merge-joined with the repeated keys of the remaining runs,
+and the lines found there are taken out.  ``LineRuns`` is the incremental store behind it;
+``dedup_lines`` feeds it a whole table.
 
 Keys are compared by their 64-bit and a second, independent 32-bit hash.
 
@@ -59,12 +62,14 @@ class LineRuns:
     Each run is a parquet table under the shared scratch folder, sorted by key
     within its partitions.  ``add`` writes a new run at level 0 and compacts;
     ``repeated`` gives the keys that occur in at least ``min_docs`` documents.
-    A document must be added once and in one batch: its count is per batch."""
+    A document must be added once and in one batch: its count is per batch.  With
+    ``complete_at``, keys that the runs hold in so many documents are left out of later
+    batches; these must then come in falling order of the documents."""
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, complete_at: int | None = None):
         if fanout < 2:
             raise ValueError("fanout must be at least 2")
-        self.spark, self.fanout = spark, fanout
+        self.spark, self.fanout, self.complete_at = spark, fanout, complete_at
         self.root = scratch_path(spark, "line-runs")
         self.levels: list[list[str]] = []
         self._next = 0
@@ -79,9 +84,14 @@ class LineRuns:
         return self.spark.read.schema("h long, g int, docs long, last long").parquet(*paths)
 
     def add(self, keys: DataFrame) -> None:
-        """Add a batch of distinct (h, g, doc) as a run, then compact full levels."""
+        """Add a batch of distinct (h, g, doc) as a run, then compact full levels.
+
+        The batch is summed up by key before it meets the runs, so a line of a third of all
+        documents is one row there."""
         run = keys.groupBy("h", "g").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("last"))
-        self._put(0, self._write(run))
+        if self.complete_at is not None and any(self.levels):
+            run = run.join(self.repeated(self.complete_at).select("h", "g"), ["h", "g"], "left_anti")
+        self._put(0, self._write(run.select("h", "g", "docs", "last")))
 
     def _put(self, level: int, path: str) -> None:
         while len(self.levels) <= level:
@@ -109,17 +119,21 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     ``docs`` has ``doc``, ``version`` (a hash of the text, which tells rows of one
     ``doc`` apart) and ``text``."""
     spark = docs.sparkSession
+    # Falling ranges of the documents; a null one is the smallest.
+    shares = [1 - (b + 1) / batches for b in range(batches - 1)]
+    cuts = docs.agg(F.percentile_approx("doc", F.lit(shares) if shares else F.lit([0.0])).alias("c")).first()["c"] or []
+    batch = sum((F.when(F.coalesce(F.col("doc") <= c, F.lit(True)), 1).otherwise(0) for c in cuts[:batches - 1]), F.lit(0))
     line = F.posexplode(_lines(F.col("text"))).alias("pos", "line")
     key = (docs.select("doc", "version", line).where(F.char_length("line") >= min_chars)
            .select("doc", "version", "pos", line_key(F.col("line")).alias("key"))
            .where(F.char_length("key") >= min_chars)
            .select("doc", "version", "pos", F.xxhash64("key").alias("h"), F.hash("key").alias("g"),
-                   F.pmod(F.xxhash64(F.lit("batch"), "doc"), F.lit(batches)).cast("int").alias("batch")))
+                   batch.cast("int").alias("batch")))
     path = scratch_path(spark, "line-keys")
     key.write.parquet(path)
     keys = spark.read.schema(
         "doc long, version long, pos int, h long, g int, batch int").parquet(path)
-    runs = LineRuns(spark, fanout)
+    runs = LineRuns(spark, fanout, min_docs)
     for b in range(batches):
         runs.add(keys.where(F.col("batch") == b).select("h", "g", "doc").distinct())
     repeated = materialise(runs.repeated(min_docs), "line-repeated")

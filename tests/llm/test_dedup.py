@@ -222,3 +222,26 @@ def test_sketch_fills_every_coordinate():
     for n in (1, 2, 3, 7, 40, 500):
         s = sketch.fast_similarity_sketch(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(977))
         assert len(s) == sketch.BINS and (s != 0).all()
+
+
+def test_complete_keys_leave_later_batches(spark):
+    """Batches in falling order: a key complete in the runs is not written again."""
+    runs = line_dedup.LineRuns(spark, fanout=8, complete_at=2)
+    for d in (9, 8, 7):
+        runs.add(spark.createDataFrame([(1, 1, d), (1, 1, d - 100 if d == 9 else d), (2 + d, 1, d)], "h long, g int, doc long"))
+    written = [sorted(r["h"] for r in spark.read.parquet(p).collect()) for p in runs.levels[0]]
+    assert written == [[1, 11], [10], [9]]
+    assert [tuple(r) for r in runs.repeated(2).collect()] == [(1, 1, 2, 9)] or [
+        (r["h"], r["last"]) for r in runs.repeated(2).collect()] == [(1, 9)]
+
+
+def test_lines_in_any_number_of_batches(spark):
+    rng = random.Random(6)
+    pool = [f"line number {k:>12} of the pool" for k in range(9)]
+    rows = [(k if k % 7 else None, "\n".join(rng.choices(pool, k=4) + [f"a line of its own, {k:>9}"])) for k in range(50)]
+    rows = [r for r in rows if r[0] is not None] + [r for r in rows if r[0] is None][:1]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {d: t for d, _, _, t in brute_lines(rows)}
+    for batches in (1, 2, 9):
+        got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, batches=batches, fanout=3).collect()}
+        assert got == want
