@@ -5,8 +5,10 @@ Index.  A test item's words are its postings; an impact is the BM25 weight of
 a word in an item, divided by the item's score against itself, so that an item scores
 1 for a passage that holds all its words and one threshold serves long and short items.
 Postings are in blocks of ``BLOCK`` items with the largest impact of each.  The index
-is cut into shards of bounded size by a hash of the item; a shard is broadcast, and the
-texts are searched against one shard after another.
+is cut into shards of bounded size by a hash of the item.  ``PASS_SHARDS`` shards (8,192
+items) are broadcast together and searched in one pass over the texts, whose words are
+hashed once for all of them; a benchmark of more items takes a pass for each such group,
+and the driver holds one group at a time.
 
 Search.  A document is cut into passages: windows of twice the longest item of the
 shard, half a window apart, so every item lies whole in one of them.  Block maxima are
@@ -54,6 +56,8 @@ BLOCK = 4
 #: Items, and words of items, that a shard of the index holds on average at most.
 SHARD_ITEMS = 512
 SHARD_WORDS = 100_000
+#: Shards that are searched in one pass.
+PASS_SHARDS = 16
 GRAM = 3
 
 
@@ -214,12 +218,13 @@ def covered(part: np.ndarray, region: np.ndarray) -> float:
     return float(np.isin(grams, _grams(region, n)).mean()) if len(region) >= n else 0.0
 
 
-def find_items(column: pa.Array, index: Shard, threshold: float = THRESHOLD, question: float = QUESTION,
+def find_items(column: pa.Array | list, index: Shard, threshold: float = THRESHOLD, question: float = QUESTION,
                answer: float = ANSWER) -> list[dict[int, tuple[float, float, float]]]:
-    """Per text the verified items: place in the shard -> (score, question, answer share)."""
+    """Per text the verified items: place in the shard -> (score, question, answer share).
+    ``column`` are texts, or their words as a list from ``_words``."""
     out: list[dict[int, tuple[float, float, float]]] = []
     half = index.half
-    for a, b, hashes, first in _words(column):
+    for a, b, hashes, first in column if isinstance(column, list) else _words(column):
         got: list[dict] = [{} for _ in range(b - a)]
         out += got
         if not len(hashes):
@@ -262,27 +267,57 @@ def find_items(column: pa.Array, index: Shard, threshold: float = THRESHOLD, que
     return out
 
 
-def shards(items: DataFrame) -> list[Shard]:
-    """The index.  A shard's rows are bounded by SHARD_ITEMS and SHARD_WORDS."""
+@dataclass
+class Group:
+    """The fields of the shards of one pass, as plain data."""
+    parts: list[dict]
+
+
+def groups(items: DataFrame, pass_shards: int = PASS_SHARDS) -> Iterator[Group]:
+    """The index, a group of shards at a time.  A shard's rows are bounded by SHARD_ITEMS and
+    SHARD_WORDS, so a group is too."""
     rows = materialise(posting_rows(item_words(items)), "postings")
     numbers = sorted(r["shard"] for r in rows.select("shard").distinct().toLocalIterator())
-    return [Shard.build(rows.where(F.col("shard") == k).collect()) for k in numbers]
+    for k in range(0, len(numbers), pass_shards):
+        held: dict[int, list] = {}
+        for r in rows.where(F.col("shard").isin(numbers[k:k + pass_shards])).collect():
+            held.setdefault(r["shard"], []).append(r)
+        yield Group([dict(vars(Shard.build(held[n]))) for n in sorted(held)])
+
+
+def shards(items: DataFrame) -> list[Shard]:
+    """The whole index, for a benchmark that is known to be small."""
+    return [Shard(**p) for group in groups(items) for p in group.parts]
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def _searcher(spark, group: Group, threshold: float):
+    """A function of a text column: per text the verified matches as (item_id, score, question, answer share)."""
+    get, made = shared(spark, group), []
+
+    def search(column: pa.Array) -> list[list[tuple]]:
+        if not made:
+            made.extend(Shard(**p) for p in get().parts)
+        words = list(_words(column))
+        out: list[list[tuple]] = [[] for _ in range(len(column))]
+        for index in made:
+            for row, got in zip(out, find_items(words, index, threshold)):
+                row += [(index.ids[k], *v) for k, v in got.items()]
+        return out
+
+    return search
+
+
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
+                 pass_shards: int = PASS_SHARDS) -> DataFrame:
     """doc_id, item_id, score, question_share, answer_share of every verified match."""
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, item_id long, score double, question_share double, answer_share double"
     found = spark.createDataFrame([], schema)
-    for shard in shards(items):
-        held = shared(spark, shard)
-
-        def run(batch: pa.RecordBatch, held=held) -> pa.RecordBatch | None:
-            ids = batch.column(0).to_pylist()
-            rows = [(i, held().ids[k], *v) for i, got in
-                    zip(ids, find_items(batch.column(1), held(), threshold)) for k, v in got.items()]
+    for group in groups(items, pass_shards):
+        def run(batch: pa.RecordBatch, search=_searcher(spark, group, threshold)) -> pa.RecordBatch | None:
+            rows = [(i, *match) for i, got in zip(batch.column(0).to_pylist(), search(batch.column(1))) for match in got]
             if not rows:
                 return None
             cols = list(zip(*rows))
@@ -301,12 +336,9 @@ def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
     bounded_batches(spark)
     text_at = docs.columns.index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    for shard in shards(items):
-        held = shared(spark, shard)
-
-        def run(batch: pa.RecordBatch, held=held) -> pa.RecordBatch:
-            free = pa.array([not got for got in find_items(batch.column(text_at), held(), threshold)], pa.bool_())
-            return batch.filter(free)
+    for group in groups(items):
+        def run(batch: pa.RecordBatch, search=_searcher(spark, group, threshold)) -> pa.RecordBatch:
+            return batch.filter(pa.array([not got for got in search(batch.column(text_at))], pa.bool_()))
 
         docs = map_batches(docs, run, schema)
     return docs

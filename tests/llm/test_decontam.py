@@ -92,6 +92,20 @@ def test_shards_give_the_same(spark, items, monkeypatch):
     assert sorted(tuple(r)[:2] for r in decontam.contaminated(docs, bench).collect()) == one
 
 
+def test_many_items_are_one_pass(spark):
+    """5,000 items, ten shards: the texts are read once; smaller groups give the same."""
+    rng = random.Random(8)
+    items = [(k, f"item{k} {text(rng, 8)} q{k}z? answer{k} {text(rng, 2)} end{k}.") for k in range(5000)]
+    docs = spark.createDataFrame([(k, f"{text(rng, 30)} {items[k * 7][1]} {text(rng, 30)}") for k in range(40)],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontam.contaminated(docs, bench)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    pairs = sorted(tuple(r)[:2] for r in found.collect())
+    assert {(k, k * 7) for k in range(40)} <= set(pairs)
+    assert sorted(tuple(r)[:2] for r in decontam.contaminated(docs, bench, pass_shards=4).collect()) == pairs
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     schema = "item_id long, text string, doc_id long, words int"
     bench = spark.createDataFrame([(1, None, 1, 1), (2, "", 2, 2), (3, "Second THE same", 0, 0), (3, "Second THE same", 0, 0),
