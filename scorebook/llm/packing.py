@@ -103,8 +103,10 @@ class PieceTokenizer:
     def _get(self, word: str) -> bytes:
         ids = self._cache.get(word)
         if ids is None:
+            known = len(self._cache)
             ids = self._word(word)
-            if len(self._cache) < self._limit:
+            # Letters with marks are kept once their letters are known: most are never seen again.
+            if known == len(self._cache) < self._limit:
                 self._cache[word] = ids
         return ids
 
