@@ -6,7 +6,7 @@ smaller the Euclidean distance, which obeys the triangle inequality.
 
 * Equal vectors are one point with the ids that can matter (one more than asked for), so any
   number of copies is one point of the index.
-* Points are dealt to shards by a hash, and a shard builds one vantage-point tree over its
+* Points are dealt to shards by a hash, and a shard builds a vantage-point tree over its
   points: a node's points are split at the median distance to its vantage point, down to
   leaves of ``LEAF`` points, which are compared in one matrix product.  The queries, which go to
   every shard (the query set against all rows), stream past the tree in blocks.
@@ -17,10 +17,10 @@ smaller the Euclidean distance, which obeys the triangle inequality.
 * Each shard gives every query its nearest, scored again on the original vectors in
   double precision, and the best of all shards are merged.
 
-Scale.  The tree of a shard is built once, in one task, over a bounded number of points
-(``SHARD_POINTS`` on average), which are shuffled once; behind them in the sorted partition
-come the queries, ``QUERY_BLOCK`` at most in memory; what is shuffled back is k rows for each query
-and shard, cut to k before the shuffle.
+Scale.  The tree of a shard is built over a bounded number of points (``SHARD_POINTS`` on
+average), once for ``QUERY_PART`` queries; behind the points in the sorted partition come the queries,
+``QUERY_BLOCK`` at most in memory; what is shuffled back is k rows for each query and shard, cut to
+k before the shuffle.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null
 or non-finite components take no part, neither as queries nor as candidates; a query's own row
@@ -46,10 +46,13 @@ from .common import bounded_batches, materialise
 K = 20
 EVERY = 20
 FACTOR = 1.0
-LEAF = 64
+LEAF = 256
 #: Distinct points of a shard, on average.
 SHARD_POINTS = 16_384
-#: Queries that travel together.
+#: Queries that go past one copy of a shard's tree, on average: as many as a shard has points, so that
+#: points and queries are shuffled alike.
+QUERY_PART = 16_384
+#: Queries that are searched together.
 QUERY_BLOCK = 2_048
 #: Points kept beyond those asked for while distances are compared, which are rounded
 #: otherwise than scores; a query whose last points lie closer than ``CLOSE`` in
@@ -164,7 +167,7 @@ def _usable(vectors: DataFrame) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, factor: float = FACTOR, leaf: int = LEAF,
-            shard_points: int = SHARD_POINTS, query_block: int = QUERY_BLOCK) -> DataFrame:
+            shard_points: int = SHARD_POINTS, query_block: int = QUERY_BLOCK, query_part: int = QUERY_PART) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` largest inner products of each query."""
     rows = materialise(_usable(vectors), "vectors")
     common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -187,13 +190,19 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, factor: float =
     # No group of copies is gathered: a vector with many query ids travels as several queries.
     asked = materialise(own.groupBy("v", F.pmod(F.xxhash64(F.lit("ask"), "id"), F.lit(256)).alias("part"))
                         .agg(F.sort_array(F.collect_set("id")).alias("ask")).drop("part"), "queries")
-    if asked.isEmpty():
+    parts = -(-asked.count() // query_part)
+    if not parts:
         return vectors.sparkSession.createDataFrame([], empty)
-    # In a shard's partition its points come first, then all queries.
-    left = points.select(F.pmod("h", F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "v", "ids")
-    right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "v",
-                         F.col("ask").alias("ids"))
-    streams = left.unionByName(right).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    every_one = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    # In the partition of a shard and a part its points come first, then the queries.
+    left = points.select(F.pmod("h", F.lit(shards)).cast("int").alias("shard"), every_one(parts).alias("part"),
+                         F.lit(0).alias("kind"), "v", "ids")
+    right = asked.select(every_one(shards).alias("shard"),
+                         F.pmod(F.xxhash64(F.lit("part"), "ask"), F.lit(parts)).cast("int").alias("part"),
+                         F.lit(1).alias("kind"), "v", F.col("ask").alias("ids"))
+    streams = (left.unionByName(right).withColumn("stream", F.col("shard").cast("long") * parts + F.col("part"))
+               .select("stream", "kind", "v", "ids").repartition(shards * parts, "stream")
+               .sortWithinPartitions("stream", "kind"))
 
     def answers(tree, x: np.ndarray, lifted: np.ndarray, ids: list, q: np.ndarray, asks: list) -> pa.RecordBatch:
         out: list[list] = [[], [], []]

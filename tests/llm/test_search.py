@@ -46,7 +46,7 @@ def test_exact_over_shards_and_blocks(spark):
     x[100:220] = x[7]  # a large group of copies, queries among them
     x[300:340] = np.round(x[300:340])
     rows = as_rows(range(900), x)
-    got = found(spark, rows, shard_points=200, query_block=16, leaf=10)
+    got = found(spark, rows, shard_points=200, query_block=16, query_part=20, leaf=10)
     assert got == brute([(r[0], r[1]) for r in rows])
 
 
