@@ -64,7 +64,7 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_col: str
         return members.withColumn(key_col, (F.row_number().over(window) + F.lit(start - 1)).cast("long"))
     placed = materialise(members.repartitionByRange(*groups, *order).sortWithinPartitions(*groups, *order)
                          .withColumn("__mid", F.monotonically_increasing_id()), "sorted")
-    return materialise(_number(placed, key_col, start, groups), "keyed")
+    return materialise(_number(placed, key_col, start, groups).select(*df.columns, key_col), "keyed")
 
 
 def assign_fact_keys(df: DataFrame, key_col: str, start: int = 1) -> DataFrame:

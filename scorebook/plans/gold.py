@@ -7,7 +7,8 @@ format) groups they fall in, not the history.
 * Dimensions grow by an insert-only merge on their hash key: new members become a part, with
   keys after the largest.
 * Facts grow by parts in the folders of the seasons and formats that got matches; other
-  folders are not touched, and fact keys, once given, stay.
+  folders are not touched, and fact keys, once given, stay.  Their files are sorted by player
+  and match, so a drill-through of one player reads few row groups.
 * Marts are kept as sums and counts.  Those of the new rows are added to the ones held for the
   same groups; averages come from sum and count, and ranks are worked out anew in the groups
   that changed and in no others.
@@ -76,7 +77,8 @@ def append_fact(build: Build, table: str, rows: DataFrame) -> None:
     start = build.next.numbers.get(f"key {table}", 0) + 1
     keyed = model.assign_fact_keys(rows, FACT_KEYS[table], start)
     columns = [c for c in rows.columns if c not in FACT_FOLDERS]
-    n = build.write(table, keyed.select(FACT_KEYS[table], *columns, *FACT_FOLDERS), FACT_FOLDERS)
+    lookups = [c for c in ("player_ref_key", "match_ref_key") if c in columns]
+    n = build.write(table, keyed.select(FACT_KEYS[table], *columns, *FACT_FOLDERS), FACT_FOLDERS, sort_by=lookups)
     build.next.numbers[f"key {table}"] = start - 1 + n
 
 

@@ -1,4 +1,4 @@
-"""Star tables and marts grown load by load, and the unknown member (q46-q49).
+"""Star tables and marts grown load by load, the unknown member, bucketed tables (q46-q50).
 
 The silver rows of the analogue come in three loads, cut by order date inside a
 season, so that seasons and formats get matches from two loads.  The oracles compute
@@ -7,10 +7,13 @@ the same from all rows at once.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import star
 from ..session import materialise, path_exists, scratch_path
+from ..sources import catalog
 from ..sources.versions import VersionedTables
 from . import gold
 from .analogue import summary, with_summary
@@ -150,3 +153,34 @@ def q49_match_fact_with_unknown_member(spark, sf_dir):
     return (fact.join(players, "player_of_the_match_ref_key").join(teams, "match_own_team_ref_key")
             .select("match_ref_key", "player_of_the_match_ref_key", "player_of_the_match_key", "match_own_team_ref_key",
                     "winner").distinct())
+
+
+BUCKETS = 8
+
+
+def colocated(w: Warehouse, buckets=BUCKETS):
+    """The batting fact joined to the match dimension, both bucketed on the match key."""
+    spark = w.spark
+    name = f"scorebook_buckets_{uuid.uuid4().hex[:8]}"
+    catalog.create_database(spark, name)
+    fact = catalog.save_bucketed(w.batting_rows, name, "fact_batting_scorecard", scratch_path(spark, "bucketed_fact"),
+                                 "match_ref_key", buckets)
+    match = catalog.save_bucketed(w.dmd, name, "dim_match_details", scratch_path(spark, "bucketed_matches"),
+                                  "match_surrogate_key", buckets)
+    return fact.join(match, fact.match_ref_key == match.match_surrogate_key)
+
+
+@register("q50_bucketed_match_totals", with_summary("""
+SELECT s.match_id AS match_number, s.match_type, s.season, CAST(sum(s.runs_scored) AS BIGINT) AS runs, count(*) AS rows
+FROM summary s GROUP BY ALL
+"""))
+def q50_bucketed_match_totals(spark, sf_dir):
+    """Totals of each match from fact and match dimension, bucketed tables on the match key: joined and
+    grouped without an exchange of the fact."""
+    w = Warehouse(spark, sf_dir)
+    totals = colocated(w).groupBy("match_ref_key", "match_number", "match_type_ref_key", "season_ref_key").agg(
+        F.sum("runs_scored").alias("runs"), F.count(F.lit(1)).alias("rows"))
+    return (totals.drop("match_type_ref_key")
+            .join(w.dss.select(F.col("season_hash_value").alias("season_ref_key"), "season"), "season_ref_key")
+            .join(w.matches.select("match_ref_key", F.col("__mt").alias("match_type")), "match_ref_key")
+            .select("match_number", "match_type", "season", "runs", "rows"))

@@ -16,47 +16,59 @@ WITH li AS (
   SELECT l.l_orderkey AS match_id, s.s_name AS player_name, l.*
   FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey
 ), sheet AS (
-  SELECT match_id, player_name, max(CASE WHEN l_linenumber = 1 THEN 'Y' ELSE 'N' END) AS captain_flag
-  FROM li WHERE l_returnflag <> 'R' GROUP BY ALL
+  SELECT match_id, CASE WHEN l_returnflag = 'R' THEN 'on sheet ' || player_name ELSE player_name END AS player_name,
+         max(CASE WHEN l_linenumber = 1 THEN 'Y' ELSE 'N' END) AS captain_flag
+  FROM li GROUP BY 1, 2
 ), bowl AS (
-  SELECT match_id, player_name, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS runs_given
-  FROM li WHERE l_linestatus = 'F' GROUP BY ALL
+  SELECT match_id, CASE WHEN l_linestatus <> 'F' THEN 'bowled ' || player_name ELSE player_name END AS player_name,
+         CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS runs_given
+  FROM li GROUP BY 1, 2
 ), bat AS (
-  SELECT match_id, player_name, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS runs_scored
-  FROM li WHERE l_shipdate >= TIMESTAMP '1999-01-01' GROUP BY ALL
+  SELECT match_id,
+         CASE WHEN l_shipdate < TIMESTAMP '1999-01-01' THEN 'batted ' || player_name ELSE player_name END AS player_name,
+         CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS runs_scored
+  FROM li GROUP BY 1, 2
 )
 SELECT * FROM sheet FULL OUTER JOIN bowl USING (match_id, player_name)
                     FULL OUTER JOIN bat USING (match_id, player_name)
 """)
 def q14_full_outer_chain(spark, sf_dir):
     """Team sheet, bowling and batting of each match joined by full outer
-    joins on (match, player name); a player missing from one side keeps his
-    row with nulls there."""
+    joins on (match, player name); a player missing from one side keeps the
+    row with nulls there.  All lines are in all three: gaps come from names that one
+    side writes otherwise."""
     li = (read(spark, sf_dir, "lineitem")
           .join(read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
                 F.col("l_suppkey") == F.col("s_suppkey"))
           .withColumnsRenamed({"l_orderkey": "match_id", "s_name": "player_name"}))
     keys = ["match_id", "player_name"]
-    sheet = (li.filter(F.col("l_returnflag") != "R").groupBy(*keys)
+
+    def named(other, word):
+        name = F.when(other, F.concat(F.lit(word), "player_name")).otherwise(F.col("player_name"))
+        return li.withColumn("player_name", name).groupBy(*keys)
+
+    quantity = F.sum(F.col("l_quantity").cast("int"))
+    sheet = (named(F.col("l_returnflag") == "R", "on sheet ")
              .agg(F.max((F.col("l_linenumber") == 1).cast("int")).alias("__cap"))
              .select(*keys, F.when(F.col("__cap") == 1, "Y").otherwise("N")
                      .alias("captain_flag")))
-    bowl = (li.filter(F.col("l_linestatus") == "F").groupBy(*keys)
-            .agg(F.sum(F.col("l_quantity").cast("int")).alias("runs_given")))
-    bat = (li.filter(F.col("l_shipdate") >= F.lit("1999-01-01").cast("timestamp"))
-           .groupBy(*keys).agg(F.sum(F.col("l_quantity").cast("int")).alias("runs_scored")))
+    bowl = named(F.col("l_linestatus") != "F", "bowled ").agg(quantity.alias("runs_given"))
+    bat = named(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp"), "batted ").agg(quantity.alias("runs_scored"))
     return sheet.join(bowl, keys, "full").join(bat, keys, "full")
 
 
 # ------------------------------------------------------------------ q15
 @register("q15_left_join_fill_counts", """
-WITH c AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+WITH c AS (SELECT CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE -o_custkey END AS o_custkey, count(*) AS n
+           FROM orders GROUP BY 1)
 SELECT cu.c_custkey AS player_id, coalesce(c.n, 0) AS catch_taken
 FROM customer cu LEFT JOIN c ON c.o_custkey = cu.c_custkey
 """)
 def q15_left_join_fill_counts(spark, sf_dir):
-    """Counts per key (catches per fielder) left-joined to all keys, gaps 0."""
-    o = read(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    """Counts per key (catches per fielder) left-joined to all keys, gaps 0; orders that are not
+    finished count for a key that nobody has."""
+    o = read(spark, sf_dir, "orders").withColumn(
+        "o_custkey", F.when(F.col("o_orderstatus") == "F", F.col("o_custkey")).otherwise(-F.col("o_custkey")))
     catches = resolve.catches_per_fielder(o.withColumn("__m", F.lit(0)), "__m", "o_custkey")
     players = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("player_id"),
                                                      F.lit(0).alias("__m"))
@@ -65,11 +77,11 @@ def q15_left_join_fill_counts(spark, sf_dir):
 
 # ------------------------------------------------------------------ q16
 @register("q16_master_and_bowler_role_joins", """
-SELECT l.l_orderkey, l.l_linenumber, s.s_suppkey AS player_id, s.s_name AS player_name,
+SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey AS player_id, s.s_name AS player_name,
        CASE WHEN l.l_linestatus = 'F' THEN l.l_partkey END AS dismissal_bowler_id,
        lower(p.p_type) AS outed_bowler_style
 FROM lineitem l
-JOIN supplier s ON s.s_suppkey = l.l_suppkey AND s.s_acctbal >= 0
+JOIN supplier s ON CASE WHEN s.s_acctbal < 0 THEN -s.s_suppkey ELSE s.s_suppkey END = l.l_suppkey
 LEFT JOIN part p ON p.p_partkey = CASE WHEN l.l_linestatus = 'F' THEN l.l_partkey END
 """)
 def q16_master_and_bowler_role_joins(spark, sf_dir):
@@ -77,8 +89,10 @@ def q16_master_and_bowler_role_joins(spark, sf_dir):
     left join to the bowler role over the whole set: rows whose dismissal
     names no bowler keep a null style (no split and re-union)."""
     li = read(spark, sf_dir, "lineitem")
-    master = (read(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0)
-              .select(F.col("s_suppkey").alias("player_id"), F.col("s_name").alias("player_name")))
+    # A supplier in debt is in the master under an id that no line has.
+    master = read(spark, sf_dir, "supplier").select(
+        F.when(F.col("s_acctbal") < 0, -F.col("s_suppkey")).otherwise(F.col("s_suppkey")).alias("player_id"),
+        F.col("s_name").alias("player_name"))
     bowlers = read(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("dismissal_bowler_id"),
         F.lower("p_type").alias("outed_bowler_style"))

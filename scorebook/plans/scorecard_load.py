@@ -7,13 +7,15 @@ Paths are folders of the shared storage (HDFS / object store).
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import PLAYERS_PER_MATCH
 from ..operators import load
-from ..session import materialise, remove_path
+from ..session import concurrently, materialise, released, remove_path
 from ..sources import catalog, readers, sinks
 from ..sources.versions import Snapshot, StaleBuild, VersionedTables
 from . import gold
@@ -37,6 +39,14 @@ PATH_NAMES = 10_000
 def run_load(spark: SparkSession, root: str, warehouse: str, load_id: str | None = None,
              expected_rows: int | None = PLAYERS_PER_MATCH,
              among: DataFrame | None = None) -> Assembly | None:
+    """``load_new`` without leaving intermediate tables but the outcome of each match."""
+    with released(spark):
+        return load_new(spark, root, warehouse, load_id, expected_rows, among)
+
+
+def load_new(spark: SparkSession, root: str, warehouse: str, load_id: str | None = None,
+             expected_rows: int | None = PLAYERS_PER_MATCH,
+             among: DataFrame | None = None) -> Assembly | None:
     """Load all match folders under ``root`` that the ledger does not list as loaded, nor
     as failed with the files they have now (of ``among``, if given), into the silver tables;
     None when there are none.
@@ -155,15 +165,15 @@ def build_gold(spark: SparkSession, warehouse: str, database: str | None = None,
     # One name for each load since the last build.
     attempts = sorted(r["load_attempt"] for r in ledger.select("load_attempt").distinct().collect()
                       if r["load_attempt"] not in build.held.sources)
-    if attempts or not build.has("dim_match_details"):
-        gold.update(build, silver.where(F.col("load_attempt").isin(attempts)),
-                    master_tables(spark, warehouse).read("player_master"), team_code_table(spark), attempts,
-                    keep_unmatched=keep_unmatched)
-    out = gold.mart_tables(build)
-    for name, df in out.items():
-        sinks.write_csv_mart(df, f"{p['gold']}/{name}")
-    keys = silver.select("match_type", "series_name", "season", "match_id").distinct().count()
-    build.write("audit", gold.audit(build, keys), replace=True)
+    with released(spark):
+        if attempts or not build.has("dim_match_details"):
+            gold.update(build, silver.where(F.col("load_attempt").isin(attempts)),
+                        master_tables(spark, warehouse).read("player_master"), team_code_table(spark), attempts,
+                        keep_unmatched=keep_unmatched)
+        out = gold.mart_tables(build)
+        concurrently(*[partial(sinks.write_csv_mart, df, f"{p['gold']}/{name}") for name, df in out.items()])
+        keys = silver.select("match_type", "series_name", "season", "match_id").distinct().count()
+        build.write("audit", gold.audit(build, keys), replace=True)
     out["audit"] = build.read("audit")
     held = build.publish()
     if database:

@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -78,10 +79,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
+#: Scratch folders of the ``released`` blocks that are open, innermost last.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def released(spark: SparkSession):
+    """Remove, at the end of the block, the intermediate tables written in it.
+
+    For jobs that write their results somewhere else before the block ends; what they
+    return must not read scratch tables, but for ``lasting`` ones."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove_path(spark, path)
+
+
+def scratch_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/scorebook/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/scorebook/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES and not lasting:
+        _SCOPES[-1].append(path)
+    return path
 
 
 def concurrently(*tasks, workers: int = 4) -> list:
@@ -104,13 +126,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def materialise(df, name: str):
+def materialise(df, name: str, lasting: bool = False):
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     The written table cuts the lineage, is read again by lost tasks, and has a
     size the planner knows, so a small one is broadcast before the other side
     of a join is shuffled, and a large one is not."""
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, lasting)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -76,6 +76,11 @@ def slug_of(path: F.Column) -> F.Column:
     return F.regexp_extract(path, rf"/match-details/(?:{_TREES})/([^/]+)/", 1)
 
 
+def tree_of(path: F.Column) -> F.Column:
+    """The tree of a match file's path."""
+    return F.regexp_extract(path, rf"/match-details/({_TREES})/", 1)
+
+
 def _match_csv(spark: SparkSession, schema: T.StructType, root: str, part: str,
                slugs: Sequence[str] | None) -> DataFrame:
     """One scan of a part's files, header lines and malformed lines (``_corrupt``) included.

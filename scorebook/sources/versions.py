@@ -176,9 +176,13 @@ class Build:
     def has(self, table: str) -> bool:
         return table in self.next.schemas
 
-    def write(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), replace: bool = False) -> int:
+    def write(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), replace: bool = False,
+              sort_by: Sequence[str] = ()) -> int:
         """Add ``df`` as new parts of ``table``, and return its rows, counted as they are written.
 
+        Files are sorted by ``sort_by``, with Bloom filters on these columns, so a lookup of one
+        value reads the row groups that can hold it.
+
         With ``replace`` a new part takes the place of all older ones of its partition (of all,
         without ``partition_by``).  ``rows <table>`` and ``nulls <table>`` (rows with a null in any
         column) among the numbers are kept up to date for tables that only grow."""
@@ -192,9 +196,13 @@ class Build:
             # Few files for each value, and many tasks for a value that holds many rows.
             dealt = dealt.hint("rebalance", *partition_by)
         counted = dealt.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(any_null, F.lit(1))).alias("nulls"))
-        (counted.withColumn("version", F.lit(self.version)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by, "version")
-         .parquet(f"{self.tables.base}/{table}"))
+        out = counted.withColumn("version", F.lit(self.version))
+        if sort_by:
+            out = out.sortWithinPartitions(*partition_by, "version", *sort_by)
+        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        for c in sort_by:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        writer.partitionBy(*partition_by, "version").parquet(f"{self.tables.base}/{table}")
         new = self.tables._part_paths(table, self.version)
         old = [p for p in self.next.parts.get(table, []) if p not in new]
         if replace:

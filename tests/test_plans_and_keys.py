@@ -144,3 +144,82 @@ def test_surrogate_keys_dense_when_payload_is_pruned(spark):
     rows = k.select("sk", "payload", "l_returnflag", "l_linestatus", "l_orderkey").collect()
     rows.sort(key=lambda r: (r.l_returnflag, r.l_linestatus, r.l_orderkey))
     assert [r.sk for r in rows] == list(range(1, len(rows) + 1))
+
+
+def test_both_ways_give_the_same_keys(spark, monkeypatch):
+    """A small table is numbered by a window, a large one by ranges: same keys."""
+    df = spark.range(0, 4000).select((F.col("id") * 7 % 1000).alias("k"), (F.col("id") % 3).cast("string").alias("g"),
+                                     F.col("id").alias("payload")).repartition(7)
+    for groups in ([], ["g"]):
+        small = model.assign_surrogate_keys(df, ["k"], "sk", start=5, groups=groups)
+        with monkeypatch.context() as m:
+            m.setattr(model, "SMALL_BYTES", 0)
+            large = model.assign_surrogate_keys(df, ["k"], "sk", start=5, groups=groups)
+        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+
+
+def test_team_roles_differ(spark):
+    """The match fact's four team references are told apart by the data."""
+    rows = queries()["q33_factless_match_fact"](spark, SF).select(
+        "team_1_ref_key", "team_2_ref_key", "toss_own_team_ref_key", "match_own_team_ref_key").collect()
+    for i in range(4):
+        for j in range(i):
+            assert any(r[i] != r[j] for r in rows) and (i, j) != (j, i)
+    matches = queries()["q33_factless_match_fact"](spark, SF)
+    assert matches.count() == matches.select("match_ref_key").distinct().count()
+
+
+def test_bucketed_tables_join_without_an_exchange(spark):
+    from scorebook.plans.q_incremental import colocated
+    from scorebook.plans.warehouse import Warehouse
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        joined = colocated(Warehouse(spark, SF), 4)
+        p = final_plan(joined.groupBy("match_ref_key").agg(F.sum("runs_scored")))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in p and "Exchange" not in p.split("== Initial Plan ==")[0]
+    for db in spark.catalog.listDatabases():
+        if db.name.startswith("scorebook_buckets_"):
+            spark.sql(f"DROP DATABASE {db.name} CASCADE")
+
+
+def test_lookup_reads_few_row_groups(spark, workdir):
+    """Files sorted by player: a drill-through reads a small share of the rows."""
+    from scorebook.sources.versions import VersionedTables
+    tables = VersionedTables(spark, workdir)
+    build = tables.begin()
+    spark.conf.set("parquet.block.size", str(64 * 1024))
+    try:
+        rows = spark.range(0, 300_000).select((F.col("id") * 7919 % 5000).alias("player_ref_key"),
+                                              F.col("id").alias("match_ref_key"), (F.col("id") % 2).cast("int").alias("season"))
+        build.write("fact", rows, ["season"], sort_by=["player_ref_key"])
+    finally:
+        spark.conf.unset("parquet.block.size")
+    build.publish()
+    one = tables.read("fact").where("player_ref_key = 4321")
+    assert one.count() == 60
+    found = one.select("match_ref_key")
+    found.collect()
+
+    def scans(node):
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            children = [node.executedPlan()]
+        return [node] if "Scan" in node.nodeName() else [s for c in children for s in scans(c)]
+
+    read = scans(found._jdf.queryExecution().executedPlan())[0].metrics().apply("numOutputRows").value()
+    assert 60 <= read < 300_000 / 5
+
+
+def test_released_block_leaves_no_scratch(spark):
+    from scorebook.session import materialise, path_exists, released
+    with released(spark):
+        gone = materialise(spark.range(3), "gone")
+        kept = materialise(spark.range(3), "kept", lasting=True)
+        folder = gone.inputFiles()[0].rsplit("/", 1)[0]
+    assert not path_exists(spark, folder) and kept.count() == 3

@@ -154,6 +154,13 @@ def test_late_file_and_doubled_venue(spark, workdir):
     assert {r["match_slug"] for r in scorecard_load.read_quarantine(spark, wh).collect()} == {two_files, empty}
 
 
+def test_load_id_from_the_clock(spark):
+    from datetime import datetime, timedelta, timezone
+    found = datetime.strptime(load.load_id_now(spark), "%Y%m%d%H%M%S").replace(tzinfo=timezone.utc)
+    assert abs(datetime.now(timezone.utc) - found) < timedelta(minutes=5)
+    assert load.attempt_id("x") != load.attempt_id("x")
+
+
 def test_unreadable_ledger_raises(spark):
     with pytest.raises(Exception, match="(?i)scheme|filesystem"):
         load.read_ledger(spark, "nosuchstore://host/ledger").count()
