@@ -15,7 +15,7 @@ team 1                         customer's nation
 team 2                         the nation seven keys on
 toss owner                     team 1 of even orders, team 2 of odd ones
 winning side                   team 2 of orders divisible by 3, else team 1
-player of the match            supplier 1 to 10, by the customer
+player of the match            supplier 0 to 9, by the customer
 venue location -> stadium      region -> ground of the customer's nation
 toss choice                    by the order's key
 bowler of a dismissal, style   part (``l_partkey``), lower(``p_type``)
@@ -84,7 +84,7 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_orderkey") % 2 == 0, F.col("team_1")).otherwise(F.col("team_2")).alias("toss_own_by"),
         F.when(F.col("l_orderkey") % 4 < 2, F.lit("BATTING")).otherwise(F.lit("BOWLING")).alias("toss_choice"),
         F.when(F.col("l_orderkey") % 3 == 0, F.col("team_2")).otherwise(F.col("team_1")).alias("own_team"),
-        (F.col("o_custkey") % 10 + 1).alias("player_of_the_match_player_id"),
+        (F.col("o_custkey") % 10).alias("player_of_the_match_player_id"),
         F.col("c_nationkey").alias("venue_id"),
         F.col("venue_location"),
         F.concat("team_1", F.lit(" GROUND")).alias("stadium"),
@@ -132,7 +132,7 @@ summary AS (
     CASE WHEN l.l_orderkey % 2 = 0 THEN cn.n_name ELSE sn.n_name END AS toss_own_by,
     CASE WHEN l.l_orderkey % 4 < 2 THEN 'BATTING' ELSE 'BOWLING' END AS toss_choice,
     CASE WHEN l.l_orderkey % 3 = 0 THEN sn.n_name ELSE cn.n_name END AS own_team,
-    o.o_custkey % 10 + 1 AS player_of_the_match_player_id,
+    o.o_custkey % 10 AS player_of_the_match_player_id,
     c.c_nationkey AS venue_id,
     r.r_name AS venue_location,
     cn.n_name || ' GROUND' AS stadium,

@@ -165,7 +165,8 @@ def colocated(w: Warehouse, buckets=BUCKETS):
     catalog.create_database(spark, name)
     fact = catalog.save_bucketed(w.batting_rows, name, "fact_batting_scorecard", scratch_path(spark, "bucketed_fact"),
                                  "match_ref_key", buckets)
-    match = catalog.save_bucketed(w.dmd, name, "dim_match_details", scratch_path(spark, "bucketed_matches"),
+    members = w.dmd.select("match_surrogate_key", "match_number", "season_ref_key")
+    match = catalog.save_bucketed(members, name, "dim_match_details", scratch_path(spark, "bucketed_matches"),
                                   "match_surrogate_key", buckets)
     return fact.join(match, fact.match_ref_key == match.match_surrogate_key)
 
@@ -178,9 +179,8 @@ def q50_bucketed_match_totals(spark, sf_dir):
     """Totals of each match from fact and match dimension, bucketed tables on the match key: joined and
     grouped without an exchange of the fact."""
     w = Warehouse(spark, sf_dir)
-    totals = colocated(w).groupBy("match_ref_key", "match_number", "match_type_ref_key", "season_ref_key").agg(
+    totals = colocated(w).groupBy("match_ref_key", "match_number", "season_ref_key").agg(
         F.sum("runs_scored").alias("runs"), F.count(F.lit(1)).alias("rows"))
-    return (totals.drop("match_type_ref_key")
-            .join(w.dss.select(F.col("season_hash_value").alias("season_ref_key"), "season"), "season_ref_key")
+    return (totals.join(w.dss.select(F.col("season_hash_value").alias("season_ref_key"), "season"), "season_ref_key")
             .join(w.matches.select("match_ref_key", F.col("__mt").alias("match_type")), "match_ref_key")
             .select("match_number", "match_type", "season", "runs", "rows"))
