@@ -39,9 +39,9 @@ def test_time_is_linear(name):
     person = pii.Pseudonyms()
     for fn in (person.find, secrets.confirmed_spans, secrets.base_spans,
                lambda t: html_text.main_text(html_text.parse(t), None)):
-        half, whole = seconds(fn, of(125_000)), seconds(fn, of(250_000))
-        assert whole < 0.15 or whole < 3.2 * half, (name, half, whole)
-        assert whole < 12
+        # Four times the text: linear time is four times as long, quadratic sixteen.
+        part, whole = seconds(fn, of(62_500)), seconds(fn, of(250_000))
+        assert whole < 0.3 or whole < 9 * part, (name, part, whole)
 
 
 def test_one_megabyte_of_the_worst():
@@ -51,7 +51,7 @@ def test_one_megabyte_of_the_worst():
         pii.Pseudonyms().find(text)
         secrets.confirmed_spans(text)
         html_text.main_text(html_text.parse(text), None)
-        assert time.perf_counter() - start < 8
+        assert time.perf_counter() - start < 20
 
 
 def test_one_number_one_pseudonym():
