@@ -109,7 +109,7 @@ def scratch_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
 def concurrently(*tasks, workers: int = 4) -> list:
     """The results of functions without arguments, each run in a thread: small Spark jobs
     that do not depend on each other share the cluster instead of queueing."""
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     with ThreadPoolExecutor(workers) as pool:
         futures = [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]
         return [f.result() for f in futures]
