@@ -110,14 +110,15 @@ def update(build: Build, new: DataFrame, master: DataFrame, codes: DataFrame, so
     concurrently(*[partial(merge_dimension, build, table, getattr(found, attribute), keep_unmatched)
                    for table, attribute in DIMS.items()])
     dim = {attribute: build.read(table) for table, attribute in DIMS.items()}
-    lookup = materialise(star.match_lookup(dim["dmd"], dim["dmt"], dim["dsn"], dim["dss"]), "match_lookup")
     groups = sorted(tuple(r) for r in new.select(season.alias("season"), "match_type").distinct().collect()
                     if r["season"] is not None and r["match_type"] is not None)
+    lookup = star.match_lookup(dim["dmd"], dim["dmt"], dim["dsn"], dim["dss"])
+    lookup = materialise(within(lookup, ["__ss", "__mt"], groups), "match_lookup")
 
     seen = Observation()
     watched = new.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(season.isNull(), 1)).alias("lost"))
     folders = [season.alias("season"), F.col("match_type")]
-    batting = marts.silver_base(new, dim["dpl"], star.batting_measures(new))
+    batting = marts.silver_rows(new, star.batting_measures(new))
     bowling = marts.silver_base(new, dim["dpl"], star.measures(star.BOWLING_MEASURES))
     styles = dim["dpl"].select("player_id", "bowling_style") if styles is None else styles
     # The marts' sums and counts; their folders are the facts', under the marts' names.
@@ -136,14 +137,14 @@ def update(build: Build, new: DataFrame, master: DataFrame, codes: DataFrame, so
             add_to_state(build, table, counted, ["season", "flag"], groups, marts.WIN_GROUPS)
 
     def batting_mart():
-        totals = add_to_state(build, "batting_sums", marts.batting_sums(batting), where, groups, marts.BATTING_GROUPS)
+        totals = add_to_state(build, "batting_sums", marts.batting_sums(batting, dim["dpl"]), where, groups, marts.BATTING_GROUPS)
         build.write("batting_ranked", marts.ranked_batting(marts.batting_from_sums(totals)), where, replace=True)
 
     concurrently(
         lambda: append_fact(build, "fact_batting_scorecard", star.fact_batting_rows(watched, lookup, dim["dpl"], folders)),
         lambda: append_fact(build, "fact_bowling_scorecard", star.fact_bowling_rows(new, lookup, dim["dpl"], folders)),
         match_tables, batting_mart,
-        lambda: add_to_state(build, "dismissal_styles", marts.dismissal_style_counts(batting, styles), where, groups,
+        lambda: add_to_state(build, "dismissal_styles", marts.dismissal_style_counts(batting, dim["dpl"], styles), where, groups,
                              [*marts.STYLE_GROUPS, "bowling_style"]),
         lambda: add_to_state(build, "bowling_sums", marts.bowling_totals(bowling), where, groups, marts.BOWLING_GROUPS))
     for name in ("rows", "lost"):

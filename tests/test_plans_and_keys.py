@@ -223,3 +223,31 @@ def test_released_block_leaves_no_scratch(spark):
         kept = materialise(spark.range(3), "kept", lasting=True)
         folder = gone.inputFiles()[0].rsplit("/", 1)[0]
     assert not path_exists(spark, folder) and kept.count() == 3
+
+
+def with_low_threshold(spark, make):
+    """The plan text of ``make()`` where the session broadcasts next to nothing by itself."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in names}
+    try:
+        for k in names:
+            spark.conf.set(k, "1")
+        return plan_text(make())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_lines_move_to_their_order_only(spark):
+    """Silver rows: small lookups are broadcast at any threshold, so lines are not dealt out by them."""
+    from scorebook.plans.analogue import summary
+    p = with_low_threshold(spark, lambda: summary(spark, SF))
+    assert "hashpartitioning(l_orderkey" in p
+    assert "hashpartitioning(l_suppkey" not in p and "hashpartitioning(l_partkey" not in p
+
+
+def test_facts_do_not_move_to_their_players(spark):
+    from scorebook.plans.warehouse import Warehouse
+    w = Warehouse(spark, SF)
+    p = with_low_threshold(spark, lambda: w.bowling_rows)
+    assert "hashpartitioning(__pid" not in p
