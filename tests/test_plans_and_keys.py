@@ -251,3 +251,12 @@ def test_facts_do_not_move_to_their_players(spark):
     w = Warehouse(spark, SF)
     p = with_low_threshold(spark, lambda: w.bowling_rows)
     assert "hashpartitioning(__pid" not in p
+
+
+def test_assembly_lines_move_once(spark):
+    """Lines are summed per player, and joined to lead, name and folder, where their order is."""
+    from scorebook.plans.q_assembly import match_inputs
+    p = with_low_threshold(spark, lambda: match_inputs(spark, SF)[0])
+    assert "hashpartitioning(l_orderkey" in p
+    assert "hashpartitioning(l_orderkey#" in p and not re.search(r"hashpartitioning\(l_orderkey#\d+L, l_suppkey#", p)
+    assert "hashpartitioning(l_suppkey" not in p
