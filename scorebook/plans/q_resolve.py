@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import resolve
+from ..session import partitions_for
 from .analogue import read
 from .queries import register
 
@@ -135,9 +136,9 @@ def q22_surname_resolution(spark, sf_dir):
     lp = li.join(p, li.l_partkey == p.p_partkey)
     mentions = lp.select("l_orderkey", "l_linenumber", "l_partkey",
                          F.regexp_extract("p_name", r"(\S+)\s*$", 1).alias("mention"))
-    people = lp.select("l_orderkey", "p_partkey", "p_name").dropDuplicates()
+    people = lp.select("l_orderkey", "p_partkey", "p_name")
     return resolve.resolve_mentions(mentions, people, "l_orderkey", "mention", "p_name",
-                                    "p_partkey").select(
+                                    "p_partkey", partitions=partitions_for(li)).select(
         "l_orderkey", "l_linenumber", "l_partkey", "mention", "resolved_id", "n_candidates")
 
 
