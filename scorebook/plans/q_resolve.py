@@ -169,8 +169,9 @@ def q44_resolution_of_any_id(spark, sf_dir):
     lp = li.join(p, li.l_partkey == p.p_partkey)
     mentions = lp.select("l_orderkey", "l_linenumber", "l_partkey",
                          F.regexp_extract("p_name", r"(\S+)\s*$", 1).alias("mention"))
-    people = lp.select("l_orderkey", "id", "p_name").dropDuplicates()
-    return resolve.resolve_mentions(mentions, people, "l_orderkey", "mention", "p_name", "id").select(
+    people = lp.select("l_orderkey", "id", "p_name")
+    return resolve.resolve_mentions(mentions, people, "l_orderkey", "mention", "p_name", "id",
+                                    partitions=partitions_for(li)).select(
         "l_orderkey", "l_linenumber", "l_partkey", "mention", "resolved_id")
 
 

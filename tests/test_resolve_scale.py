@@ -27,7 +27,7 @@ def above_scans(plan, table):
             yield found
 
 
-@pytest.mark.parametrize("name", ["q22_surname_resolution"])
+@pytest.mark.parametrize("name", ["q22_surname_resolution", "q44_resolution_of_any_id"])
 def test_no_scan_of_lines_is_grouped_whole(spark, name):
     """A hash map over a scan's lines, nearly all distinct, grows with the files of a task."""
     plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
@@ -36,7 +36,7 @@ def test_no_scan_of_lines_is_grouped_whole(spark, name):
     assert not [x for found in scans for x in found if "Aggregate" in x]
 
 
-@pytest.mark.parametrize("name", ["q22_surname_resolution"])
+@pytest.mark.parametrize("name", ["q22_surname_resolution", "q44_resolution_of_any_id"])
 def test_split_names_are_not_grouped_again(spark, name):
     """Players are distinct before their names are split: no second map of a row for each word."""
     plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
