@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import marts, model, star
-from ..session import concurrently, materialise
+from ..session import WRITING, concurrently, materialise, partitioned_by_any, settings
 from ..sources.versions import Build
 from .warehouse import Warehouse
 
@@ -72,13 +72,24 @@ def merge_dimension(build: Build, table: str, members: DataFrame, unknown: bool)
     build.next.numbers[f"key {table}"] = start - 1 + n
 
 
+#: Bytes of written rows that a task reads (and sorts, where it writes a fact).
+TASK_BYTES = 64 * 1024 * 1024
+
+
+def in_folders(rows: DataFrame, name: str) -> DataFrame:
+    """The rows of facts, written with their places.  They lie by season and format: few files for each
+    folder, and many tasks for one that holds many rows; the facts are written from there as they lie."""
+    return model.placed(rows.hint("rebalance", *FACT_FOLDERS), name)
+
+
 def append_fact(build: Build, table: str, rows: DataFrame) -> None:
-    """Add ``rows`` with keys after the largest given so far."""
+    """Add ``rows`` (``in_folders``) with keys after the largest given so far."""
     start = build.next.numbers.get(f"key {table}", 0) + 1
     keyed = model.assign_fact_keys(rows, FACT_KEYS[table], start)
-    columns = [c for c in rows.columns if c not in FACT_FOLDERS]
+    columns = [c for c in rows.columns if c not in (*FACT_FOLDERS, model.PLACE)]
     lookups = [c for c in ("player_ref_key", "match_ref_key") if c in columns]
-    n = build.write(table, keyed.select(FACT_KEYS[table], *columns, *FACT_FOLDERS), FACT_FOLDERS, sort_by=lookups)
+    n = build.write(table, keyed.select(FACT_KEYS[table], *columns, *FACT_FOLDERS), FACT_FOLDERS, sort_by=lookups,
+                    rebalance=False)
     build.next.numbers[f"key {table}"] = start - 1 + n
 
 
@@ -103,6 +114,14 @@ def update(build: Build, new: DataFrame, master: DataFrame, codes: DataFrame, so
     With ``keep_unmatched`` each dimension has an unknown member (key -1) and a match whose
     winner or player of the match no dimension holds (a tie) refers to it; without, it
     drops out of the match fact, as in an inner join."""
+    spark = build.tables.spark
+    with settings(spark, {**WRITING, "spark.sql.files.maxPartitionBytes": str(TASK_BYTES)}), partitioned_by_any(spark):
+        add(build, new, master, codes, sources, styles, keep_unmatched)
+
+
+def add(build: Build, new: DataFrame, master: DataFrame, codes: DataFrame, sources: Sequence[str],
+        styles: DataFrame | None, keep_unmatched: bool) -> None:
+    """``update`` in the session's settings."""
     season = F.col("season").cast("string").try_cast("int")
     found = Warehouse.from_silver(new, master, codes)
     # Tables that do not depend on each other are written side by side.
@@ -110,10 +129,10 @@ def update(build: Build, new: DataFrame, master: DataFrame, codes: DataFrame, so
     concurrently(*[partial(merge_dimension, build, table, getattr(found, attribute), keep_unmatched)
                    for table, attribute in DIMS.items()])
     dim = {attribute: build.read(table) for table, attribute in DIMS.items()}
-    groups = sorted(tuple(r) for r in new.select(season.alias("season"), "match_type").distinct().collect()
+    groups = sorted(tuple(r) for r in found.match_table.select("season", "match_type").distinct().collect()
                     if r["season"] is not None and r["match_type"] is not None)
     lookup = star.match_lookup(dim["dmd"], dim["dmt"], dim["dsn"], dim["dss"])
-    lookup = materialise(within(lookup, ["__ss", "__mt"], groups), "match_lookup")
+    lookup = within(lookup, ["__ss", "__mt"], groups)
 
     seen = Observation()
     watched = new.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(season.isNull(), 1)).alias("lost"))
@@ -130,20 +149,24 @@ def update(build: Build, new: DataFrame, master: DataFrame, codes: DataFrame, so
         if build.has("fact_match_info"):
             old = within(build.read("fact_match_info"), FACT_FOLDERS, groups)
             matches = matches.join(old.select(*star.MATCH_REFS), star.MATCH_REFS, "left_anti")
-        matches = materialise(matches, "new_matches")
+        matches = in_folders(matches, "new_matches")
         append_fact(build, "fact_match_info", matches)
+        pairs = materialise(marts.match_pairs(matches, dim["dmd"], dim["dmt"], dim["dss"], dim["dsn"], list(WINS.values())),
+                            "match_pairs")
         for table, role in WINS.items():
-            counted = marts.win_count_mart(matches, dim["dmd"], dim["dmt"], dim["dss"], dim["dsn"], dim["dteam"], role)
-            add_to_state(build, table, counted, ["season", "flag"], groups, marts.WIN_GROUPS)
+            add_to_state(build, table, marts.team_counts(pairs, dim["dteam"], role), ["season", "flag"], groups, marts.WIN_GROUPS)
+
+    def player_facts():
+        rows = in_folders(star.fact_rows(watched, lookup, dim["dpl"], folders), "fact_rows")
+        for table, columns in (("fact_batting_scorecard", star.BATTING_COLUMNS), ("fact_bowling_scorecard", star.BOWLING_COLUMNS)):
+            append_fact(build, table, rows.select(*columns, *FACT_FOLDERS, model.PLACE))
 
     def batting_mart():
         totals = add_to_state(build, "batting_sums", marts.batting_sums(batting, dim["dpl"]), where, groups, marts.BATTING_GROUPS)
         build.write("batting_ranked", marts.ranked_batting(marts.batting_from_sums(totals)), where, replace=True)
 
     concurrently(
-        lambda: append_fact(build, "fact_batting_scorecard", star.fact_batting_rows(watched, lookup, dim["dpl"], folders)),
-        lambda: append_fact(build, "fact_bowling_scorecard", star.fact_bowling_rows(new, lookup, dim["dpl"], folders)),
-        match_tables, batting_mart,
+        player_facts, match_tables, batting_mart,
         lambda: add_to_state(build, "dismissal_styles", marts.dismissal_style_counts(batting, dim["dpl"], styles), where, groups,
                              [*marts.STYLE_GROUPS, "bowling_style"]),
         lambda: add_to_state(build, "bowling_sums", marts.bowling_totals(bowling), where, groups, marts.BOWLING_GROUPS))

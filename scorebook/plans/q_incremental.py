@@ -7,12 +7,13 @@ the same from all rows at once.
 
 from __future__ import annotations
 
+import calendar
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..operators import star
-from ..session import materialise, path_exists, scratch_path
+from ..session import WRITING, materialise, path_exists, scratch_path, settings
 from ..sources import catalog
 from ..sources.versions import VersionedTables
 from . import gold
@@ -35,9 +36,12 @@ def grown(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _GROWN and path_exists(spark, f"{_GROWN[key]}/log"):
         return VersionedTables(spark, _GROWN[key])
-    month = F.col("season") * 100 + F.month(F.to_date(F.col("match_month"), "MMMM"))
+    names = F.array(*[F.lit(m.upper()) for m in calendar.month_name[1:]])
+    month = F.col("season") * 100 + F.array_position(names, F.col("match_month"))
     number = sum((F.when(month >= y * 100 + m, 1).otherwise(0) for y, m in CUTS), F.lit(0))
-    silver = materialise(summary(spark, sf_dir).withColumn("load", number), "silver_loads")
+    # A folder for each load, which a build reads by itself; a task keeps their files open side by side.
+    with settings(spark, {**WRITING, "spark.sql.maxConcurrentOutputFileWriters": str(len(CUTS) + 1)}):
+        silver = materialise(summary(spark, sf_dir).withColumn("load", number), "silver_loads", partition_by=["load"])
     tables = VersionedTables(spark, scratch_path(spark, "gold"))
     for k in range(len(CUTS) + 1):
         build = tables.begin()

@@ -177,11 +177,12 @@ class Build:
         return table in self.next.schemas
 
     def write(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), replace: bool = False,
-              sort_by: Sequence[str] = ()) -> int:
+              sort_by: Sequence[str] = (), rebalance: bool = True) -> int:
         """Add ``df`` as new parts of ``table``, and return its rows, counted as they are written.
 
         Files are sorted by ``sort_by``, with Bloom filters on these columns, so a lookup of one
-        value reads the row groups that can hold it.
+        value reads the row groups that can hold it.  Without ``rebalance`` rows are not moved:
+        for those that lie by partition already.
 
         With ``replace`` a new part takes the place of all older ones of its partition (of all,
         without ``partition_by``).  ``rows <table>`` and ``nulls <table>`` (rows with a null in any
@@ -192,7 +193,7 @@ class Build:
         for c in columns:
             any_null = any_null | F.col(c).isNull()
         dealt = df.select(*columns)
-        if partition_by:
+        if partition_by and rebalance:
             # Few files for each value, and many tasks for a value that holds many rows.
             dealt = dealt.hint("rebalance", *partition_by)
         counted = dealt.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(any_null, F.lit(1))).alias("nulls"))

@@ -186,3 +186,31 @@ def test_master_is_published_by_version(spark, workdir):
     scorecard_load.publish_master(spark, root, wh)
     assert before.count() == n == 23
     assert len(scorecard_load.master_tables(spark, wh).snapshot().parts["player_master"]) == 1
+
+
+def test_player_facts_look_their_references_up_once(spark, monkeypatch):
+    """Batting and bowling fact come from one written table, a load's silver rows from a folder of their own."""
+    from scorebook import session
+    from scorebook.plans import q_incremental
+    written = {}
+
+    def noted(df, name, *args, **kwargs):
+        out = session.materialise(df, name, *args, **kwargs)
+        written.setdefault(name, []).append(out)
+        return out
+
+    for module in (gold.model, q_incremental):
+        monkeypatch.setattr(module, "materialise", noted)
+    settings = {k: spark.conf.get(k, None) for k in session.WRITING}
+    monkeypatch.setattr(q_incremental, "_GROWN", {})
+    tables = q_incremental.grown(spark, "/root/testdata/sf0.001")
+    assert {k: spark.conf.get(k, None) for k in settings} == settings
+    loads = len(q_incremental.CUTS) + 1
+    assert "placed" not in written and len(written["fact_rows"]) == len(written["new_matches"]) == loads
+    rows = sum(t.count() for t in written["fact_rows"])
+    for table in ("fact_batting_scorecard", "fact_bowling_scorecard"):
+        fact, key = tables.read(table), gold.FACT_KEYS[table]
+        assert fact.count() == rows == fact.select(key).distinct().count()
+        assert fact.agg(F.min(key), F.max(key)).first() == (1, rows)
+    silver, = written["silver_loads"]
+    assert {f.split("/load=")[1][0] for f in silver.inputFiles()} == {str(k) for k in range(loads)}
