@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from scorebook.operators import model
@@ -260,3 +261,45 @@ def test_assembly_lines_move_once(spark):
     assert "hashpartitioning(l_orderkey" in p
     assert "hashpartitioning(l_orderkey#" in p and not re.search(r"hashpartitioning\(l_orderkey#\d+L, l_suppkey#", p)
     assert "hashpartitioning(l_suppkey" not in p
+
+
+@pytest.mark.parametrize("broadcasts", [True, False])
+def test_assembly_rows_lie_by_match(spark, monkeypatch, broadcasts):
+    """Staged rows are bucketed by match: nothing moves to its match again, in loaded rows or outcomes, also
+    where a large master has taken the rows away in between; no staged name stays in the catalog."""
+    from scorebook.operators import resolve
+    from scorebook.plans import match_summary, q_assembly
+    if not broadcasts:
+        for module in (match_summary, resolve):
+            monkeypatch.setattr(module, "small_side", lambda df: df)
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in names}
+    try:
+        for k in names:
+            spark.conf.set(k, old[k] if broadcasts else "1")
+        asm = q_assembly.assemble_driver(spark, SF)
+        for df in (asm.loaded, asm.quarantined):
+            assert "Exchange hashpartitioning(match_slug" not in plan_text(df)
+        rows = asm.loaded
+        files = [f for f in asm.summary.inputFiles() if "/rows/" in f]
+        assert 0 < len(files) <= 16
+        total = rows.count()
+        assert total + asm.matches.join(asm.quarantined, "match_slug", "left_semi").agg(F.sum("rows")).first()[0] == \
+            asm.matches.agg(F.sum("rows")).first()[0]
+        assert rows.join(asm.quarantined, "match_slug", "left_semi").count() == 0 < total
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("scorebook_stage_")]
+
+
+def test_finished_jobs_leave_no_shuffle_files(spark):
+    """What a written table was shuffled through is gone when it is written."""
+    from scorebook.session import WRITING, materialise, settings
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    held = lambda: tracker.shuffleStatuses().size()
+    with settings(spark, WRITING):
+        before = held()
+        materialise(spark.range(1000).repartition(7, "id"), "moved")
+        assert held() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
